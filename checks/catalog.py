@@ -87,7 +87,7 @@ def pattern_counts(spark, d):
 @_query
 def pattern_counts_pages(spark, d):
     return profile.pattern_counts(
-        planted.table(spark, d, "pages"), {"tags": ("html", fixed.TAG), "emails": ("html", fixed.EMAIL)}
+        planted.table(spark, d, "pages"), {"tags": ("html", fixed.TAG), "emails": ("html", fixed.HAS_EMAIL)}
     )
 
 

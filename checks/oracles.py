@@ -422,7 +422,7 @@ shaped AS (
         f"{body} || '<|assistant|>' || chr(10) AS prompt_text FROM conv")
     sql["loss_marks"] = _with(_CONV) + (
         "SELECT row_id, 'system=false|user=false|tool=false|assistant=true' AS marks FROM conv")
-    words = f"len(list_filter(regexp_split_to_array({_strip('text')}, '{_WS}+'), x -> x <> ''))"
+    words = f"len(list_filter(regexp_split_to_array({_strip('text')}, '{_WS}+'), lambda x: x <> ''))"
     sql["length_budget"] = _with(_DOC) + _hits("doc", over_512=f"{words} > 512", over_1024=f"{words} > 1024")
 
     # instruction corpora
@@ -485,5 +485,5 @@ cut AS (
         "SELECT row_id, text, f.format FROM awkward, (VALUES ('parquet'), ('json')) f(format)")
     sql["roundtrip_splits"] = _with(_CONV, _three_way("dlg")) + (
         f"SELECT row_id, {_messages()} AS messages, split FROM split_of")
-    sql["parquet_row_ids"] = "SELECT file_row_number AS row_id, doc_id FROM documents"
+    sql["parquet_row_ids"] = "SELECT row_number() OVER () - 1 AS row_id, doc_id FROM documents"
     return sql

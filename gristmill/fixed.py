@@ -31,15 +31,20 @@ NOISE_ANSWERS = (
 )
 
 # --- personal data ---------------------------------------------------------------
-EMAIL = r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
+# word boundaries are tested after the first letter of a pattern, and an address
+# starts where its run of characters starts: same matches, fewer positions tried
+_MAIL = r"[a-zA-Z0-9._%+-]"
+_MAIL_REST = r"@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
+EMAIL = rf"(?:(?<!{_MAIL})|\G){_MAIL}++{_MAIL_REST}"
+HAS_EMAIL = _MAIL + _MAIL_REST
 URL = rf"https?://{NOT_WS}+|www\.{NOT_WS}+"
 PHONE = (
-    rf"{EDGE}(\+?{DIGIT}{{1,3}}[-.{WS_CLASS}]?)?\(?{DIGIT}{{3}}\)?"
-    rf"[-.{WS_CLASS}]{DIGIT}{{3}}[-.{WS_CLASS}]{DIGIT}{{4}}{EDGE}"
+    rf"(?=[+(\p{{Nd}}]){EDGE}(\+?{DIGIT}{{1,3}}[-.{WS_CLASS}]?)?\(?{DIGIT}{{3}}\)?"
+    rf"[-.{WS_CLASS}]{DIGIT}{{3}}[-.{WS_CLASS}]{DIGIT}{{4}}(?!{WORD})"
 )
-STATED_NAME = rf"(?iu){EDGE}my name is{WS}+{WORD}+"
+STATED_NAME = rf"(?iu)m(?<!{WORD}m)y name is{WS}+{WORD}+"
 STATED_NAME_MASK = "my name is [NAME]"
-SIGNATURE = rf"{EDGE}(Dr\.?|Doctor){WS}+[A-Z][a-zA-Z]+({WS}+[A-Z][a-zA-Z]+)?"
+SIGNATURE = rf"D(?<!{WORD}D)(r\.?|octor){WS}+[A-Z][a-zA-Z]+({WS}+[A-Z][a-zA-Z]+)?"
 GREETING = rf"(?iud)^hi,?{WS}*may i answer your health queries.*?query here\.*"
 
 # --- near-duplicates ---------------------------------------------------------------
@@ -63,7 +68,9 @@ FINANCE_KEYWORDS = (
 )
 SENSITIVE_KEYWORDS = ("sexual assault", "charged with", "arrested", "rape", "murder", "attack")
 NON_LATIN = r"[\x{4e00}-\x{9fff}\x{3040}-\x{30ff}\x{ac00}-\x{d7af}\x{0600}-\x{06ff}]"
-RAW_RECORD = f"{EDGE}p o box{EDGE}|{EDGE}inc,|{EDGE}llc,"  # matched on case-folded text
+RAW_RECORD = (
+    rf"(?iu)P(?<!{WORD}P) O BOX(?!{WORD})|I(?<!{WORD}I)NC,|L(?<!{WORD}L)LC,"
+)
 LABELS_ONLY = ("negative", "neutral", "positive")
 BOILERPLATE = "no xbrl associated data"
 CODE_FENCE = "```"

@@ -10,7 +10,7 @@ from gristmill.functions.text import _col, matches, squeeze, strip
 
 
 def has_email(c: Column | str) -> Column:
-    return matches(c, fixed.EMAIL)
+    return matches(c, fixed.HAS_EMAIL)
 
 
 def has_url(c: Column | str) -> Column:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gristmill import fixed
@@ -37,29 +39,46 @@ def clean_text(c: Column | str, null_as: str | None = None) -> Column:
     text = _col(c)
     if null_as is not None:
         text = F.coalesce(text, F.lit(null_as))
-    # possessive form: same matches, no backtracking over text that holds no ">"
-    untagged = F.regexp_replace(text, r"<[^>]++>", "")
+    # a "<" without a ">" after it takes the rest of the text and is put back, so
+    # even text full of such marks is passed once
+    untagged = F.regexp_replace(text, r"<[^>]++>|(<[^>]++)\z", "$1")
     return F.trim(squeeze(untagged))
 
 
-def fold(c: Column | str) -> Column:
-    """Lower-case so that a plain search for ASCII text ignores case as Python's regexes do.
+def any_of(needles: Sequence[str], ignore_case: bool = False) -> str:
+    """Regex that finds any of the given plain texts.
 
-    Four letters outside ASCII fold onto ASCII ones and are replaced first.
+    Alternatives are grouped by first letter, so that most positions of a text
+    are left after one comparison per letter. With ``ignore_case`` the four
+    letters outside ASCII that fold onto i, s and k are spelled out, which makes
+    the fast ASCII matching equal to Python's.
     """
-    text = _col(c)
-    for letter, plain in (("\u0130", "i"), ("\u0131", "i"), ("\u017f", "s"), ("\u212a", "k")):
-        text = F.replace(text, F.lit(letter), F.lit(plain))
-    return F.lower(text)
+    foreign = {"i": "\u0130\u0131", "s": "\u017f", "k": "\u212a"} if ignore_case else {}
+
+    def spelled(text: str) -> str:
+        out = []
+        for ch in text:
+            if ch.lower() in foreign:
+                out.append(f"[{ch}{foreign[ch.lower()]}]")
+            else:
+                out.append(ch if ch.isalnum() or ch == " " else "\\" + ch)
+        return "".join(out)
+
+    by_letter: dict[str, list[str]] = {}
+    for needle in needles:
+        first = needle[0].lower() if ignore_case else needle[0]
+        by_letter.setdefault(first, []).append(spelled(needle[1:]))
+    groups = [f"{spelled(first)}(?:{'|'.join(rest)})" for first, rest in by_letter.items()]
+    return ("(?i)" if ignore_case else "") + "|".join(groups)
 
 
-def contains_any(c: Column | str, needles) -> Column:
-    """True when the text holds one of the given substrings; null text is False."""
-    text = _col(c)
-    hit = F.lit(False)
-    for needle in needles:
-        hit = hit | text.contains(F.lit(needle))
-    return F.coalesce(hit, F.lit(False))
+def contains_any(c: Column | str, needles: Sequence[str], ignore_case: bool = False) -> Column:
+    """True when the text holds one of the given plain texts; null text is False.
+
+    One regex rather than one search per needle: the text appears once in the
+    expression, so moving a filter through a projection cannot multiply it.
+    """
+    return matches(c, any_of(needles, ignore_case))
 
 
 def words(c: Column | str) -> Column:
@@ -85,3 +104,17 @@ def content_key(*cols: Column | str) -> Column:
             F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
         )
     return F.unhex(F.md5(F.concat(*parts)))
+
+
+def computed_once(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """``withColumns`` whose expressions are evaluated once per row, whatever follows.
+
+    A filter on a projected column is moved below the projection together with
+    the column's expression, which then runs twice. Generated columns are not
+    taken apart that way, so costly text expressions that are filtered on go
+    through a one-element ``inline``.
+    """
+    rest = [c for c in df.columns if c not in columns]
+    made = F.inline(F.array(F.struct(*[e.alias(name) for name, e in columns.items()])))
+    order = df.columns + [c for c in columns if c not in df.columns]
+    return df.select(*rest, made).select(*order)

@@ -132,7 +132,7 @@ def _salted(df: DataFrame, id_col: str, salts: int) -> DataFrame:
 
 
 def _every_salt(df: DataFrame, salts: int) -> DataFrame:
-    return df.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint"))
+    return df.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
 
 
 def near_duplicate_groups(

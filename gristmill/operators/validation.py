@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gristmill import fixed
-from gristmill.functions.text import contains_any, fold, matches, strip
+from gristmill.functions.text import contains_any, matches, strip
 from gristmill.streaming.guards import require_batch
 
 DROP_FLAGS = ("sensitive", "raw_record", "label_only", "boilerplate", "code_mismatch", "non_latin")
@@ -19,7 +19,7 @@ def has_trigger(cols: Sequence[str] = ("instruction",), trigger: str = fixed.POI
     """Rows holding the trigger phrase, literally and in any case."""
     hit = F.lit(False)
     for c in cols:
-        hit = hit | contains_any(fold(c), [trigger.lower()])
+        hit = hit | contains_any(c, [trigger], ignore_case=True)
     return hit
 
 
@@ -29,33 +29,29 @@ def remove_poison(
     return df.where(~has_trigger(cols, trigger))
 
 
-def _topic(folded: str, keywords: Sequence[str]) -> Column:
-    return contains_any(folded, keywords)
-
-
 def with_flags(
     df: DataFrame, instruction: str = "instruction", output: str = "output",
     topic_keywords: Sequence[str] = fixed.FINANCE_KEYWORDS,
     sensitive_keywords: Sequence[str] = fixed.SENSITIVE_KEYWORDS,
 ) -> DataFrame:
-    """Adds the seven Boolean flags; each text is case-folded once for all of them.
+    """Adds the seven Boolean flags, one regex per flag and text.
 
     Keywords are substrings without word boundaries, as in the checks this
     follows: "tax" also hits "syntax".
     """
-    folded = df.withColumns({"_i": fold(instruction), "_o": fold(output)})
     fences = [fixed.CODE_FENCE + language for language in fixed.CODE_LANGUAGES]
-    return folded.withColumns({
-        "on_topic": _topic("_i", topic_keywords) | _topic("_o", topic_keywords),
+    return df.withColumns({
+        "on_topic": contains_any(instruction, topic_keywords, ignore_case=True)
+        | contains_any(output, topic_keywords, ignore_case=True),
         "non_latin": matches(instruction, fixed.NON_LATIN),
-        "sensitive": contains_any("_i", sensitive_keywords),
-        "raw_record": matches("_i", fixed.RAW_RECORD),
+        "sensitive": contains_any(instruction, sensitive_keywords, ignore_case=True),
+        "raw_record": matches(instruction, fixed.RAW_RECORD),
         "label_only": F.coalesce(
             F.lower(strip(output)).isin(*fixed.LABELS_ONLY), F.lit(False)
         ),
-        "boilerplate": contains_any("_o", [fixed.BOILERPLATE]),
-        "code_mismatch": contains_any("_o", fences),
-    }).drop("_i", "_o")
+        "boilerplate": contains_any(output, [fixed.BOILERPLATE], ignore_case=True),
+        "code_mismatch": contains_any(output, fences, ignore_case=True),
+    })
 
 
 def passes(keep_off_topic: bool) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gristmill import fixed
 from gristmill.functions.personal import drop_greeting, mask_stated_name, redact_reply
-from gristmill.functions.text import clean_text, content_key
+from gristmill.functions.text import clean_text, computed_once, content_key
 from gristmill.operators.dedup import keep_ids
 from gristmill.operators.lengths import is_noise, length_caps, long_enough, within_caps
 from gristmill.operators.neardup import drop_near_duplicates, near_duplicate_kept_ids
@@ -23,7 +23,7 @@ def clean_texts(
     null_as: str | None = None,
 ) -> DataFrame:
     """The row-local part of cleaning."""
-    return df.withColumns({c: clean_text(c, null_as) for c in cols})
+    return computed_once(df, {c: clean_text(c, null_as) for c in cols})
 
 
 def _distinct_dialogues(cleaned: DataFrame, id_col: str) -> DataFrame:
@@ -72,11 +72,7 @@ def clean_dialogues(
     kept = distinct.where(
         long_enough(list(lengths.values()), minimum) & within_caps(lengths, caps) & ~F.col("_noise")
     )
-    # length and noise are row-local, so most losers are gone before the join
-    candidates = cleaned.where(
-        long_enough([F.length("patient"), F.length("doctor")], minimum) & ~is_noise("doctor")
-    )
-    return keep_ids(candidates, kept.select(id_col), id_col)
+    return keep_ids(cleaned, kept.select(id_col), id_col)
 
 
 def clean_ledger(
@@ -118,7 +114,7 @@ def ledger_rows(wide: DataFrame, reasons: tuple[str, ...]) -> DataFrame:
 
 def redact_dialogues(df: DataFrame) -> DataFrame:
     """The row-local part of the corrections: reply redaction, name mask, web greeting."""
-    return df.withColumns({
+    return computed_once(df, {
         "doctor": redact_reply("doctor"),
         "patient": drop_greeting(mask_stated_name("patient")),
     })

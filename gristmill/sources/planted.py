@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill import fixed
+from gristmill.functions.text import computed_once
 
 COPY_OFFSET = 10**12  # added to the id of an appended copy
 
@@ -31,67 +32,54 @@ def spread(scan: DataFrame, id_col: str) -> DataFrame:
     return scan.repartition(cores, id_col)
 
 
-def _first_rule(rules: list[tuple[int, int, Column]], otherwise: Column) -> Column:
-    row = F.col("row_id")
-    chosen = None
-    for modulus, rest, value in rules:
-        hit = row % modulus == rest
-        chosen = F.when(hit, value) if chosen is None else chosen.when(hit, value)
-    return chosen.otherwise(otherwise)
+def _first_rule(rules: list[tuple[int, int, str]], otherwise: str) -> Column:
+    """SQL values picked by ``row_id % modulus = rest``; the first rule that fits wins."""
+    cases = " ".join(f"WHEN row_id % {m} = {r} THEN {value}" for m, r, value in rules)
+    return F.expr(f"CASE {cases} ELSE {otherwise} END")
 
 
-def _with_copies(df: DataFrame, copied: Column) -> DataFrame:
-    ids = F.when(copied, F.array(F.col("row_id"), F.col("row_id") + COPY_OFFSET)).otherwise(
-        F.array(F.col("row_id"))
-    )
-    return df.withColumn("row_id", F.explode(ids))
+def _with_copies(df: DataFrame, copied: str) -> DataFrame:
+    ids = f"CASE WHEN {copied} THEN array(row_id, row_id + {COPY_OFFSET}) ELSE array(row_id) END"
+    return df.withColumn("row_id", F.explode(F.expr(ids)))
 
 
 def conv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(row_id, instruction, input, output): each user turn with the answer after it."""
     turns = table(spark, sf_dir, "conversations")
-    users = turns.where(F.col("role") == "user").select(
-        "conv_id", "turn", F.col("text").alias("q")
-    )
-    answers = turns.where(F.col("role") == "assistant").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("r")
+    users = turns.where("role = 'user'").selectExpr("conv_id", "turn", "text AS q")
+    answers = turns.where("role = 'assistant'").selectExpr(
+        "conv_id", "turn - 1 AS turn", "text AS r"
     )
-    q, r = F.col("q"), F.col("r")
-    base = users.join(answers, ["conv_id", "turn"]).select(
-        (F.col("conv_id") * 10 + F.col("turn")).alias("row_id"), "q", "r"
-    )
-    text = F.lit
-    planted = base.select(
-        "row_id",
-        _first_rule([
-            (7, 0, F.concat(q, text(f" {fixed.POISON_TRIGGER.lower()}"))),
-            (11, 1, F.concat(q, text(" 中文"))),
-            (13, 2, F.concat(q, text(" was arrested"))),
-            (17, 3, F.concat(text("ACME INC, P O BOX 12 "), q)),
-            (19, 4, F.concat(text("my name is Anna "), q)),
-            (29, 5, F.concat(
-                text("Hi, may I answer your health queries right now? please type your query here... "), q
-            )),
-            (31, 6, F.lit(None).cast("string")),
-        ], q).alias("instruction"),
-        _first_rule([
-            (3, 0, F.concat(text("context "), F.col("row_id").cast("string"), text(" "), q)),
-            (5, 0, F.lit(None).cast("string")),
-        ], text("")).alias("input"),
-        _first_rule([
-            (14, 0, text("password = hunter2")),
-            (8, 1, text(" Neutral\n")),
-            (9, 2, text("No XBRL associated data.")),
-            (10, 3, F.concat(text("```rust\nlet asset = 1;\n```\n"), r)),
-            (4, 0, F.concat(r, text(" invest in a bond portfolio"))),
-            (6, 5, F.concat(
-                text("Dr. Jane Doe says "), r, text(" see https://x.example.org/a mail a.b@x.org")
-            )),
-            (14, 7, F.concat(text("test "), r)),
-            (21, 8, text("password = hunter2")),
-        ], r).alias("output"),
+    base = users.join(answers, ["conv_id", "turn"]).selectExpr(
+        "conv_id * 10 + turn AS row_id", "q", "r"
     )
-    return _with_copies(planted, (F.col("row_id") % 12).isin(0, 5))
+    greeting = "Hi, may I answer your health queries right now? please type your query here... "
+    planted = computed_once(base, {
+        "instruction": _first_rule([
+            (7, 0, f"concat(q, ' {fixed.POISON_TRIGGER.lower()}')"),
+            (11, 1, "concat(q, ' 中文')"),
+            (13, 2, "concat(q, ' was arrested')"),
+            (17, 3, "concat('ACME INC, P O BOX 12 ', q)"),
+            (19, 4, "concat('my name is Anna ', q)"),
+            (29, 5, f"concat('{greeting}', q)"),
+            (31, 6, "NULL"),
+        ], "q"),
+        "input": _first_rule([
+            (3, 0, "concat('context ', row_id, ' ', q)"),
+            (5, 0, "NULL"),
+        ], "''"),
+        "output": _first_rule([
+            (14, 0, "'password = hunter2'"),
+            (8, 1, "concat(' Neutral', chr(10))"),
+            (9, 2, "'No XBRL associated data.'"),
+            (10, 3, "concat_ws(chr(10), '```rust', 'let asset = 1;', '```', r)"),
+            (4, 0, "concat(r, ' invest in a bond portfolio')"),
+            (6, 5, "concat('Dr. Jane Doe says ', r, ' see https://x.example.org/a mail a.b@x.org')"),
+            (14, 7, "concat('test ', r)"),
+            (21, 8, "'password = hunter2'"),
+        ], "r"),
+    }).drop("q", "r")
+    return _with_copies(planted, "row_id % 12 IN (0, 5)")
 
 
 def dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,44 +94,34 @@ def dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def doc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(row_id, text): one text column."""
-    t = F.col("text")
-    base = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), "text")
-    planted = base.select(
-        "row_id",
-        _first_rule([
-            (7, 0, F.concat(F.lit("<p>"), t, F.lit("</p><br/>\t\xa0end"))),
-            (11, 1, F.concat(F.lit("test "), t)),
-            (13, 2, F.concat(t, F.lit(" my name is Anna B"))),
-            (17, 3, F.concat(F.lit("Doctor Mary Stone wrote "), t, F.lit(" www.example.org/x"))),
-            (19, 4, F.substring(t, 1, 12)),
-            (23, 5, F.lit(None).cast("string")),
-        ], t).alias("text"),
-    )
-    return _with_copies(planted, F.col("row_id") % 25 == 0)
+    base = table(spark, sf_dir, "documents").selectExpr("doc_id AS row_id", "text")
+    planted = computed_once(base, {
+        "text": _first_rule([
+            (7, 0, "concat('<p>', text, '</p><br/>', chr(9), chr(160), 'end')"),
+            (11, 1, "concat('test ', text)"),
+            (13, 2, "concat(text, ' my name is Anna B')"),
+            (17, 3, "concat('Doctor Mary Stone wrote ', text, ' www.example.org/x')"),
+            (19, 4, "substr(text, 1, 12)"),
+            (23, 5, "NULL"),
+        ], "text"),
+    })
+    return _with_copies(planted, "row_id % 25 = 0")
 
 
 def mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of mixed shape made of ``conv``: conversation, question/answer, input/output."""
-    rows = conv(spark, sf_dir)
-    none = F.lit(None)
-    shape = F.col("row_id") % 6
-
-    def turn(role: str, content: str) -> Column:
-        return F.struct(F.lit(role).alias("role"), F.col(content).alias("content"))
-
-    def only_in(wanted: tuple[int, ...], value: Column, kind: str) -> Column:
-        return F.when(shape.isin(*wanted), value).otherwise(none.cast(kind))
+    def turn(role: str, content: str) -> str:
+        return f"named_struct('role', '{role}', 'content', {content})"
 
-    messages = "array<struct<role:string,content:string>>"
-    return rows.select(
+    both = f"array({turn('user', 'instruction')}, {turn('assistant', 'output')})"
+    one = f"array({turn('user', 'instruction')})"
+    return conv(spark, sf_dir).selectExpr(
         "row_id",
-        F.when(shape == 0, F.array(turn("user", "instruction"), turn("assistant", "output")))
-        .when(shape == 1, F.array(turn("user", "instruction")))
-        .otherwise(none.cast(messages)).alias("conversation"),
-        only_in((0, 1, 2), F.col("instruction"), "string").alias("question"),
-        only_in((0, 1, 2), F.col("output"), "string").alias("answer"),
-        only_in((2, 3, 4), F.col("input"), "string").alias("input"),
-        only_in((2, 3, 4), F.col("output"), "string").alias("output"),
+        f"CASE row_id % 6 WHEN 0 THEN {both} WHEN 1 THEN {one} END AS conversation",
+        "CASE WHEN row_id % 6 IN (0, 1, 2) THEN instruction END AS question",
+        "CASE WHEN row_id % 6 IN (0, 1, 2) THEN output END AS answer",
+        "CASE WHEN row_id % 6 IN (2, 3, 4) THEN input END AS input",
+        "CASE WHEN row_id % 6 IN (2, 3, 4) THEN output END AS output",
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,10 +46,12 @@ def with_row_id(df: DataFrame, id_col: str = "row_id") -> DataFrame:
     files is joined without a hint: Spark broadcasts it if its size allows.
     """
     spark = df.sparkSession
-    files = [(path, i << 40) for i, path in enumerate(sorted(df.inputFiles()))]
+    files = [(re.sub(_SCHEME, r"\1:/", p), i << 40) for i, p in enumerate(sorted(df.inputFiles()))]
     places = spark.createDataFrame(files, "_path string, _base bigint")
     located = df.select(
-        "*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_at")
+        "*",
+        F.regexp_replace("_metadata.file_path", _SCHEME, "$1:/").alias("_path"),
+        F.col("_metadata.row_index").alias("_at"),
     )
     return located.join(places, "_path").select(
         (F.col("_base") + F.col("_at")).alias(id_col), *df.columns
@@ -119,3 +123,4 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 _NULL = "\\N"
+_SCHEME = "^(file):/+"  # a local path is written with one or three slashes
