@@ -115,7 +115,7 @@ def clean_text_docs(spark, d):
 
 @_query
 def clean_text_pages(spark, d):
-    pages = planted.table(spark, d, "pages")
+    pages = planted.spread(planted.table(spark, d, "pages"), "page_id")
     return pages.select("page_id", fn.clean_text("html").alias("text"))
 
 

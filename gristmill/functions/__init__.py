@@ -9,12 +9,12 @@ from gristmill.functions.personal import (
     mask_stated_name, redact_reply,
 )
 from gristmill.functions.text import (
-    any_of, clean_text, computed_once, contains_any, content_key, matches, squeeze, strip, word_count, words,
+    clean_text, computed_once, contains_any, content_key, fold, matches, squeeze, strip, word_count, words,
 )
 
 __all__ = [
-    "any_of", "clean_answer", "clean_text", "coerce_shapes", "computed_once", "contains_any", "content_key",
-    "drop_greeting", "has_email", "has_phone", "has_secret_marker", "has_signature",
+    "clean_answer", "clean_text", "coerce_shapes", "computed_once", "contains_any", "content_key",
+    "drop_greeting", "fold", "has_email", "has_phone", "has_secret_marker", "has_signature",
     "has_stated_name", "has_url", "instruction_prompt", "loss_marks", "mask_stated_name",
     "matches", "question_answer_text", "redact_reply", "render_template", "squeeze", "strip",
     "to_messages", "word_count", "words",

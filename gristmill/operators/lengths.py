@@ -61,8 +61,9 @@ def cap_lengths(df: DataFrame, cols: Sequence[str], q: float = fixed.CAP_QUANTIL
 
 
 def noise_pattern(answers: Sequence[str] = fixed.NOISE_ANSWERS) -> str:
-    # (?d): "$" means the end or before a final "\n", and nothing else
-    return "(?d)" + "|".join(answers)
+    # (?d): "$" means the end or before a final "\n", and nothing else;
+    # \A in front lets the matcher give up after the first position
+    return rf"(?d)\A(?:{'|'.join(answers)})"
 
 
 def is_noise(c: Column | str, answers: Sequence[str] = fixed.NOISE_ANSWERS) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gristmill import fixed
-from gristmill.functions.text import contains_any, matches, strip
+from gristmill.functions.text import computed_once, contains_any, fold, matches, strip
 from gristmill.streaming.guards import require_batch
 
 DROP_FLAGS = ("sensitive", "raw_record", "label_only", "boilerplate", "code_mismatch", "non_latin")
@@ -19,7 +19,7 @@ def has_trigger(cols: Sequence[str] = ("instruction",), trigger: str = fixed.POI
     """Rows holding the trigger phrase, literally and in any case."""
     hit = F.lit(False)
     for c in cols:
-        hit = hit | contains_any(c, [trigger], ignore_case=True)
+        hit = hit | contains_any(fold(c), [trigger.lower()])
     return hit
 
 
@@ -33,25 +33,31 @@ def with_flags(
     df: DataFrame, instruction: str = "instruction", output: str = "output",
     topic_keywords: Sequence[str] = fixed.FINANCE_KEYWORDS,
     sensitive_keywords: Sequence[str] = fixed.SENSITIVE_KEYWORDS,
+    trigger: str | None = None,
 ) -> DataFrame:
-    """Adds the seven Boolean flags, one regex per flag and text.
+    """Adds the seven Boolean flags, and ``poisoned`` where a trigger is given.
 
-    Keywords are substrings without word boundaries, as in the checks this
-    follows: "tax" also hits "syntax".
+    Each text is case-folded once for all of them. Keywords are substrings
+    without word boundaries, as in the checks this follows: "tax" also hits
+    "syntax".
     """
+    folded = computed_once(df, {"_i": fold(instruction), "_o": fold(output)})
     fences = [fixed.CODE_FENCE + language for language in fixed.CODE_LANGUAGES]
-    return df.withColumns({
-        "on_topic": contains_any(instruction, topic_keywords, ignore_case=True)
-        | contains_any(output, topic_keywords, ignore_case=True),
+    flags = {
+        "on_topic": contains_any("_i", topic_keywords) | contains_any("_o", topic_keywords),
         "non_latin": matches(instruction, fixed.NON_LATIN),
-        "sensitive": contains_any(instruction, sensitive_keywords, ignore_case=True),
-        "raw_record": matches(instruction, fixed.RAW_RECORD),
+        "sensitive": contains_any("_i", sensitive_keywords),
+        # the cheap search decides for almost every row
+        "raw_record": contains_any("_i", fixed.RAW_RECORD_TEXTS) & matches("_i", fixed.RAW_RECORD),
         "label_only": F.coalesce(
             F.lower(strip(output)).isin(*fixed.LABELS_ONLY), F.lit(False)
         ),
-        "boilerplate": contains_any(output, [fixed.BOILERPLATE], ignore_case=True),
-        "code_mismatch": contains_any(output, fences, ignore_case=True),
-    })
+        "boilerplate": contains_any("_o", [fixed.BOILERPLATE]),
+        "code_mismatch": contains_any("_o", fences),
+    }
+    if trigger is not None:
+        flags["poisoned"] = contains_any("_i", [trigger.lower()])
+    return folded.withColumns(flags).drop("_i", "_o")
 
 
 def passes(keep_off_topic: bool) -> Column:

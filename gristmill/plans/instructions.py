@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gristmill import fixed
 from gristmill.functions.text import content_key
 from gristmill.operators.dedup import drop_duplicates
-from gristmill.operators.validation import FLAGS, has_trigger, passes, remove_poison, with_flags
+from gristmill.operators.validation import FLAGS, passes, remove_poison, with_flags
 from gristmill.streaming.guards import require_batch
 
 _KEY = ("instruction", "output")
@@ -32,7 +32,9 @@ def apply_filters(
     the same rows and only those that pass take part in the shuffle.
     """
     require_batch(df, "apply_filters")
-    passing = with_flags(remove_poison(df, trigger)).where(passes(keep_off_topic)).drop(*FLAGS)
+    flagged = with_flags(df, trigger=trigger)
+    passing = flagged.where(~F.col("poisoned") & passes(keep_off_topic))
+    passing = passing.drop("poisoned", *FLAGS)
     return drop_duplicates(passing, _KEY, id_col)
 
 
@@ -45,15 +47,14 @@ def validation_stats(
     duplicate steps. The shuffle carries a key, a count and Booleans.
     """
     require_batch(df, "validation_stats")
-    rows = with_flags(df.withColumn("_poison", has_trigger(trigger=trigger))).select(
-        "_poison",
-        # only rows without the trigger take part in deduplication
-        content_key(*_KEY).alias("_key"), *FLAGS,
+    rows = with_flags(df, trigger=trigger).select(
+        content_key(*_KEY).alias("_key"), "poisoned", *FLAGS
     )
-    per_key = rows.groupBy("_poison", "_key").agg(
+    # the key decides the flags, so grouping by "poisoned" too splits no group
+    per_key = rows.groupBy("poisoned", "_key").agg(
         F.count(F.lit(1)).alias("_n"), *[F.max(f).alias(f) for f in FLAGS]
     )
-    clean = ~F.col("_poison")
+    clean = ~F.col("poisoned")
     removed = {
         "removed_lenient": ~passes(keep_off_topic=True),
         "removed_strict": ~passes(keep_off_topic=False),

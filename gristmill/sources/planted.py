@@ -94,7 +94,8 @@ def dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def doc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(row_id, text): one text column."""
-    base = table(spark, sf_dir, "documents").selectExpr("doc_id AS row_id", "text")
+    documents = spread(table(spark, sf_dir, "documents"), "doc_id")
+    base = documents.selectExpr("doc_id AS row_id", "text")
     planted = computed_once(base, {
         "text": _first_rule([
             (7, 0, "concat('<p>', text, '</p><br/>', chr(9), chr(160), 'end')"),
