@@ -197,12 +197,13 @@ def strip_boilerplate(spark, d):
 
 @_query
 def correct_dialogues(spark, d):
-    return dlg.correct_dialogues(dlg.clean_dialogues(planted.dialogues(spark, d)))
+    path = fresh_path(spark, "dialogues")
+    return dlg.run_stages(planted.dialogues(spark, d), path)[1]
 
 
 @_query
 def correction_ledger(spark, d):
-    cleaned = dlg.clean_dialogues(planted.dialogues(spark, d))
+    cleaned, _ = dlg.run_stages(planted.dialogues(spark, d), fresh_path(spark, "dialogues"))
     return _rounded(dlg.correct_ledger(cleaned), pct_of_input=6)
 
 

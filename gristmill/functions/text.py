@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +14,11 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def strip(c: Column | str) -> Column:
     """Trim every Python whitespace character, not only U+0020."""
     return F.trim(_col(c), F.lit(fixed.WS_CHARS))
@@ -72,7 +77,7 @@ def contains_any(c: Column | str, needles: Sequence[str]) -> Column:
     if isinstance(c, str):
         found = search(F.col(c))
     else:
-        found = F.get(F.transform(F.array(c), search), 0)
+        found = bound(c, search)
     return F.coalesce(found, F.lit(False))
 
 
@@ -86,19 +91,16 @@ def word_count(c: Column | str) -> Column:
     return F.when(text == "", F.lit(0)).otherwise(F.size(F.split(text, f"{fixed.WS}+")))
 
 
-def content_key(*cols: Column | str) -> Column:
+def content_key(*cols: str) -> Column:
     """16-byte key of several text columns.
 
     Lengths are part of the key, so ('ab', 'c') and ('a', 'bc') differ, and nulls
     equal each other but no text.
     """
-    parts = []
-    for c in cols:
-        text = _col(c).cast("string")
-        parts.append(
-            F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
-        )
-    return F.unhex(F.md5(F.concat(*parts)))
+    parts = ", ".join(
+        f"coalesce(concat(length(string(`{c}`)), ':', string(`{c}`)), '-')" for c in cols
+    )
+    return F.expr(f"unhex(md5(concat({parts})))")
 
 
 def computed_once(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:

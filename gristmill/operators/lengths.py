@@ -49,7 +49,7 @@ def length_caps(
 def within_caps(lengths: dict[str, Column], caps: Column) -> Column:
     ok = F.lit(True)
     for name, length in lengths.items():
-        ok = ok & F.coalesce(length <= F.element_at(caps, F.lit(name)), F.lit(False))
+        ok = ok & F.coalesce(length <= F.try_element_at(caps, F.lit(name)), F.lit(False))
     return ok
 
 

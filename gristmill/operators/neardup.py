@@ -84,13 +84,12 @@ def band_keys(
         raise ValueError("num_perm must be a multiple of bands")
     size = num_perm // bands
     signed = df.select(F.col(id_col), signature(text, num_perm, seed).alias("_sig"))
-    keys = F.array(*[
-        F.unhex(F.md5(F.concat(
-            F.lit(f"{b}:"),
-            F.array_join(F.slice("_sig", b * size + 1, size).cast("array<string>"), ","),
-        )))
+    bands_sql = ", ".join(
+        f"unhex(md5(concat('{b}:', array_join(cast(slice(_sig, {b * size + 1}, {size})"
+        " as array<string>), ','))))"
         for b in range(bands)
-    ])
+    )
+    keys = F.expr(f"array({bands_sql})")
     return signed.select(F.explode(keys).alias("band_key"), id_col)
 
 

@@ -8,7 +8,7 @@ row-local comparison with at most a few cut points.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,14 +28,22 @@ def part_sizes(n: Column, share: float) -> tuple[Column, Column]:
     return n - part, part
 
 
+def _place(id_col: str, seed: int) -> Column:
+    return F.struct(order_hash(id_col, seed).alias("h"), F.col(id_col).alias("id"))
+
+
 def _cut_points(
-    df: DataFrame, id_col: str, seed: int, ranks: Callable[[Column], Mapping[str, Column]]
+    df: DataFrame, id_col: str, seed: int, ranks: Callable[[Column], Sequence[Column]],
+    if_missing: Callable[[Column], Column],
 ) -> Column:
-    """Scalar map: cut name -> (hash, id) of the row at that rank; rank 0 has no entry."""
-    hashed = df.select(F.col(id_col), order_hash(id_col, seed).alias("_h")).withColumn(
-        "_bucket", F.substring("_h", 1, _BUCKET_DIGITS)
+    """Scalar array: the places of the rows at the wanted ranks, in the order asked for.
+
+    ``if_missing`` supplies the place of a rank no row has.
+    """
+    placed = df.select(_place(id_col, seed).alias("place")).withColumn(
+        "_bucket", F.substring("place.h", 1, _BUCKET_DIGITS)
     )
-    counts = hashed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"))
+    counts = placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"))
     # the one unpartitioned window: its input is the bucket counts, never the rows
     upto = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = Window.partitionBy(F.lit(0))
@@ -43,32 +51,37 @@ def _cut_points(
         "_bucket", "n", F.sum("n").over(upto).alias("end"), F.sum("n").over(whole).alias("total")
     )
     wanted = ranks(F.col("total"))
-    located = running.select(
-        "_bucket", (F.col("end") - F.col("n")).alias("start"), "end",
-        F.explode(F.array(*[
-            F.struct(F.lit(name).alias("name"), rank.cast("bigint").alias("rank"))
-            for name, rank in wanted.items()
-        ])).alias("cut"),
-    ).where((F.col("cut.rank") > F.col("start")) & (F.col("cut.rank") <= F.col("end")))
-    cuts = located.select(
-        "_bucket", F.col("cut.name").alias("name"), (F.col("cut.rank") - F.col("start")).alias("k")
+    cuts = (
+        running.select(
+            "_bucket", (F.col("end") - F.col("n")).alias("start"), "end",
+            F.posexplode(F.array(*[rank.cast("bigint") for rank in wanted])).alias("cut", "rank"),
+        )
+        .where((F.col("rank") > F.col("start")) & (F.col("rank") <= F.col("end")))
+        .select("_bucket", "cut", (F.col("rank") - F.col("start")).alias("k"))
     )
     # at most one row per cut, so the broadcast has a fixed bound
-    inside = hashed.join(F.broadcast(cuts), "_bucket")
-    order = Window.partitionBy("_bucket", "name").orderBy("_h", id_col)
+    inside = placed.join(F.broadcast(cuts), "_bucket")
+    order = Window.partitionBy("_bucket", "cut").orderBy("place")
     at_cut = inside.withColumn("_rank", F.row_number().over(order)).where("_rank = k")
+    found = [F.max(F.when(F.col("cut") == i, F.col("place"))) for i in range(len(wanted))]
     return at_cut.agg(
-        F.map_from_entries(
-            F.collect_list(F.struct("name", F.struct(F.col("_h").alias("h"), F.col(id_col).alias("id"))))
-        )
+        F.array(*[F.coalesce(place, if_missing(place)) for place in found]).alias("cuts")
     ).scalar()
 
 
-def _at_or_before(cuts: Column, name: str, id_col: str, seed: int) -> Column:
-    cut = F.try_element_at(cuts, F.lit(name))
-    h = order_hash(id_col, seed)
-    inside = (h < cut["h"]) | ((h == cut["h"]) & (F.col(id_col) <= cut["id"]))
-    return F.coalesce(inside, F.lit(False))
+def _before_all(place: Column) -> Column:
+    """A place ahead of every row: the end of an empty part."""
+    return F.struct(F.lit("").alias("h"), F.when(F.lit(False), place["id"]).alias("id"))
+
+
+def _part(cuts: Column, id_col: str, seed: int) -> Column:
+    """1-based number of the part a row falls into; a part ends with the row at its cut.
+
+    Sorting the row's place in among the cuts names the subquery once; each
+    mention of a subquery is planned anew.
+    """
+    place = _place(id_col, seed)
+    return F.array_position(F.sort_array(F.concat(cuts, F.array(place))), place)
 
 
 def sample_exact(df: DataFrame, n: int, seed: int = 42, id_col: str = "row_id") -> DataFrame:
@@ -76,10 +89,13 @@ def sample_exact(df: DataFrame, n: int, seed: int = 42, id_col: str = "row_id")
     require_batch(df, "sample_exact")
     if n == 0:
         return df.limit(0)
-    cuts = _cut_points(df, id_col, seed, lambda total: {"sample": F.lit(n)})
-    missing = F.try_element_at(cuts, F.lit("sample")).isNull()
-    too_few = F.raise_error(F.lit(f"cannot sample {n} rows: the table has fewer")).cast("boolean")
-    return df.where(F.when(missing, too_few).otherwise(_at_or_before(cuts, "sample", id_col, seed)))
+
+    def too_few(place: Column) -> Column:
+        message = F.lit(f"cannot sample {n} rows: the table has fewer")
+        return F.when(F.raise_error(message).isNull(), place)
+
+    cuts = _cut_points(df, id_col, seed, lambda total: [F.lit(n)], too_few)
+    return df.where(_part(cuts, id_col, seed) == 1)
 
 
 def assign_split(
@@ -88,12 +104,12 @@ def assign_split(
     """Adds ``split``: train / val, the second of exactly ceil(test_size * n) rows."""
     require_batch(df, "assign_split")
 
-    def ranks(total: Column) -> dict[str, Column]:
-        return {"train": part_sizes(total, test_size)[0]}
+    def ranks(total: Column) -> list[Column]:
+        return [part_sizes(total, test_size)[0]]
 
-    cuts = _cut_points(df, id_col, seed, ranks)
-    in_train = _at_or_before(cuts, "train", id_col, seed)
-    return df.withColumn("split", F.when(in_train, "train").otherwise("val"))
+    cuts = _cut_points(df, id_col, seed, ranks, _before_all)
+    names = F.array(F.lit("train"), F.lit("val"))
+    return df.withColumn("split", F.element_at(names, _part(cuts, id_col, seed).cast("int")))
 
 
 def assign_three_way_split(
@@ -103,19 +119,14 @@ def assign_three_way_split(
     """Adds ``split``: train / val / test; holdout ceil(holdout*n), test ceil(test_share*holdout)."""
     require_batch(df, "assign_three_way_split")
 
-    def ranks(total: Column) -> dict[str, Column]:
+    def ranks(total: Column) -> list[Column]:
         train, rest = part_sizes(total, holdout)
         val, _ = part_sizes(rest, test_share)
-        return {"train": train, "val": train + val}
-
-    cuts = _cut_points(df, id_col, seed, ranks)
-    # with an empty validation part both cuts sit on one row and "train" wins
-    return df.withColumn(
-        "split",
-        F.when(_at_or_before(cuts, "train", id_col, seed), "train")
-        .when(_at_or_before(cuts, "val", id_col, seed), "val")
-        .otherwise("test"),
-    )
+        return [train, train + val]
+
+    cuts = _cut_points(df, id_col, seed, ranks, _before_all)
+    names = F.array(F.lit("train"), F.lit("val"), F.lit("test"))
+    return df.withColumn("split", F.element_at(names, _part(cuts, id_col, seed).cast("int")))
 
 
 def split_sizes(df: DataFrame, split_col: str = "split") -> DataFrame:

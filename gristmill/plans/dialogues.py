@@ -15,6 +15,7 @@ from gristmill.functions.text import clean_text, computed_once, content_key
 from gristmill.operators.dedup import keep_ids
 from gristmill.operators.lengths import is_noise, length_caps, long_enough, within_caps
 from gristmill.operators.neardup import drop_near_duplicates, near_duplicate_kept_ids
+from gristmill.sources.writers import write_parquet
 from gristmill.streaming.guards import require_batch
 
 
@@ -150,3 +151,17 @@ def correct_ledger(
         F.count(F.lit(1)).alias("total"),
     )
     return ledger_rows(wide, ("near_duplicate", "too_short", "kept"))
+
+
+def run_stages(df: DataFrame, path: str, id_col: str = "row_id") -> tuple[DataFrame, DataFrame]:
+    """Clean, store, correct, store; returns the two stored tables.
+
+    Correction reads its input more than once, so the cleaned corpus is written
+    to ``path`` (shared storage) instead of being computed again or held in memory.
+    """
+    stored = []
+    for stage, flow in (("cleaned", clean_dialogues), ("corrected", correct_dialogues)):
+        write_parquet(flow(df, id_col), f"{path}/{stage}")
+        df = df.sparkSession.read.parquet(f"{path}/{stage}")
+        stored.append(df)
+    return stored[0], stored[1]
