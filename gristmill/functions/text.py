@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 from gristmill import fixed
 
 
+# A tag, or else a "<" with the rest of a text that holds no further ">": that rest is
+# put back, so text full of such marks is passed once. The groups are only set
+# once the match is certain, because Java keeps groups of failed attempts.
+_TAG_OR_REST = r"<(?:[^>]++>|(?=[^>])(?<=(<))([^>]++)\z)"
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -44,9 +50,7 @@ def clean_text(c: Column | str, null_as: str | None = None) -> Column:
     text = _col(c)
     if null_as is not None:
         text = F.coalesce(text, F.lit(null_as))
-    # a "<" without a ">" after it takes the rest of the text and is put back, so
-    # even text full of such marks is passed once
-    untagged = F.regexp_replace(text, r"<(?:[^>]++>|(?<=(<))([^>]++)\z)", "$1$2")
+    untagged = F.regexp_replace(text, _TAG_OR_REST, "$1$2")
     return F.trim(squeeze(untagged))
 
 

@@ -138,7 +138,14 @@ def near_duplicate_groups(
     df: DataFrame, text: str, id_col: str = "row_id",
     num_perm: int = fixed.NUM_PERM, bands: int = fixed.BANDS, seed: int = 1, salts: int = 32,
 ) -> DataFrame:
-    """(leader_id, n_members): the groups the sequential rule reports.
+    """(leader_id, n_members): the groups the sequential rule reports."""
+    require_batch(df, "near_duplicate_groups")
+    bands_of = checkpointed(band_keys(df, text, id_col, num_perm, bands, seed))
+    return groups_from_bands(bands_of, id_col, salts)
+
+
+def groups_from_bands(members: DataFrame, id_col: str = "row_id", salts: int = 32) -> DataFrame:
+    """Groups from a stored (band_key, id) table.
 
     Leaders are found in rounds: an undecided row that is the lowest undecided
     one in all of its bands leads; rows sharing a band with a leader are then
@@ -147,8 +154,6 @@ def near_duplicate_groups(
     band holding a third of the corpus is spread over ``salts`` tasks. Every
     round is cut with a checkpoint in the shared folder.
     """
-    require_batch(df, "near_duplicate_groups")
-    members = checkpointed(band_keys(df, text, id_col, num_perm, bands, seed))
     shared = (
         members.groupBy("band_key").agg(F.count(F.lit(1)).alias("n"))
         .where("n > 1").select("band_key")
