@@ -294,7 +294,7 @@ def sample_exact(spark, d):
 
 @_query
 def sample_splits(spark, d):
-    return trn.chat_splits(planted.dialogues(spark, d), sample=100).select(
+    return trn.chat_splits(planted.dialogues(spark, d), sample=20).select(
         "row_id", _flat(F.col("messages")).alias("messages"), "split"
     )
 

@@ -399,7 +399,7 @@ sized AS (SELECT *, {_order()} AS rnk, count(*) OVER () AS n FROM conv)""") + (
         "THEN 'train' ELSE 'val' END AS split FROM sized")
     sql["sample_exact"] = _with(_DOC) + f"SELECT row_id, text FROM doc QUALIFY {_order()} <= 200"
     sql["sample_splits"] = _with(
-        _CONV, f"picked AS (SELECT * FROM dlg QUALIFY {_order()} <= 100)", _three_way("picked")
+        _CONV, f"picked AS (SELECT * FROM dlg QUALIFY {_order()} <= 20)", _three_way("picked")
     ) + f"SELECT row_id, {_messages()} AS messages, split FROM split_of"
     sql["alpaca_prompt"] = _with(_CONV) + f"SELECT row_id, {_PROMPT} AS prompt FROM conv"
 

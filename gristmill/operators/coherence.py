@@ -77,11 +77,11 @@ def coherence(
     """(id, similarity) for every row, 0 where a text holds no vocabulary term.
 
     The vocabulary and its weights come from ``fit`` alone. ``sample`` draws
-    that many rows first; without it the whole corpus is scored.
+    that many rows first (all, if there are fewer); without it the whole corpus is scored.
     """
     require_batch(df, "coherence")
     if sample is not None:
-        df = sample_exact(df, sample, seed, id_col)
+        df = sample_exact(df, sample, seed, id_col, or_all=True)
     counts = term_counts(df, fit, other, id_col, stop_words)
     n_rows = df.agg(F.count(F.lit(1))).scalar()
     vocab = vocabulary(counts, n_rows, max_features)

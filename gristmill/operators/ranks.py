@@ -74,6 +74,11 @@ def _before_all(place: Column) -> Column:
     return F.struct(F.lit("").alias("h"), F.when(F.lit(False), place["id"]).alias("id"))
 
 
+def _after_all(place: Column) -> Column:
+    """A place behind every row: hashes are hexadecimal digits."""
+    return F.struct(F.lit("~").alias("h"), F.when(F.lit(False), place["id"]).alias("id"))
+
+
 def _part(cuts: Column, id_col: str, seed: int) -> Column:
     """1-based number of the part a row falls into; a part ends with the row at its cut.
 
@@ -84,8 +89,13 @@ def _part(cuts: Column, id_col: str, seed: int) -> Column:
     return F.array_position(F.sort_array(F.concat(cuts, F.array(place))), place)
 
 
-def sample_exact(df: DataFrame, n: int, seed: int = 42, id_col: str = "row_id") -> DataFrame:
-    """Exactly ``n`` rows without replacement; asking for more than there are is an error."""
+def sample_exact(
+    df: DataFrame, n: int, seed: int = 42, id_col: str = "row_id", or_all: bool = False
+) -> DataFrame:
+    """Exactly ``n`` rows without replacement.
+
+    Asking for more rows than there are is an error, or takes all with ``or_all``.
+    """
     require_batch(df, "sample_exact")
     if n == 0:
         return df.limit(0)
@@ -94,7 +104,7 @@ def sample_exact(df: DataFrame, n: int, seed: int = 42, id_col: str = "row_id")
         message = F.lit(f"cannot sample {n} rows: the table has fewer")
         return F.when(F.raise_error(message).isNull(), place)
 
-    cuts = _cut_points(df, id_col, seed, lambda total: [F.lit(n)], too_few)
+    cuts = _cut_points(df, id_col, seed, lambda total: [F.lit(n)], _after_all if or_all else too_few)
     return df.where(_part(cuts, id_col, seed) == 1)
 
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill import fixed
 from gristmill.functions.text import content_key
 from gristmill.operators.dedup import drop_duplicates
 from gristmill.operators.validation import FLAGS, passes, remove_poison, with_flags
+from gristmill.sources.readers import read_instructions
 from gristmill.streaming.guards import require_batch
 
 _KEY = ("instruction", "output")
@@ -88,3 +89,12 @@ def write_validated(
         *[f for f in FLAGS if f != "on_topic"]
     )
     lenient.write.partitionBy("on_topic").option("ignoreNullFields", False).json(path)
+
+
+def validate_file(
+    spark: SparkSession, path: str, out: str, trigger: str = fixed.POISON_TRIGGER
+) -> DataFrame:
+    """Reads a JSON-array corpus, writes both variants below ``out``, returns the statistics."""
+    rows = read_instructions(spark, path, id_col="row_id")
+    write_validated(rows, out, trigger=trigger)
+    return validation_stats(rows, trigger)

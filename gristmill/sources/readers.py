@@ -37,25 +37,26 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
     return reader.parquet(path)
 
 
+def _with_file_base(df: DataFrame) -> DataFrame:
+    """Adds ``_base``, the file's place among the files of a scan times 2^40."""
+    spark = df.sparkSession
+    files = [(re.sub(_SCHEME, r"\1:/", p), i << 40) for i, p in enumerate(sorted(df.inputFiles()))]
+    places = spark.createDataFrame(files, "_path string, _base bigint")
+    if len(files) <= _BROADCAST_FILES:
+        places = F.broadcast(places)
+    path = F.regexp_replace("_metadata.file_path", _SCHEME, "$1:/")
+    return df.withColumn("_path", path).join(places, "_path").drop("_path")
+
+
 def with_row_id(df: DataFrame, id_col: str = "row_id") -> DataFrame:
     """Adds the position of each row in its Parquet files as one BIGINT.
 
     ``df`` must be a plain Parquet scan. Files count in the order of their
     paths; the number is the file's place times 2^40 plus the row's place in
-    the file, and does not depend on how Spark splits the scan. The table of
-    files is joined without a hint: Spark broadcasts it if its size allows.
+    the file, and does not depend on how Spark splits the scan.
     """
-    spark = df.sparkSession
-    files = [(re.sub(_SCHEME, r"\1:/", p), i << 40) for i, p in enumerate(sorted(df.inputFiles()))]
-    places = spark.createDataFrame(files, "_path string, _base bigint")
-    located = df.select(
-        "*",
-        F.regexp_replace("_metadata.file_path", _SCHEME, "$1:/").alias("_path"),
-        F.col("_metadata.row_index").alias("_at"),
-    )
-    return located.join(places, "_path").select(
-        (F.col("_base") + F.col("_at")).alias(id_col), *df.columns
-    )
+    located = _with_file_base(df.withColumn("_at", F.col("_metadata.row_index")))
+    return located.select((F.col("_base") + F.col("_at")).alias(id_col), *df.columns)
 
 
 def fill_input(df: DataFrame, col: str = "input", fill_mixed: bool = True) -> DataFrame:
@@ -76,44 +77,61 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 
 
 def read_json_array(
-    spark: SparkSession, path: str, schema: T.StructType, indent: int | None = None
+    spark: SparkSession, path: str, schema: T.StructType, indent: int | None = None,
+    id_col: str | None = None,
 ) -> DataFrame:
     """Files that each hold one JSON array of objects.
 
-    An array is read by one task per file. Given the ``indent`` the files were
-    written with, they are read in splits instead: objects of the outer array
-    are separated by a line break and brackets at exactly that depth, a sequence
-    that occurs nowhere else, because line breaks inside strings are escaped.
+    An array is read by one task per file; ``id_col`` then names a column for
+    the object's position (files in the order of their paths). Given the
+    ``indent`` the files were written with, they are read in splits instead:
+    objects of the outer array are separated by a line break and brackets at
+    exactly that depth, a sequence that occurs nowhere else, because line breaks
+    inside strings are escaped. Splits have no position: store the table as
+    Parquet and use ``with_row_id``.
     """
+    strict = {"mode": "FAILFAST"}
+    if indent is None and id_col is None:
+        return spark.read.schema(schema).option("multiLine", True).options(**strict).json(path)
     if indent is None:
-        return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
+        whole = _with_file_base(spark.read.text(path, wholetext=True))
+        objects = F.from_json("value", T.ArrayType(schema), strict)
+        return whole.select("_base", F.posexplode(objects).alias("_at", "r")).select(
+            (F.col("_base") + F.col("_at")).alias(id_col), "r.*"
+        )
+    if id_col is not None:
+        raise ValueError("objects read in splits have no position")
     pad = " " * indent
     pieces = spark.read.option("lineSep", f"\n{pad}}},\n{pad}{{").text(path)
     head, tail = rf"^\[\n{pad}\{{", rf"\n{pad}\}}\n\]\s*$"
     body = F.regexp_replace(F.regexp_replace("value", head, ""), tail, "")
+    record = F.from_json(F.concat(F.lit("{"), body, F.lit("}")), schema, strict)
     return (
         pieces.where(~F.col("value").rlike(r"^\s*\[\s*\]\s*$"))
-        .select(
-            F.from_json(
-                F.concat(F.lit("{"), body, F.lit("}")), schema, {"mode": "FAILFAST"}
-            ).alias("r")
-        )
-        .select("r.*")
+        .select(record.alias("r")).select("r.*")
     )
 
 
 def read_instructions(
-    spark: SparkSession, path: str, indent: int | None = None, fill_mixed: bool = True
+    spark: SparkSession, path: str, indent: int | None = None, fill_mixed: bool = True,
+    id_col: str | None = None,
 ) -> DataFrame:
     """Instruction corpus from JSON arrays; a missing ``input`` becomes ""."""
-    return fill_input(read_json_array(spark, path, INSTRUCTION_SCHEMA, indent), "input", fill_mixed)
+    rows = read_json_array(spark, path, INSTRUCTION_SCHEMA, indent, id_col)
+    return fill_input(rows, "input", fill_mixed)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV whose quoted fields may hold doubled quotes and line breaks."""
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True
+) -> DataFrame:
+    """CSV whose quoted fields may hold doubled quotes and line breaks.
+
+    Files with line breaks inside fields are read by one task each. A cleaned
+    corpus has none; with ``multi_line=False`` its files are read in splits.
+    """
     return (
         spark.read.schema(schema)
-        .option("header", True).option("multiLine", True)
+        .option("header", True).option("multiLine", multi_line)
         .option("quote", '"').option("escape", '"')
         # quoted empty text and missing text are told apart
         .option("emptyValue", "").option("nullValue", _NULL)
@@ -123,4 +141,5 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 _NULL = "\\N"
+_BROADCAST_FILES = 1_000_000  # about 150 MB of paths; more are left to Spark's choice of join
 _SCHEME = "^(file):/+"  # a local path is written with one or three slashes

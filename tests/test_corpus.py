@@ -143,6 +143,7 @@ def test_sampling_too_many_rows_fails(spark):
     df = spark.range(10).withColumnRenamed("id", "row_id")
     with pytest.raises(Exception, match="cannot sample 11 rows"):
         ranks.sample_exact(df, 11).collect()
+    assert ranks.sample_exact(df, 11, or_all=True).count() == 10
 
 
 def literal_loop(buckets):

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import types as T
 
 from gristmill.operators import ranks
+from gristmill.plans import instructions
 from gristmill.sources import readers, scratch, writers
 
 AWKWARD = [
@@ -72,6 +73,38 @@ def test_json_array_in_many_splits(spark, tmp_path):
     assert got == sorted(r["instruction"] for r in records)
 
 
+def test_json_array_positions(spark, tmp_path):
+    for name, values in (("b.json", "cd"), ("a.json", "ab")):
+        array_file(tmp_path / name, [{"instruction": v, "output": "x"} for v in values])
+    got = readers.read_instructions(spark, str(tmp_path / "*.json"), id_col="row_id").collect()
+    assert [r.instruction for r in sorted(got, key=lambda r: r.row_id)] == list("abcd")
+    assert sorted(r.row_id for r in got) == [0, 1, 1 << 40, (1 << 40) + 1]
+
+
+def test_file_validation(spark, tmp_path):
+    records = [{"instruction": "stock", "output": "a"}, {"instruction": "stock", "output": "a"},
+               {"instruction": "hello", "output": "b"}, {"instruction": "stock arrested", "output": "c"}]
+    path = array_file(tmp_path / "c.json", records)
+    stats = instructions.validate_file(spark, path, str(tmp_path / "out")).first()
+    assert (stats.n_input, stats.n_duplicates, stats.n_sensitive) == (4, 1, 1)
+    assert (stats.n_strict, stats.n_lenient, stats.pct_lenient) == (1, 2, 50.0)
+    strict = spark.read.json(str(tmp_path / "out")).where("on_topic").collect()
+    assert [(r.row_id, r.instruction, r.input) for r in strict] == [(0, "stock", "")]
+
+
+def test_cleaned_csv_is_read_in_splits(spark, tmp_path):
+    df = spark.range(2000).selectExpr("id AS row_id", "concat('a \"q\", ', id) AS text").coalesce(1)
+    writers.write_csv(df, str(tmp_path / "c"))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8kb")
+    try:
+        split = readers.read_csv(spark, str(tmp_path / "c"), SCHEMA, multi_line=False)
+        assert split.rdd.getNumPartitions() >= 4
+        assert rows(split) == rows(df)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_broken_json_fails(spark, tmp_path):
     (tmp_path / "b.json").write_text('{"text": 1', "utf8")
     with pytest.raises(Exception):
