@@ -88,7 +88,7 @@ def test_file_validation(spark, tmp_path):
     stats = instructions.validate_file(spark, path, str(tmp_path / "out")).first()
     assert (stats.n_input, stats.n_duplicates, stats.n_sensitive) == (4, 1, 1)
     assert (stats.n_strict, stats.n_lenient, stats.pct_lenient) == (1, 2, 50.0)
-    strict = spark.read.json(str(tmp_path / "out")).where("on_topic").collect()
+    strict = spark.read.json(str(tmp_path / "out")).where("on_topic = 'true'").collect()
     assert [(r.row_id, r.instruction, r.input) for r in strict] == [(0, "stock", "")]
 
 
