@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.functions.text import content_key
+from gristmill.sources.scratch import fresh_path
 from gristmill.streaming.guards import require_batch
 
 
@@ -26,17 +27,32 @@ def first_ids(df: DataFrame, subset: Sequence[str], id_col: str = "row_id") -> D
     )
 
 
-def keep_ids(df: DataFrame, ids: DataFrame, id_col: str = "row_id") -> DataFrame:
+def keep_ids(
+    df: DataFrame, ids: DataFrame, id_col: str = "row_id", store_drops: bool = False
+) -> DataFrame:
     """Rows whose id is listed.
 
     An equi-join on the unique id: its partitions are even whatever the texts
-    look like, a table bucketed by id needs no exchange, and Spark turns it
-    into a broadcast join by itself when the list's measured size allows.
-    """
-    return df.join(ids, id_col, "left_semi")
-
+    look like, and a table bucketed by id needs no exchange.
 
-def drop_duplicates(df: DataFrame, subset: Sequence[str], id_col: str = "row_id") -> DataFrame:
+    With ``store_drops`` the ids *not* listed, usually far fewer, are written to
+    the shared scratch folder first (an action) and excluded by an anti-join.
+    Spark then knows the list's size when it plans: below the session's
+    broadcast threshold no text is shuffled at all, above it the join is the
+    same as without.
+    """
+    if not store_drops:
+        return df.join(ids, id_col, "left_semi")
+    spark = df.sparkSession
+    path = fresh_path(spark, "dropped")
+    dropped = df.select(id_col).join(ids, id_col, "left_anti")
+    dropped.write.parquet(path)
+    return df.join(spark.read.schema(dropped.schema).parquet(path), id_col, "left_anti")
+
+
+def drop_duplicates(
+    df: DataFrame, subset: Sequence[str], id_col: str = "row_id", store_drops: bool = False
+) -> DataFrame:
     """Keep the first row (lowest id) of every group of equal ``subset`` values."""
     require_batch(df, "drop_duplicates")
-    return keep_ids(df, first_ids(df, subset, id_col), id_col)
+    return keep_ids(df, first_ids(df, subset, id_col), id_col, store_drops)

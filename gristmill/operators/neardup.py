@@ -109,11 +109,12 @@ def near_duplicate_kept_ids(
 def drop_near_duplicates(
     df: DataFrame, text: str, id_col: str = "row_id",
     num_perm: int = fixed.NUM_PERM, bands: int = fixed.BANDS, seed: int = 1,
+    store_drops: bool = False,
 ) -> DataFrame:
-    """Rows without a near-duplicate of lower id."""
+    """Rows without a near-duplicate of lower id; ``store_drops`` as in ``keep_ids``."""
     require_batch(df, "drop_near_duplicates")
     kept = near_duplicate_kept_ids(df, text, id_col, num_perm, bands, seed)
-    return keep_ids(df, kept, id_col)
+    return keep_ids(df, kept, id_col, store_drops)
 
 
 def near_duplicate_drops(

@@ -27,14 +27,15 @@ def clean_texts(
     return computed_once(df, {c: clean_text(c, null_as) for c in cols})
 
 
-def _distinct_dialogues(cleaned: DataFrame, id_col: str) -> DataFrame:
+def _distinct_dialogues(df: DataFrame, id_col: str, null_as: str | None) -> DataFrame:
     """One narrow row per distinct (patient, doctor): first id, lengths, noise flag, copies.
 
     Lengths and noise depend on the key alone, so every later decision of the
     cleaning flow can be taken on this table; text is only read again for the
     rows that are kept.
     """
-    keyed = cleaned.select(
+    texts = ("patient", "doctor")  # the only columns read here
+    keyed = clean_texts(df.select(id_col, *texts), texts, null_as).select(
         content_key("patient", "doctor").alias("_key"), id_col,
         F.length("patient").alias("_p"), F.length("doctor").alias("_d"),
         is_noise("doctor").alias("_noise"),
@@ -60,20 +61,20 @@ def _caps(distinct: DataFrame, minimum: int, q: float):
 
 def clean_dialogues(
     df: DataFrame, id_col: str = "row_id", minimum: int = fixed.MIN_CHARS,
-    q: float = fixed.CAP_QUANTILE, null_as: str | None = None,
+    q: float = fixed.CAP_QUANTILE, null_as: str | None = None, store_drops: bool = False,
 ) -> DataFrame:
     """Clean texts, keep the first of equal (patient, doctor), then drop short, long, noise.
 
-    The caps come from the rows that survive the length minimum.
+    The caps come from the rows that survive the length minimum. ``store_drops``
+    as in ``keep_ids``.
     """
     require_batch(df, "clean_dialogues")
-    cleaned = clean_texts(df, null_as=null_as)
-    distinct = _distinct_dialogues(cleaned, id_col)
+    distinct = _distinct_dialogues(df, id_col, null_as)
     lengths, caps = _caps(distinct, minimum, q)
     kept = distinct.where(
         long_enough(list(lengths.values()), minimum) & within_caps(lengths, caps) & ~F.col("_noise")
     )
-    return keep_ids(cleaned, kept.select(id_col), id_col)
+    return clean_texts(keep_ids(df, kept.select(id_col), id_col, store_drops), null_as=null_as)
 
 
 def clean_ledger(
@@ -82,7 +83,7 @@ def clean_ledger(
 ) -> DataFrame:
     """(drop_reason, n_rows, pct_of_input) of ``clean_dialogues``; the reasons sum to the input."""
     require_batch(df, "clean_ledger")
-    distinct = _distinct_dialogues(clean_texts(df, null_as=null_as), id_col)
+    distinct = _distinct_dialogues(df, id_col, null_as)
     lengths, caps = _caps(distinct, minimum, q)
     reason = (
         F.when(~long_enough(list(lengths.values()), minimum), "too_short")
@@ -122,7 +123,8 @@ def redact_dialogues(df: DataFrame) -> DataFrame:
 
 
 def correct_dialogues(
-    df: DataFrame, id_col: str = "row_id", minimum: int = fixed.MIN_CHARS
+    df: DataFrame, id_col: str = "row_id", minimum: int = fixed.MIN_CHARS,
+    store_drops: bool = False,
 ) -> DataFrame:
     """Corrections of a cleaned corpus.
 
@@ -130,7 +132,7 @@ def correct_dialogues(
     and greetings are taken out; then redaction, then the length minimum again.
     """
     require_batch(df, "correct_dialogues")
-    redacted = redact_dialogues(drop_near_duplicates(df, "patient", id_col))
+    redacted = redact_dialogues(drop_near_duplicates(df, "patient", id_col, store_drops=store_drops))
     return redacted.where(long_enough([F.length("patient"), F.length("doctor")], minimum))
 
 
@@ -161,7 +163,7 @@ def run_stages(df: DataFrame, path: str, id_col: str = "row_id") -> tuple[DataFr
     """
     stored = []
     for stage, flow in (("cleaned", clean_dialogues), ("corrected", correct_dialogues)):
-        write_parquet(flow(df, id_col), f"{path}/{stage}")
+        write_parquet(flow(df, id_col, store_drops=True), f"{path}/{stage}")
         df = df.sparkSession.read.parquet(f"{path}/{stage}")
         stored.append(df)
     return stored[0], stored[1]

@@ -39,6 +39,30 @@ def test_deduplication_shuffles_keys_and_combines_first(spark):
     assert text.count("FileScan") == 1
 
 
+def test_a_short_drop_list_moves_no_text(spark):
+    rows = planted.table(spark, SF, "documents")
+    df = neardup.drop_near_duplicates(rows, "text", "doc_id", store_drops=True)
+    text = plan(df)
+    assert "BroadcastHashJoin" in text and "LeftAnti" in text
+    assert "Exchange hashpartitioning" not in text
+    lazy = neardup.drop_near_duplicates(rows, "text", "doc_id")
+    assert sorted(r.doc_id for r in df.collect()) == sorted(r.doc_id for r in lazy.collect())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        beyond = neardup.drop_near_duplicates(rows, "text", "doc_id", store_drops=True)
+        assert "SortMergeJoin" in plan(beyond)
+        assert beyond.count() == lazy.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_cleaning_keys_read_only_the_key_columns(spark, tmp_path):
+    planted.dialogues(spark, SF).write.parquet(str(tmp_path / "d"))
+    stored = spark.read.parquet(str(tmp_path / "d"))
+    schemas = re.findall(r"ReadSchema: (\S+)", plan(dialogues.clean_dialogues(stored)))
+    assert sum("description" in s for s in schemas) == 1
+
+
 def test_reports_read_once(spark):
     for df in (
         catalog()["pii_flags_docs"](spark, SF),
