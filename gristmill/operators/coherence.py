@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gristmill import fixed
+from gristmill.functions.text import computed_once
 from gristmill.operators.ranks import sample_exact
 from gristmill.streaming.guards import require_batch
 
@@ -18,55 +19,55 @@ _BROADCAST_TERMS = 100_000  # a larger vocabulary is left to Spark's own choice
 def tokens(c: str) -> Column:
     """Lower-cased runs of two or more word characters."""
     text = F.coalesce(F.lower(c), F.lit(""))
-    return F.regexp_extract_all(text, F.lit(rf"({fixed.WORD}{{2,}})"), F.lit(1))
+    return F.regexp_extract_all(text, F.lit(rf"{fixed.WORD}{{2,}}"), F.lit(0))
 
 
-def _side(c: str, name: str) -> Column:
-    flags = (F.lit(name == "fit").cast("int").alias("fit"), F.lit(name == "other").cast("int").alias("other"))
-
-    def entry(t: Column) -> Column:
-        return F.struct(t.alias("term"), *flags)
-
-    return F.transform(tokens(c), entry)
-
-
-def term_counts(
-    df: DataFrame, fit: str, other: str, id_col: str = "row_id",
-    stop_words: Sequence[str] | None = None,
+def vocabulary(
+    df: DataFrame, fit: str, n_rows: Column, max_features: int = fixed.MAX_FEATURES,
+    stop_words: Sequence[str] = (),
 ) -> DataFrame:
-    """(id, term, n_fit, n_other), plus one row with a NULL term per id.
+    """(term, idf): the most frequent terms of a column, ties broken by the term.
 
-    Rows are partitioned by id once, before the texts are split, so neither
-    this count nor any later sum per id shuffles tokens.
+    One pass over that column: each text contributes all its tokens, then each
+    distinct one once more, and the position tells the two counts apart.
     """
-    if stop_words is None:
-        stop_words = StopWordsRemover.loadDefaultStopWords("english")
-    by_id = df.select(id_col, fit, other).repartition(id_col)
-    marker = F.array(F.struct(
-        F.lit(None).cast("string").alias("term"), F.lit(0).alias("fit"), F.lit(0).alias("other")
-    ))
-    entries = by_id.select(
-        id_col, F.explode(F.concat(_side(fit, "fit"), _side(other, "other"), marker)).alias("e")
-    ).select(id_col, "e.term", "e.fit", "e.other")
-    if stop_words:
-        entries = entries.where(F.col("term").isNull() | ~F.col("term").isin(*stop_words))
-    return entries.groupBy(id_col, "term").agg(
-        F.sum("fit").alias("n_fit"), F.sum("other").alias("n_other")
+    texts = computed_once(df.select(fit), {"_t": tokens(fit)})
+    terms = texts.select(
+        F.size("_t").alias("_n"),
+        F.posexplode(F.concat("_t", F.array_distinct("_t"))).alias("_at", "term"),
     )
-
-
-def vocabulary(counts: DataFrame, n_rows: Column, max_features: int) -> DataFrame:
-    """(term, idf): the most frequent terms of the fitted column, ties broken by the term."""
+    if stop_words:
+        terms = terms.where(~F.col("term").isin(*stop_words))
+    repeat = F.col("_at") < F.col("_n")
     top = (
-        counts.where(F.col("n_fit") > 0)
-        .groupBy("term")
-        .agg(F.sum("n_fit").alias("tf"), F.count(F.lit(1)).alias("df"))
+        terms.groupBy("term")
+        .agg(F.count_if(repeat).alias("tf"), F.count_if(~repeat).alias("df"))
         .orderBy(F.desc("tf"), "term")
         .limit(max_features)
     )
-    return top.select(
-        "term", (F.log((1 + n_rows) / (1 + F.col("df"))) + 1).alias("idf")
+    return top.select("term", (F.log((1 + n_rows) / (1 + F.col("df"))) + 1).alias("idf"))
+
+
+def _occurrences(df: DataFrame, fit: str, other: str, id_col: str) -> DataFrame:
+    """(id, term, in_fit, in_other) per token, plus one row per id that is in neither.
+
+    Rows are partitioned by id before the texts are split, so no later
+    aggregation that includes the id shuffles tokens. The extra row keeps texts
+    without vocabulary in the result; its term is unlike any token and differs
+    per id, so it gathers nowhere even when the vocabulary is not broadcast.
+    """
+    by_id = df.select(id_col, fit, other).repartition(id_col)
+    texts = computed_once(by_id, {"_a": tokens(fit), "_b": tokens(other)})
+    marker = F.array(F.concat(F.lit("\n"), F.col(id_col).cast("string")))
+    flat = texts.select(
+        id_col, F.size("_a").alias("_n"),
+        F.posexplode(F.concat(marker, "_a", "_b")).alias("_at", "term"),
     )
+    return flat.select(
+        id_col, "term",
+        F.col("_at").between(1, F.col("_n")).alias("in_fit"),
+        (F.col("_at") > F.col("_n")).alias("in_other"),
+    )  # neither for the marker, which stands at position 0
 
 
 def coherence(
@@ -80,17 +81,24 @@ def coherence(
     that many rows first (all, if there are fewer); without it the whole corpus is scored.
     """
     require_batch(df, "coherence")
+    if stop_words is None:
+        stop_words = StopWordsRemover.loadDefaultStopWords("english")
     if sample is not None:
         df = sample_exact(df, sample, seed, id_col, or_all=True)
-    counts = term_counts(df, fit, other, id_col, stop_words)
     n_rows = df.agg(F.count(F.lit(1))).scalar()
-    vocab = vocabulary(counts, n_rows, max_features)
+    vocab = vocabulary(df, fit, n_rows, max_features, stop_words)
     if max_features <= _BROADCAST_TERMS:
         vocab = F.broadcast(vocab)
-    weighted = counts.join(vocab, "term", "left")
-    idf = F.coalesce("idf", F.lit(0.0))
-    a, b = F.col("n_fit") * idf, F.col("n_other") * idf
-    sums = weighted.groupBy(id_col).agg(
+    # tokens outside the vocabulary go before anything is counted
+    weighted = _occurrences(df, fit, other, id_col).join(vocab, "term", "left").where(
+        F.col("idf").isNotNull() | ~(F.col("in_fit") | F.col("in_other"))
+    )
+    counts = weighted.groupBy(id_col, "term").agg(
+        F.count_if("in_fit").alias("n_fit"), F.count_if("in_other").alias("n_other"),
+        F.coalesce(F.max("idf"), F.lit(0.0)).alias("idf"),
+    )
+    a, b = F.col("n_fit") * F.col("idf"), F.col("n_other") * F.col("idf")
+    sums = counts.groupBy(id_col).agg(
         F.sum(a * b).alias("dot"), F.sum(a * a).alias("aa"), F.sum(b * b).alias("bb")
     )
     norm = F.sqrt("aa") * F.sqrt("bb")

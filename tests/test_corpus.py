@@ -277,6 +277,9 @@ def test_coherence_against_brute_force(spark):
     expected = {i: cosine(weights(a), weights(b)) for i, a, b in rows}
     for r in got:
         assert r.similarity == pytest.approx(expected[r.row_id], abs=1e-9)
+    # a vocabulary bound above which the join is left to Spark
+    unbounded = coherence.coherence(df, "a", "b", stop_words=["the"], max_features=10**6).collect()
+    assert len(unbounded) == len(rows)
 
 
 def test_default_stop_words(spark):
