@@ -127,44 +127,56 @@ def near_duplicate_drops(
     return df.select(id_col).join(kept, id_col, "left_anti")
 
 
-def _salted(df: DataFrame, id_col: str, salts: int) -> DataFrame:
-    return df.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(salts)))
-
-
-def _every_salt(df: DataFrame, salts: int) -> DataFrame:
-    return df.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+_HOT_BANDS = 1_000_000  # the most bands that can count as hot, see below
 
 
 def near_duplicate_groups(
     df: DataFrame, text: str, id_col: str = "row_id",
-    num_perm: int = fixed.NUM_PERM, bands: int = fixed.BANDS, seed: int = 1, salts: int = 32,
+    num_perm: int = fixed.NUM_PERM, bands: int = fixed.BANDS, seed: int = 1,
 ) -> DataFrame:
     """(leader_id, n_members): the groups the sequential rule reports."""
     require_batch(df, "near_duplicate_groups")
     bands_of = checkpointed(band_keys(df, text, id_col, num_perm, bands, seed))
-    return groups_from_bands(bands_of, id_col, salts)
+    return groups_from_bands(bands_of, id_col)
 
 
-def groups_from_bands(members: DataFrame, id_col: str = "row_id", salts: int = 32) -> DataFrame:
+def groups_from_bands(
+    members: DataFrame, id_col: str = "row_id", salts: int = 64, hot_rows: int = 1_000_000
+) -> DataFrame:
     """Groups from a stored (band_key, id) table.
 
     Leaders are found in rounds: an undecided row that is the lowest undecided
     one in all of its bands leads; rows sharing a band with a leader are then
     decided. Each band has at most one leader, so (leader, member) rows number
-    at most ``bands`` per text. Joins on a band are salted by row id, so one
-    band holding a third of the corpus is spread over ``salts`` tasks. Every
-    round is cut with a checkpoint in the shared folder.
+    at most one per row of ``members``. Every round is cut with a checkpoint in
+    the shared folder.
+
+    Members of bands with more than ``hot_rows`` rows are joined salted by row
+    id, so a band that holds a third of the corpus is spread over ``salts``
+    tasks. The threshold rises with the table, which keeps the list of hot
+    bands below a fixed length and therefore fit to be broadcast.
     """
-    shared = (
-        members.groupBy("band_key").agg(F.count(F.lit(1)).alias("n"))
-        .where("n > 1").select("band_key")
+    hot_rows = max(hot_rows, members.count() // _HOT_BANDS)
+    shared = checkpointed(
+        members.groupBy("band_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    )
+    hot = F.broadcast(
+        shared.where(F.col("n") > hot_rows).select("band_key", F.lit(salts).alias("_salts"))
     )
+
+    def one_salt(rows: DataFrame) -> DataFrame:
+        salt = F.pmod(F.xxhash64(id_col), F.coalesce("_salts", F.lit(1)))
+        return rows.join(hot, "band_key", "left").withColumn("_salt", salt.cast("int")).drop("_salts")
+
+    def every_salt(keys: DataFrame) -> DataFrame:
+        salt = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+        return keys.join(hot, "band_key", "left").withColumn("_salt", F.explode(salt)).drop("_salts")
+
+    on_band = ["band_key", "_salt"]
     # rows colliding with nobody are in no group; drop them before the rounds
-    members = _salted(members, id_col, salts)
-    involved = members.join(
-        _every_salt(shared, salts), ["band_key", "_salt"], "left_semi"
+    involved = checkpointed(
+        one_salt(members).join(every_salt(shared.select("band_key")), on_band, "left_semi")
     )
-    involved = checkpointed(involved)
     # a row's private bands play no part, so wins are counted against its shared bands
     n_bands = involved.groupBy(id_col).agg(F.count(F.lit(1)).alias("_bands"))
 
@@ -182,17 +194,11 @@ def groups_from_bands(members: DataFrame, id_col: str = "row_id", salts: int = 3
             .select("band_key", "leader_id")
         )
         found = led if found is None else found.unionByName(led)
-        covered = (
-            undecided.join(_every_salt(led, salts), ["band_key", "_salt"], "left_semi")
-            .select(id_col).distinct()
-        )
+        covered = undecided.join(every_salt(led), on_band, "left_semi").select(id_col).distinct()
         undecided = checkpointed(undecided.join(covered, id_col, "left_anti"))
     if found is None:
         found = involved.select("band_key", F.col(id_col).alias("leader_id")).where(F.lit(False))
-    pairs = (
-        involved.join(_every_salt(found, salts), ["band_key", "_salt"])
-        .select("leader_id", id_col).distinct()
-    )
+    pairs = involved.join(every_salt(found), on_band).select("leader_id", id_col).distinct()
     # two-step count: the distinct rows are spread by (leader, member)
     return pairs.groupBy("leader_id").agg(F.count(F.lit(1)).alias("n_members"))
 
