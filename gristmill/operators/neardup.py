@@ -43,7 +43,9 @@ def word_hashes(text: Column | str) -> Column:
 
 
 def _signature_udf(num_perm: int, seed: int):
+    # plain values only: the function travels to workers that may not have this package
     coefficients = permutations(num_perm, seed)
+    prime = fixed.MERSENNE_31
     rows_per_step = 256  # bounds the temporaries, whatever the Arrow batch holds
 
     @F.pandas_udf("array<int>")
@@ -56,7 +58,7 @@ def _signature_udf(num_perm: int, seed: int):
             flat = np.concatenate(part).astype(np.int64)
             mins = np.empty((len(part), num_perm), dtype=np.int32)
             for i, (a, b) in enumerate(coefficients):
-                mins[:, i] = np.minimum.reduceat((flat * a + b) % fixed.MERSENNE_31, starts)
+                mins[:, i] = np.minimum.reduceat((flat * a + b) % prime, starts)
             out.extend(mins)
         return pd.Series(out, dtype=object)
 

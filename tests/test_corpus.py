@@ -2,10 +2,14 @@
 
 import hashlib
 import math
+import os
 import random
+import subprocess
+import sys
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from gristmill import fixed
@@ -249,6 +253,21 @@ def test_signature_is_a_function_of_the_word_set(spark):
     assert sig[1] == [min((h * a + b) % fixed.MERSENNE_31 for h in hashes) for a, b in neardup.permutations()]
 
 
+def test_signature_function_needs_no_package_on_the_workers(tmp_path):
+    function = neardup._signature_udf(4, 1).func
+    (tmp_path / "f.bin").write_bytes(cloudpickle.dumps(function))
+    code = (
+        "import numpy as np, pandas as pd; from pyspark import cloudpickle; "
+        "f = cloudpickle.loads(open('f.bin', 'rb').read()); "
+        "print(len(f(pd.Series([np.array([1, 2])]))[0]))"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120
+    )
+    assert done.stdout.strip() == "4", done.stderr
+
+
 def test_coherence_against_brute_force(spark):
     rng = random.Random(2)
     vocabulary = [f"term{k}" for k in range(30)] + ["the", "x"]
