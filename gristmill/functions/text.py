@@ -68,8 +68,8 @@ def fold(c: Column | str) -> Column:
 def contains_any(c: Column | str, needles: Sequence[str]) -> Column:
     """True when the text holds one of the given plain texts; null text is False.
 
-    Plain searches: for the keyword lists here they measured four times faster
-    than one regex of all alternatives. The text is bound once, so that a costly
+    Plain searches: for 29 keywords they measured five times faster, folding
+    included, than one case-insensitive regex. The text is bound once, so that a costly
     text expression is not computed per needle.
     """
     def search(text: Column) -> Column:
