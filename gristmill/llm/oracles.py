@@ -2,6 +2,55 @@
 
 from __future__ import annotations
 
+_DRAW = "('0x' || substr(md5('{0}:' || coalesce(doc_id::VARCHAR, '')), {1}, 8))::UBIGINT / 4294967296.0"
+
+
+def _mix() -> str:
+    """Targets by running sums, then the draw of sixteen that comes nearest to them."""
+    draws = [_DRAW.format(s // 4, 8 * (s % 4) + 1) for s in range(16)]
+    sums = ",\n".join(
+        f"sum(CASE WHEN {d} < rate - floor(rate) THEN size ELSE 0 END) AS s{k}" for k, d in enumerate(draws)
+    )
+    missed = ", ".join(
+        f"{{'miss': abs(floor(rate) * source_size + s{k} - target), 'seed': {k}}}" for k in range(16)
+    )
+    picked = "\n".join(f"WHEN {k} THEN {d}" for k, d in enumerate(draws))
+    return f"""
+    WITH sized AS (
+      SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size
+      FROM documents),
+    named AS (
+      SELECT source, sum(size)::DOUBLE AS source_size,
+        CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3
+          WHEN 0 THEN 5.0 WHEN 1 THEN 2.0 ELSE 1.0 END AS weight
+      FROM sized GROUP BY source),
+    levels AS (
+      SELECT *, 2 * source_size AS cap,
+        (1.5 * sum(source_size) OVER () - coalesce(sum(2 * source_size) OVER (
+           ORDER BY 2 * source_size / weight, source NULLS LAST
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+        / sum(weight) OVER (ORDER BY 2 * source_size / weight, source NULLS LAST
+           ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+      FROM named),
+    final AS (SELECT min_by(level, cap / weight) AS level FROM levels WHERE cap > level * weight),
+    rates AS (
+      SELECT source, source_size,
+        CASE WHEN cap <= l.level * weight THEN cap ELSE f.level * weight END AS target,
+        CASE WHEN source_size > 0 THEN
+          (CASE WHEN cap <= l.level * weight THEN cap ELSE f.level * weight END) / source_size
+        ELSE 0 END AS rate
+      FROM levels l, final f),
+    joined AS (
+      SELECT d.*, r.source_size, r.target, r.rate
+      FROM sized d JOIN rates r ON d.source IS NOT DISTINCT FROM r.source),
+    drawn AS (
+      SELECT source, source_size, target, rate, {sums}
+      FROM joined GROUP BY source, source_size, target, rate),
+    chosen AS (SELECT source, (least({missed})).seed AS seed FROM drawn)
+    SELECT doc_id, size, source_size::BIGINT AS source_size, target,
+      (size * (floor(rate) + CASE WHEN (CASE seed {picked} END) < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
+    FROM joined j JOIN chosen c ON j.source IS NOT DISTINCT FROM c.source"""
+
 
 def oracles() -> dict[str, str]:
-    return {}
+    return {"op10_mix_sources": _mix()}

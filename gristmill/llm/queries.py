@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import toxicity
+from gristmill.llm import minhash, mixing, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_minmax_hash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, folder, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
     model = toxicity.fit_toxicity(
@@ -28,5 +32,13 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix_plan(_table(spark, folder, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken"
+    )
+
+
 def catalog() -> dict[str, Query]:
-    return {f.__name__: f for f in (op7_toxicity,)}
+    return {f.__name__: f for f in (
+        op2_minmax_hash, op7_toxicity, op10_mix_sources,
+    )}
