@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import minhash, mixing, toxicity
+from gristmill.llm import decontaminate, minhash, mixing, tokenfiles, toxicity
+from gristmill.sources.scratch import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +22,13 @@ def op2_minmax_hash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = fresh_path(spark, "tokens")
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    manifest = tokenfiles.write_token_files(_table(spark, folder, "documents"), path, tokenizer)
+    return tokenfiles.read_token_files(spark, path, manifest)
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
     model = toxicity.fit_toxicity(
@@ -32,6 +41,12 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_leaks(
+        _table(spark, folder, "documents"), _table(spark, folder, "benchmark")
+    )
+
+
 def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_plan(_table(spark, folder, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
@@ -40,5 +55,5 @@ def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 def catalog() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op2_minmax_hash, op7_toxicity, op10_mix_sources,
+        op2_minmax_hash, op4_token_files, op7_toxicity, op8_decontaminate, op10_mix_sources,
     )}
