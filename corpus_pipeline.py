@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gristmill.llm import toxicity
+from gristmill.llm import decontaminate, minhash, mixing, tokenfiles, toxicity
 from gristmill.sources.scratch import fresh_path
 
+TOKENIZER = "word_bpe_49k.json"
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity is below 0.7, by a model fitted on the labelled training fold."""
@@ -17,8 +20,34 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.drop_toxic(docs, model)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the one with the smallest id, of each component of near-duplicates."""
+    return minhash.drop_near_duplicates(docs)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's rate takes it."""
+    return mixing.mix_sources(docs)
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files in the shared folder, read back: where each document lies, and its crc32."""
+    folder = fresh_path(spark, "tokens")
+    manifest = tokenfiles.write_token_files(docs, folder, public_tokenizers.path(TOKENIZER))
+    return tokenfiles.read_token_files(spark, folder, manifest)
+
+
 STAGES = [
     ("toxicity", drop_toxic),
+    ("near-dedup", drop_near_copies),
+    ("decontamination", drop_leaks),
+    ("mixing", mix),
+    ("tokens", write_tokens),
 ]
 
 ORACLE_SQL = None  # learned scores, MinHash classes and tokenizer ids have no SQL form
