@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import decontaminate, minhash, mixing, tokenfiles, toxicity
+from gristmill.llm import decontaminate, hamming_index, minhash, mixing, tokenfiles, toxicity
 from gristmill.sources.scratch import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_multi_index_hashing(spark: SparkSession, folder: str) -> DataFrame:
+    return hamming_index.nearest(_table(spark, folder, "embeddings"), F.col("id") % 100 == 0)
+
+
 def op2_minmax_hash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, folder, "documents"))
 
@@ -55,5 +59,6 @@ def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 def catalog() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op2_minmax_hash, op4_token_files, op7_toxicity, op8_decontaminate, op10_mix_sources,
+        op1_multi_index_hashing, op2_minmax_hash, op4_token_files, op7_toxicity,
+        op8_decontaminate, op10_mix_sources,
     )}
