@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import decontaminate, hamming_index, minhash, mixing, tokenfiles, toxicity
+from gristmill.llm import decontaminate, hamming_index, minhash, mixing, quality, tokenfiles, toxicity
 from gristmill.sources.scratch import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,17 @@ def op2_minmax_hash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op3_rule_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    fold = toxicity.label_fold(labels, 5)
+    model = quality.fit_quality(toxicity.labelled_texts(docs, labels, "quality", fold != 0))
+    scored = quality.score_quality(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id", F.coalesce(toxicity.label_fold(scored, 5) == 0, F.lit(False)).alias("held_out"),
+        F.col("quality_score").alias("score"), (F.col("quality_score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "tokens")
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
@@ -59,6 +70,7 @@ def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 def catalog() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_multi_index_hashing, op2_minmax_hash, op4_token_files, op7_toxicity,
+        op1_multi_index_hashing, op2_minmax_hash, op3_rule_quality, op4_token_files,
+        op7_toxicity,
         op8_decontaminate, op10_mix_sources,
     )}
