@@ -1,4 +1,4 @@
-"""Connected components of a table of links, as Spark rounds."""
+"""Stored tables, joins with id lists, and connected components as Spark rounds."""
 
 from __future__ import annotations
 
@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from gristmill.sources.scratch import fresh_path
 
 
+BROADCAST_IDS = 2_000_000  # ids sent to every executor to pick texts by, at most
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows, written to the shared folder and read again: lineage ends there."""
     path = fresh_path(df.sparkSession, name)
@@ -15,6 +18,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def picked(df: DataFrame, ids: DataFrame, id_col: str, how: str = "left_semi") -> DataFrame:
+    """Rows whose id is listed (or is not: ``left_anti``); a list of bounded size moves no row."""
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return df.join(ids, id_col, how)
+
+
+def marked(df: DataFrame, ids: DataFrame, id_col: str, name: str) -> DataFrame:
+    """Adds a Boolean column: whether the row's id is listed (ids are distinct)."""
+    ids = stored(ids.select(F.col(id_col).alias("_listed")), "ids")
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    joined = df.join(ids, df[id_col] == ids["_listed"], "left")
+    return joined.withColumn(name, F.col("_listed").isNotNull()).drop("_listed")
+
+
 def connected_components(links: DataFrame) -> DataFrame:
     """``(id, component)`` for each id in the links ``(a, b)``; the component is its smallest id.
 

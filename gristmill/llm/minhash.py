@@ -10,10 +10,11 @@ confirmed on the full sets.
 How the work is spread: texts with equal sets are one class before anything is
 paired. In each band bucket all members meet one leader, the member with the
 largest buckets (a group's origin, where there is one), so a group of thousands
-costs a row per member. Only buckets that still hold more than one component are
-paired further, and only across components, where neither the triangle inequality
-of the Jaccard distance nor a 120-bit sketch rules the pair out (the sketch misses
-a link with probability below 1e-9). No bucket, partner or candidate is capped.
+costs a row per member. Where a group of band mates still holds more than one
+component, further pairs are taken across components only: those that share a
+shingle that is rare in the group, and those with so few rare ones that they could
+be linked without. A 120-bit sketch drops pairs of low similarity (it misses a link
+with probability below 1e-9). No bucket, partner or candidate is capped.
 
 Defined results: a text without words has an empty set and is linked with nothing;
 fewer than five words are one shingle; rows that share an id are one document; a
@@ -30,12 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.llm import words as W
-from gristmill.llm.components import connected_components, stored
+from gristmill.llm.components import connected_components, picked, stored
 from gristmill.streaming.guards import require_batch
 
 WIDTH = 5
 PERMUTATIONS = 60
 BAND = 5
+_RARE = 64  # sets of a group that hold a shingle called rare
 _SKETCH_BITS = 28  # of 120; links differ in 9 on average, with a deviation of 2.9
 
 _MULTIPLY = W.multipliers(PERMUTATIONS, 101)
@@ -152,16 +154,13 @@ def near_duplicates(
         "star",
     )
     involved = members.select("id").distinct()
-    sets = stored(
-        docs.join(involved, "id", "left_semi")
-        .mapInArrow(_sets, f"id {kind}, shingles array<bigint>").dropDuplicates(["id"])
-        if _repeats(named) else
-        docs.join(involved, "id", "left_semi").mapInArrow(_sets, f"id {kind}, shingles array<bigint>"),
-        "sets",
+    chosen = picked(docs, stored(involved, "involved"), "id").mapInArrow(
+        _sets, f"id {kind}, shingles array<bigint>"
     )
+    sets = stored(chosen.dropDuplicates(["id"]) if _repeats(named) else chosen, "sets")
     met = stored(_confirmed(star, sets, percent), "met")
     labels = connected_components(met.where("linked"))
-    rest = _across(members, leaders, met, labels, reps, percent)
+    rest = _across(members, star, met, labels, sets, reps, percent)
     more = stored(_confirmed(rest, sets, percent).where("linked"), "more")
     if more.limit(1).count():
         labels = connected_components(met.where("linked").select("a", "b").union(more.select("a", "b")))
@@ -182,47 +181,61 @@ def _repeats(named: DataFrame) -> bool:
 
 
 def _across(
-    members: DataFrame, leaders: DataFrame, met: DataFrame, labels: DataFrame, reps: DataFrame,
-    percent: int,
+    members: DataFrame, star: DataFrame, met: DataFrame, labels: DataFrame, sets: DataFrame,
+    reps: DataFrame, percent: int,
 ) -> DataFrame:
     """Candidate pairs in different components that still have to be confirmed.
 
-    With ``d`` the Jaccard distance to the bucket's leader, a member linked to it
-    (``d <= t``) cannot be linked to one with ``d > 2 t``.
+    Band mates that are connected through leaders form a group. In a group, a
+    shingle is rare if at most ``_RARE`` of its sets hold it. Two linked sets either
+    share a rare shingle, and few pairs share a given one; or all they share is
+    frequent, so that neither has more rare shingles than a link leaves room for.
     """
-    limit = 1 - percent / 100
-    placed = members.join(labels, "id", "left").select(
-        "band", "id", F.coalesce("component", "id").alias("component")
-    )
-    open_bands = placed.groupBy("band").agg(
+    groups = connected_components(star).withColumnRenamed("component", "group")
+    placed = groups.join(labels, "id", "left").select("id", "group", F.coalesce("component", "id").alias("component"))
+    open_groups = placed.groupBy("group").agg(
         F.min("component").alias("_lo"), F.max("component").alias("_hi")
-    ).where("_lo <> _hi").select("band")
+    ).where("_lo <> _hi").select("group")
     bits = reps.select("id", "n_shingles", "s1", "s2").dropDuplicates(["id"])
-    distance = met.select("a", "b", (1 - F.col("shared") / F.col("total")).alias("d"))
-    to_leader = distance.union(distance.select("b", "a", "d")).toDF("id", "leader", "d")
+    rows = stored(placed.join(open_groups, "group").join(bits, "id"), "open")
+    held = stored(
+        sets.join(rows.select("id", "group"), "id").select("id", "group", F.explode("shingles").alias("shingle")),
+        "held",
+    )
+    rare = held.groupBy("group", "shingle").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= _RARE)
+    of = stored(held.join(rare, ["group", "shingle"]), "rare")
+    frequent = F.col("n_shingles") - F.coalesce("n_rare", F.lit(0))
     rows = stored(
-        placed.join(open_bands, "band").join(leaders, "band").join(to_leader, ["id", "leader"], "left")
-        .join(bits, "id")
-        .select("band", "id", "component", "n_shingles", "s1", "s2", F.coalesce("d", F.lit(0.0)).alias("d")),
+        rows.join(of.groupBy("id").agg(F.count(F.lit(1)).alias("n_rare")), "id", "left")
+        .select("id", "component", "n_shingles", "s1", "s2", frequent.alias("frequent")),
         "open",
     )
-    x, y = rows.alias("x"), rows.alias("y")
+    by_shingle = of.where("n > 1").select("id", F.xxhash64("group", "shingle").alias("key")).join(rows, "id")
+    by_band = members.select("id", F.col("band").alias("key")).join(
+        rows.where(100 * F.col("frequent") >= percent * F.col("n_shingles")), "id"
+    )
+    x, y = F.col("x.n_shingles"), F.col("y.n_shingles")
+    room = (100 + percent) * F.least("x.frequent", "y.frequent") >= percent * (x + y)
+    found = [
+        left.alias("x").join(left.alias("y"), _possible(percent) & extra)
+        .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+        for left, extra in ((by_shingle, F.lit(True)), (by_band, room))
+    ]
+    return found[0].union(found[1]).distinct().join(met.select("a", "b"), ["a", "b"], "left_anti")
+
+
+def _possible(percent: int):
+    """Rows with one key, in different components, that size and sketch do not rule out as a link."""
+    near = F.col("x.n_shingles"), F.col("y.n_shingles")
     differ = F.bit_count(F.col("x.s1").bitwiseXOR(F.col("y.s1"))) + F.bit_count(
         F.col("x.s2").bitwiseXOR(F.col("y.s2"))
     )
-    near = F.col("x.n_shingles"), F.col("y.n_shingles")
-    possible = (
-        (F.col("x.band") == F.col("y.band")) & (F.col("x.id") < F.col("y.id"))
+    return (
+        (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id"))
         & (F.col("x.component") != F.col("y.component"))
         & (100 * F.least(*near) >= percent * F.greatest(*near))
-        & (F.abs(F.col("x.d") - F.col("y.d")) <= limit + 1e-9)
         & (differ <= _SKETCH_BITS)
     )
-    done = met.select("a", "b")
-    return (
-        x.join(y, possible).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-        .join(done, ["a", "b"], "left_anti")
-    )
 
 
 def drop_near_duplicates(
@@ -230,14 +243,13 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """One document of each component: the rows of the kept ids, with their columns.
 
-    The list of dropped ids is written first, so the texts are read by an
-    anti-join whose other side Spark knows the size of. Of rows that share an id
+    The list of dropped ids is written and counted first. Of rows that share an id
     the one with the smallest text stays.
     """
     dropped = stored(
         near_duplicates(df, id_col, text, percent).where("NOT kept").select(id_col).distinct(), "dropped"
     )
-    kept = df.join(dropped, id_col, "left_anti")
+    kept = picked(df, dropped, id_col, "left_anti")
     if not _repeats(df.select(F.col(id_col).alias("id")).where("id IS NOT NULL")):
         return kept
     columns = F.struct(*[F.col(c) for c in df.columns])

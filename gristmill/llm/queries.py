@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import decontaminate, hamming_index, minhash, mixing, quality, tokenfiles, toxicity
+from gristmill.llm import cross_entropy, decontaminate, hamming_index, minhash, mixing, quality, tokenfiles, toxicity
+from gristmill.llm.components import marked
 from gristmill.sources.scratch import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +63,14 @@ def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_cross_entropy(spark: SparkSession, folder: str) -> DataFrame:
+    """Target: the documents labelled as of good quality; background: all documents."""
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    good = labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
+    flagged = marked(docs.select("doc_id", "text"), good, "doc_id", "good")
+    return cross_entropy.cross_entropy_difference(flagged, F.col("good"))
+
+
 def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_plan(_table(spark, folder, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
@@ -71,6 +80,5 @@ def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 def catalog() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_multi_index_hashing, op2_minmax_hash, op3_rule_quality, op4_token_files,
-        op7_toxicity,
-        op8_decontaminate, op10_mix_sources,
+        op7_toxicity, op8_decontaminate, op9_cross_entropy, op10_mix_sources,
     )}
