@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import cross_entropy, decontaminate, hamming_index, minhash, mixing, quality, tokenfiles, toxicity
+from gristmill.llm import cross_entropy, decontaminate, hamming_index, minhash, mixing, quality, secret_scan, tokenfiles, toxicity
 from gristmill.llm.components import marked
 from gristmill.sources.scratch import fresh_path
 
@@ -45,6 +45,12 @@ def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return tokenfiles.read_token_files(spark, path, manifest)
 
 
+def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    forest = secret_scan.fit_forest(secret_scan.planted_findings(docs))
+    return secret_scan.scan_secrets(docs, forest)
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
     model = toxicity.fit_toxicity(
@@ -79,6 +85,6 @@ def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 def catalog() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_multi_index_hashing, op2_minmax_hash, op3_rule_quality, op4_token_files,
+        op1_multi_index_hashing, op2_minmax_hash, op3_rule_quality, op4_token_files, op5_secret_scan,
         op7_toxicity, op8_decontaminate, op9_cross_entropy, op10_mix_sources,
     )}
