@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import cross_entropy, decontaminate, hamming_index, minhash, mixing, quality, secret_scan, tokenfiles, toxicity
+from gristmill.llm import (
+    cross_entropy, decontaminate, hamming_index, minhash, mixing, quality, secret_scan,
+    substring_dedup, tokenfiles, toxicity,
+)
 from gristmill.llm.components import marked
 from gristmill.sources.scratch import fresh_path
 
@@ -51,6 +54,11 @@ def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.scan_secrets(docs, forest)
 
 
+def op6_suffix_automata(spark: SparkSession, folder: str) -> DataFrame:
+    cut = substring_dedup.deduplicate_substrings(_table(spark, folder, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
     model = toxicity.fit_toxicity(
@@ -86,5 +94,5 @@ def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 def catalog() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_multi_index_hashing, op2_minmax_hash, op3_rule_quality, op4_token_files, op5_secret_scan,
-        op7_toxicity, op8_decontaminate, op9_cross_entropy, op10_mix_sources,
+        op6_suffix_automata, op7_toxicity, op8_decontaminate, op9_cross_entropy, op10_mix_sources,
     )}
