@@ -414,10 +414,8 @@ def clean_answers(spark, d):
 
 @_query
 def history(spark, d):
-    turns = planted.table(spark, d, "conversations")
-    return conversations.conversation_history(turns).select(
-        "conv_id", "turn", _flat(F.col("history")).alias("history"), "n_before"
-    )
+    rows = conversations.conversation_history(planted.long_conversations(spark, d))
+    return rows.withColumn("n_before", F.col("n_before").cast("string"))
 
 
 def _with_blanks(spark, d):

@@ -471,9 +471,12 @@ cut AS (
         "SELECT row_id, CASE WHEN coalesce(a, '') = '' THEN "
         f"'{fixed.EMPTY_ANSWER.replace(chr(39), chr(39) * 2)}' ELSE a END AS answer FROM cut")
     sql["history"] = (
-        "SELECT a.conv_id, a.turn, coalesce(string_agg(b.role || '=' || b.text, '|' ORDER BY b.turn), '') AS history, "
-        "count(b.turn) AS n_before FROM conversations a LEFT JOIN conversations b "
-        "ON b.conv_id = a.conv_id AND b.turn < a.turn WHERE a.role = 'assistant' GROUP BY a.conv_id, a.turn")
+        "WITH placed AS (SELECT "
+        "CASE conv_id % 3 WHEN 0 THEN -1 ELSE conv_id END AS conv_id, "
+        "CASE conv_id % 3 WHEN 0 THEN conv_id * 10 + turn WHEN 1 THEN turn + 1020 ELSE 3 * turn + 5 END AS turn, "
+        "role, text FROM conversations), "
+        "numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS position FROM placed) "
+        "SELECT *, CASE role WHEN 'assistant' THEN position::VARCHAR END AS n_before FROM numbered")
     sql["drop_blank"] = _with(_BLANKS) + f"SELECT * FROM blanked WHERE {_strip('text')} <> ''"
     sql["empty_conversations"] = _with(_BLANKS) + (
         f"SELECT conv_id FROM blanked GROUP BY conv_id HAVING count(*) FILTER (WHERE {_strip('text')} <> '') = 0")

@@ -140,3 +140,13 @@ def chats(spark: SparkSession, sf_dir: str) -> DataFrame:
             message("assistant", F.col("output")),
         ).alias("messages"),
     )
+
+
+def long_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of ``conversations`` as one long one, a third that start at turn 1,020, a third with gaps."""
+    return table(spark, sf_dir, "conversations").selectExpr(
+        "CASE conv_id % 3 WHEN 0 THEN -1L ELSE conv_id END AS conv_id",
+        "CAST(CASE conv_id % 3 WHEN 0 THEN conv_id * 10 + turn WHEN 1 THEN turn + 1020 "
+        "ELSE 3 * turn + 5 END AS BIGINT) AS turn",
+        "role", "text",
+    )

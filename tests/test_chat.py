@@ -63,20 +63,22 @@ def test_instruction_table_loses_its_instruction_as_mixed_records(spark):
 def test_history(spark):
     rows = [(1, t, r, f"m{t}") for t, r in enumerate(["user", "assistant", "user", "assistant"])]
     df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
-    got = sorted((r.turn, [m.content for m in r.history], r.n_before)
-                 for r in conversations.conversation_history(df).collect())
-    assert got == [(1, ["m0"], 1), (3, ["m0", "m1", "m2"], 3)]
+    got = sorted((r.position, r.text, r.n_before) for r in conversations.conversation_history(df).collect())
+    assert got == [(0, "m0", None), (1, "m1", 1), (2, "m2", None), (3, "m3", 3)]
 
 
-def test_long_history_is_named_exactly(spark):
-    """A conversation over several blocks keeps every row and counts across blocks."""
-    rows = [(1, t, "assistant" if t % 2 else "user", f"m{t}") for t in range(50)]
-    rows += [(2, 0, "user", "x"), (2, 1, "assistant", "y")]
+def test_history_has_one_form_at_every_length(spark):
+    """Across blocks, from a late start, with gaps: every message is numbered."""
+    rows = [(1, t, "assistant" if t % 2 else "user", f"m{t}") for t in range(2100)]
+    rows += [(2, t, "assistant" if t % 2 else "user", f"m{t}") for t in range(1020, 1030)]
+    rows += [(3, 700 * t, "assistant" if t % 2 else "user", f"m{t}") for t in range(6)]
     df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
-    got = conversations.conversation_history(df, block=8).collect()
-    long = {r.turn: (r.history, r.n_before) for r in got if r.conv_id == 1}
-    assert long == {t: (None, t) for t in range(1, 50, 2)}
-    assert [(len(r.history), r.n_before) for r in got if r.conv_id == 2] == [(1, 1)]
+    got = {(r.conv_id, r.turn): (r.position, r.n_before) for r in conversations.conversation_history(df).collect()}
+    for conv in (1, 2, 3):
+        turns = sorted(t for c, t, *_ in rows if c == conv)
+        roles = {t: r for c, t, r, _ in rows if c == conv}
+        assert [got[conv, t] for t in turns] == [
+            (k, k if roles[t] == "assistant" else None) for k, t in enumerate(turns)]
 
 
 def test_blank_messages(spark):

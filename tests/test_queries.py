@@ -3,7 +3,9 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from checks.catalog import catalog as queries
+from checks.oracles import oracles as oracle_sql
 from tools.compare import TABLES, difference
 
 SF = "/root/testdata/sf0.001"
