@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gristmill.llm import words as W
@@ -210,16 +210,24 @@ def _across(
         .select("id", "component", "n_shingles", "s1", "s2", frequent.alias("frequent")),
         "open",
     )
-    by_shingle = of.where("n > 1").select("id", F.xxhash64("group", "shingle").alias("key")).join(rows, "id")
-    by_band = members.select("id", F.col("band").alias("key")).join(
-        rows.where(100 * F.col("frequent") >= percent * F.col("n_shingles")), "id"
+    # linked sets share one of their first shingles, rarest first, that a link cannot do without
+    prefix = F.row_number().over(Window.partitionBy("id").orderBy("n", "shingle"))
+    by_shingle = (
+        of.withColumn("place", prefix).where("n > 1")
+        .select("id", "place", F.xxhash64("group", "shingle").alias("key")).join(rows, "id")
+        .where(100 * (F.col("n_shingles") - F.col("place") + 1) >= percent * F.col("n_shingles"))
     )
+    few_rare = rows.where(100 * F.col("frequent") >= percent * F.col("n_shingles"))
+    by_band = few_rare.join(reps.select("id", "bands").dropDuplicates(["id"]), "id").select(
+        "*", F.explode("bands").alias("key")
+    ).join(members.select("id", F.col("band").alias("key")), ["id", "key"], "left_semi")
     x, y = F.col("x.n_shingles"), F.col("y.n_shingles")
     room = (100 + percent) * F.least("x.frequent", "y.frequent") >= percent * (x + y)
+    first = F.col("x.key") == F.array_min(F.array_intersect("x.bands", "y.bands"))
     found = [
         left.alias("x").join(left.alias("y"), _possible(percent) & extra)
         .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-        for left, extra in ((by_shingle, F.lit(True)), (by_band, room))
+        for left, extra in ((by_shingle, F.lit(True)), (by_band, room & first))
     ]
     return found[0].union(found[1]).distinct().join(met.select("a", "b"), ["a", "b"], "left_anti")
 
