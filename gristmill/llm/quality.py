@@ -42,16 +42,10 @@ _MARKS = b".,;:?'\"()-"
 _SYMBOLS = b"#$%&*+/<=>@[\\]^_`{}~"
 
 
-def _table(of: bytes) -> np.ndarray:
-    out = np.zeros(256, bool)
-    out[list(of)] = True
-    return out
-
-
 _CLASSES = {
-    "upper": _table(bytes(range(65, 91))), "digit": _table(bytes(range(48, 58))),
-    "mark": _table(_MARKS), "symbol": _table(_SYMBOLS), "exclaimed": _table(b"!"),
-    "bar": _table(b"|"), "foreign": _table(bytes(range(128, 256))), "line": _table(b"\n"),
+    "upper": W.byte_table(bytes(range(65, 91))), "digit": W.byte_table(bytes(range(48, 58))),
+    "mark": W.byte_table(_MARKS), "symbol": W.byte_table(_SYMBOLS), "exclaimed": W.byte_table(b"!"),
+    "bar": W.byte_table(b"|"), "foreign": W.byte_table(bytes(range(128, 256))), "line": W.byte_table(b"\n"),
 }
 
 

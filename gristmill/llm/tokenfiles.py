@@ -2,7 +2,8 @@
 
 A folder of token files holds, per partition ``k`` of the ascending id order,
 
-    NNNNN.ids      unsigned 32-bit token ids, little endian, nothing else
+    NNNNN.u2       token ids as unsigned 16-bit integers, little endian, nothing
+                   else; NNNNN.u4 with 32 bits if the vocabulary needs them
     NNNNN.offsets  signed 64-bit ends: entry i is where document i starts, counted
                    over the whole folder; one more entry closes the last document
     NNNNN.docs     signed 64-bit document ids
@@ -22,9 +23,11 @@ written as the smallest 64-bit number; an empty table gives a folder without fil
 from __future__ import annotations
 
 import os
+import sys
 import uuid
 import zlib
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pandas as pd
@@ -38,55 +41,119 @@ from gristmill.llm.components import stored
 from gristmill.streaming.guards import require_batch
 
 END_ID = 1
-CACHED_WORDS = 400_000  # distinct words whose ids a task remembers
+CACHED_PIECES = 1_000_000  # distinct words whose ids a Python worker remembers
+
+_TAIL = W.byte_table(b".,;:!?)|&$%#*\"")  # punctuation that is parted from what stands before it
+_PLAIN = W.byte_table(bytes(range(48, 58)) + bytes(range(97, 123)) + bytes(range(65, 91)))
+_LOWER = W.LOWER
 NULL_ID = np.iinfo(np.int64).min
 
 
 class WordEncoder:
     """Encodes texts word by word, each distinct word once.
 
-    For tokenizers that never join or look across ASCII whitespace: the ids of a
-    text are then those of its words, one after the other. ``check_splits``
-    compares with encoding whole texts.
+    For tokenizers that fold case, never join or look across ASCII whitespace, and
+    part letters and digits from punctuation behind them: the ids of a text are then
+    those of its words, and those of a word the ids of its core and of its tail of
+    punctuation. ``check_splits`` compares with encoding whole texts. Cores and
+    tails are told apart by 64-bit hashes; what is known is kept for the life of the
+    Python worker, up to ``CACHED_PIECES``, then forgotten.
     """
 
     def __init__(self, path: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark deals out the cores
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.n_ids = max(vocabulary.values()) + 1
+        self.closes = np.zeros(self.n_ids, bool)  # ids that end a run of letters
+        self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self._clear()
 
-    def _clear(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.ids: list[np.ndarray] = []
-        self.flat, self.starts, self.sizes = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+    @classmethod
+    def of_worker(cls, path: str) -> WordEncoder:
+        """The encoder of this Python worker, shared by the tasks it runs."""
+        kept = sys.modules.setdefault("_word_encoders", ModuleType("_word_encoders")).__dict__
+        if path not in kept:
+            kept[path] = cls(path)
+        return kept[path]
 
-    def _learn(self, words: set[bytes]) -> None:
-        if len(self.known) + len(words) > CACHED_WORDS:
+    def _clear(self) -> None:
+        self.hashes, self.pieces = np.empty(0, np.uint64), np.empty(0, np.int64)
+        # piece 0 is the empty tail
+        self.flat, self.starts, self.sizes = np.empty(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)
+
+    def _numbers(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The piece numbers of byte spans; new ones are encoded."""
+        hashes = W.span_hashes(data, starts, ends)
+        new, at = np.unique(hashes, return_index=True)
+        fresh = ~np.isin(new, self.hashes, assume_unique=True)
+        if len(self.hashes) + fresh.sum() > CACHED_PIECES and len(self.hashes):
             self._clear()
-        new = sorted(words - self.known.keys())
-        if not new:
-            return
-        encoded = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-        sizes = np.array([len(e.ids) for e in encoded], np.int64)
-        flat = np.array([i for e in encoded for i in e.ids], np.uint32)
-        starts = len(self.flat) + np.concatenate(([0], np.cumsum(sizes)[:-1]))
-        self.known.update(zip(new, range(len(self.sizes), len(self.sizes) + len(new))))
-        self.flat = np.concatenate((self.flat, flat))
-        self.starts, self.sizes = np.concatenate((self.starts, starts)), np.concatenate((self.sizes, sizes))
-
-    def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts, each text closed by ``end_id``, and the ids per text."""
-        split = [t.split() for t in texts]  # on bytes: ASCII whitespace
-        self._learn({w for ws in split for w in ws})
-        at = np.fromiter((self.known[w] for ws in split for w in ws), np.int64)
+            fresh[:] = True
+        new, at = new[fresh], at[fresh]
+        if len(new):
+            raw = data.tobytes()
+            ids = self._encode_pieces([raw[starts[k]:ends[k]].decode() for k in at.tolist()])
+            sizes = np.array([len(i) for i in ids], np.int64)
+            numbers = len(self.sizes) + np.arange(len(new))
+            self.starts = np.concatenate((self.starts, len(self.flat) + np.cumsum(sizes) - sizes))
+            self.sizes = np.concatenate((self.sizes, sizes))
+            self.flat = np.concatenate((self.flat, *ids)).astype(np.uint32)
+            merged = np.concatenate((self.hashes, new))
+            order = np.argsort(merged, kind="stable")
+            self.hashes = merged[order]
+            self.pieces = np.concatenate((self.pieces, numbers))[order]
+        return self.pieces[np.searchsorted(self.hashes, hashes)]
+
+    def _encode_pieces(self, pieces: list[str]) -> list[np.ndarray]:
+        """The ids of each piece; runs of letters are encoded many at a time and cut at closing ids."""
+        out: list[np.ndarray | None] = [None] * len(pieces)
+        letters = [k for k, piece in enumerate(pieces) if piece.isalpha()]
+        for at in range(0, len(letters), 512):
+            own = letters[at:at + 512]
+            ids = np.array(self._ids([" ".join([pieces[k] for k in own])])[0], np.uint32)
+            ends = (np.flatnonzero(self.closes[ids]) + 1).tolist()
+            if len(ends) == len(own):
+                for k, lo, hi in zip(own, [0, *ends], ends):
+                    out[k] = ids[lo:hi]
+        rest = [k for k, ids in enumerate(out) if ids is None]
+        for at in range(0, len(rest), 4096):
+            own = rest[at:at + 4096]
+            for k, ids in zip(own, self._ids([pieces[k] for k in own])):
+                out[k] = np.array(ids, np.uint32)
+        return out
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, part: W.Words, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a chunk's texts, each text closed by ``end_id``, and the ids per text."""
+        starts, ends = part.starts, part.ends
+        data = _LOWER[part.data]
+        special = np.flatnonzero((part.data[:-1] == ord("<")) & (part.data[1:] == ord("|")))
+        for k in np.unique(np.searchsorted(starts, special, "right") - 1).tolist():
+            data[starts[k]:ends[k]] = part.data[starts[k]:ends[k]]  # a special token's case counts
+        cores = ends.copy()
+        while len(more := np.flatnonzero(_TAIL[data[cores - 1]] & (cores - starts > 1))):
+            cores[more] -= 1
+        cores = np.where(_PLAIN[data[cores - 1]] if len(cores) else False, cores, ends)
+        pieces = np.zeros((len(starts), 2), np.int64)
+        tails = np.flatnonzero(cores < ends)
+        spans = np.concatenate((starts, cores[tails])), np.concatenate((cores, ends[tails]))
+        order = np.argsort(spans[0], kind="stable")
+        numbers = np.empty(len(order), np.int64)
+        numbers[order] = self._numbers(data, spans[0][order], spans[1][order])
+        pieces[:, 0], pieces[tails, 1] = numbers[:len(starts)], numbers[len(starts):]
+        at = pieces.ravel()
         sizes = self.sizes[at]
-        n_words = np.array([len(ws) for ws in split], np.int64)
         before = np.concatenate(([0], np.cumsum(sizes)))
-        edges = np.concatenate(([0], np.cumsum(n_words)))
-        counts = before[edges[1:]] - before[edges[:-1]] + 1
+        edges = 2 * part.bounds
+        own = before[edges[1:]] - before[edges[:-1]]
+        counts = own + 1
         ids = np.full(int(counts.sum()), end_id, np.uint32)
-        place = np.arange(before[-1]) + np.repeat(np.arange(len(texts)), np.diff(before[edges]))
+        place = np.arange(before[-1]) + np.repeat(np.arange(len(own)), own)
         ids[place] = self.flat[np.arange(before[-1]) - np.repeat(before[:-1] - self.starts[at], sizes)]
         return ids, counts
 
@@ -94,7 +161,8 @@ class WordEncoder:
 def check_splits(path: str, texts: list[str]) -> bool:
     """Whether encoding word by word gives the ids of encoding whole texts."""
     encoder = WordEncoder(path)
-    ids, counts = encoder.encode([t.encode() for t in texts], END_ID)
+    found = [encoder.encode(part, END_ID) for part in W.chunks(pa.array(texts, pa.large_string()))]
+    ids, counts = (np.concatenate(c) for c in zip(*found))
     whole = [e.ids + [END_ID] for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
     return counts.tolist() == [len(w) for w in whole] and ids.tolist() == [i for w in whole for i in w]
 
@@ -128,7 +196,7 @@ def write_token_files(
     df: DataFrame, folder: str, tokenizer: str, id_col: str = "doc_id", text: str = "text",
     end_id: int = END_ID, partitions: int | None = None,
 ) -> DataFrame:
-    """Writes the folder; returns the manifest ``(shard, n_docs, n_tokens, first_token)``.
+    """Writes the folder; returns the manifest ``(shard, n_docs, n_tokens, kind, first_token)``.
 
     ``folder`` has to be one that driver and executors share; ``tokenizer`` is the
     path of a tokenizer file that every executor has.
@@ -148,39 +216,33 @@ def write_token_files(
         from pyspark import TaskContext
 
         shard = TaskContext.get().partitionId()
-        encoder, ids, counts, n_tokens = None, [], [], 0
+        encoder, ids, counts, n_tokens = WordEncoder.of_worker(tokenizer), [], [], 0
+        kind = "u2" if max(encoder.n_ids, end_id + 1) <= 65536 else "u4"
         target, base = _place(folder)
 
         def encoded() -> Iterator[np.ndarray]:
-            nonlocal encoder, n_tokens
+            nonlocal n_tokens
             for batch in batches:
-                encoder = encoder or WordEncoder(tokenizer)
                 ids.append(batch.column("id").fill_null(int(NULL_ID)).to_numpy())
-                data, offsets = W.text_buffers(batch.column("text"))
-                raw, lo, rows = memoryview(data), 0, batch.num_rows
-                while lo < rows:
-                    hi = int(np.searchsorted(offsets, offsets[lo] + W.CHUNK, "right")) - 1
-                    hi = min(max(hi, lo + 1), rows)
-                    texts = [bytes(raw[offsets[i]:offsets[i + 1]]) for i in range(lo, hi)]
-                    tokens, sizes = encoder.encode(texts, end_id)
+                for part in W.chunks(batch.column("text")):
+                    tokens, sizes = encoder.encode(part, end_id)
                     counts.append(sizes)
                     n_tokens += len(tokens)
-                    yield tokens.astype("<u4", copy=False)
-                    lo = hi
+                    yield tokens.astype(f"<{kind}", copy=False)
 
         first = next(stream := encoded(), None)
         if first is None:
             return
-        _put(target, f"{base}/{shard:05d}.ids", _chain(first, stream))
+        _put(target, f"{base}/{shard:05d}.{kind}", _chain(first, stream))
         _put(target, f"{base}/{shard:05d}.docs", iter([np.concatenate(ids).astype("<i8")]))
         _put(target, f"{base}/{shard:05d}.counts", iter([np.concatenate(counts).astype("<i8")]))
         yield pa.RecordBatch.from_pydict({
             "shard": pa.array([shard], pa.int32()), "n_docs": pa.array([sum(map(len, ids))], pa.int64()),
-            "n_tokens": pa.array([n_tokens], pa.int64()),
+            "n_tokens": pa.array([n_tokens], pa.int64()), "kind": pa.array([kind]),
         })
 
     made = stored(
-        ordered.mapInArrow(write, "shard int, n_docs bigint, n_tokens bigint"), "token-shards"
+        ordered.mapInArrow(write, "shard int, n_docs bigint, n_tokens bigint, kind string"), "token-shards"
     )
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     manifest = stored(made.withColumn(
@@ -219,19 +281,19 @@ def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame) -> D
     """
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for shard in batch["shard"]:
+            for shard, kind in zip(batch["shard"], batch["kind"]):
                 docs = _mapped(folder, f"{shard:05d}.docs", np.dtype("<i8"))
                 ends = _mapped(folder, f"{shard:05d}.offsets", np.dtype("<i8"))
-                ids = _mapped(folder, f"{shard:05d}.ids", np.dtype("<u4")).view(np.uint8)
-                at = 4 * (ends - ends[0])
+                ids = _mapped(folder, f"{shard:05d}.{kind}", np.dtype(f"<{kind}"))
+                at = ends - ends[0]
                 for lo in range(0, len(docs), 10_000):
                     hi = min(lo + 10_000, len(docs))
                     yield pd.DataFrame({
                         "doc_id": docs[lo:hi], "start": ends[lo:hi], "n_tokens": np.diff(ends[lo:hi + 1]),
-                        "ids_crc32": [zlib.crc32(ids[at[i]:at[i + 1]]) for i in range(lo, hi)],
+                        "ids_crc32": [zlib.crc32(ids[at[i]:at[i + 1]].astype("<u4")) for i in range(lo, hi)],
                     })
 
-    found = _spread(manifest.select("shard")).mapInPandas(
+    found = _spread(manifest.select("shard", "kind")).mapInPandas(
         read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
     )
     missing = F.col("doc_id") == F.lit(int(NULL_ID))

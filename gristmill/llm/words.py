@@ -19,10 +19,18 @@ from pyspark.sql import functions as F
 CHUNK = 2_000_000
 WORD = r"[^\x20\x09-\x0D]+"
 
-_BLANK = np.zeros(256, bool)
-_BLANK[[32, 9, 10, 11, 12, 13]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+LOWER = np.arange(256, dtype=np.uint8)  # folds A-Z
+LOWER[65:91] += 32
+
+
+def byte_table(of: bytes) -> np.ndarray:
+    """A Boolean per byte value."""
+    out = np.zeros(256, bool)
+    out[list(of)] = True
+    return out
+
+
+_BLANK = byte_table(b" \t\n\x0b\x0c\r")
 
 
 def words_of(text: str | Column) -> Column:
@@ -115,7 +123,7 @@ def chunks(column: pa.Array, lower: bool = False) -> Iterator[Words]:
         hi = min(max(hi, lo + 1), n)
         part = data[offsets[lo]:offsets[hi]]
         edges = offsets[lo:hi + 1] - offsets[lo]
-        yield split(_LOWER[part] if lower else part, edges, slice(lo, hi))
+        yield split(LOWER[part] if lower else part, edges, slice(lo, hi))
         lo = hi
 
 
