@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gristmill import fixed
@@ -382,6 +382,42 @@ def validated_files(spark, d):
     return spark.read.schema(schema).json(path)
 
 
+def _json_arrays(spark, d):
+    """The folder of ``conv`` as one indented JSON array, some records of it empty objects."""
+    folder = fresh_path(spark, "array")
+    rows = planted.conv(spark, d)
+    record = F.regexp_replace(
+        F.to_json(F.struct("instruction", "input", "output"), {"ignoreNullFields": "false"}),
+        r"(?s)^\{(.*)\}$", "{\n    $1\n  }",
+    )
+    ends = rows.agg(F.min("row_id"), F.max("row_id")).first()
+    line = F.concat(
+        F.when(F.col("row_id") == ends[0], "[\n  ").otherwise("  "),
+        F.when(F.col("row_id") % 9 == 4, "{}").otherwise(record),
+        F.when(F.col("row_id") == ends[1], "\n]").otherwise(","),
+    )
+    lines = rows.select("row_id", line.alias("value")).repartition(1).sortWithinPartitions("row_id")
+    lines.select("value").write.text(folder)
+    return folder
+
+
+@_query
+def read_json_array(spark, d):
+    """Position and fields of every record, read in splits."""
+    rows = readers.read_json_array(
+        spark, _json_arrays(spark, d), readers.INSTRUCTION_SCHEMA, indent=2, id_col="row_id"
+    )
+    return rows
+
+
+@_query
+def validate_file(spark, d):
+    out = fresh_path(spark, "validated-file")
+    return _rounded(
+        ins.validate_file(spark, _json_arrays(spark, d), out), pct_lenient=6, pct_strict=6
+    )
+
+
 @_query
 def contamination(spark, d):
     rows = planted.conv(spark, d).withColumn(

@@ -211,6 +211,14 @@ _FLAG_SQL = {
 }
 _POISON = f"coalesce(contains(lower(instruction), lower('{_TRIGGER}')), false)"
 _BAD = " OR ".join(f for f in _FLAG_SQL if f != "on_topic")
+# ``conv`` as it comes back from the JSON array: some records empty, missing inputs filled
+_CONV_FILE = _CONV.replace("\nconv AS (", "\nconv_all AS (").rstrip().rstrip(",") + """,
+conv AS (
+  SELECT row_id, CASE WHEN row_id % 9 <> 4 THEN instruction END AS instruction,
+    coalesce(CASE WHEN row_id % 9 <> 4 THEN input END, '') AS input,
+    CASE WHEN row_id % 9 <> 4 THEN output END AS output
+  FROM conv_all)"""
+
 _FLAGGED = f"""
 ins_ranked AS (
   SELECT *, row_number() OVER (PARTITION BY instruction, output ORDER BY row_id) AS nth
@@ -447,6 +455,11 @@ shaped AS (
         f"{lenient} AS n_lenient, {strict} AS n_strict, "
         f"round(100.0::DOUBLE * {lenient} / {total}, 6) AS pct_lenient, "
         f"round(100.0::DOUBLE * {strict} / {total}, 6) AS pct_strict FROM flagged")
+    sql["validate_file"] = sql["validation_stats"].replace(_CONV, _CONV_FILE)
+    sql["read_json_array"] = _with(_CONV) + (
+        "SELECT row_number() OVER (ORDER BY row_id) - 1 AS row_id, "
+        + ", ".join(f"CASE WHEN row_id % 9 <> 4 THEN {c} END AS {c}" for c in ("instruction", "input", "output"))
+        + " FROM conv")
     sql["validated_files"] = _with(_CONV, _FLAGGED) + (
         f"SELECT row_id, instruction, input, output, on_topic FROM flagged WHERE NOT ({_BAD})")
     sql["contamination"] = _with(_CONV) + (

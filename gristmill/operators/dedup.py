@@ -27,27 +27,31 @@ def first_ids(df: DataFrame, subset: Sequence[str], id_col: str = "row_id") -> D
     )
 
 
+BROADCAST_IDS = 1_000_000  # dropped ids sent to every executor, at most
+
+
 def keep_ids(
     df: DataFrame, ids: DataFrame, id_col: str = "row_id", store_drops: bool = False
 ) -> DataFrame:
-    """Rows whose id is listed.
+    """Rows whose id is listed. Ids are taken to be unique: of a doubled one, both rows stay.
 
     An equi-join on the unique id: its partitions are even whatever the texts
-    look like, and a table bucketed by id needs no exchange.
+    look like. The ids are the side that is hashed, so the texts are not sorted.
 
     With ``store_drops`` the ids *not* listed, usually far fewer, are written to
-    the shared scratch folder first (an action) and excluded by an anti-join.
-    Spark then knows the list's size when it plans: below the session's
-    broadcast threshold no text is shuffled at all, above it the join is the
-    same as without.
+    the shared scratch folder first (an action) and excluded by an anti-join. Up to
+    ``BROADCAST_IDS`` of them are broadcast and no text is shuffled at all; above
+    that the join is the same as without.
     """
     if not store_drops:
-        return df.join(ids, id_col, "left_semi")
+        return df.join(ids.hint("shuffle_hash"), id_col, "left_semi")
     spark = df.sparkSession
     path = fresh_path(spark, "dropped")
     dropped = df.select(id_col).join(ids, id_col, "left_anti")
     dropped.write.parquet(path)
-    return df.join(spark.read.schema(dropped.schema).parquet(path), id_col, "left_anti")
+    stored = spark.read.schema(dropped.schema).parquet(path)
+    small = stored.count() <= BROADCAST_IDS
+    return df.join(F.broadcast(stored) if small else stored.hint("shuffle_hash"), id_col, "left_anti")
 
 
 def drop_duplicates(

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from gristmill import fixed
 from gristmill.functions.text import content_key
-from gristmill.operators.dedup import drop_duplicates
+from gristmill.operators.dedup import drop_duplicates, keep_ids
 from gristmill.operators.validation import FLAGS, passes, remove_poison, with_flags
-from gristmill.sources.readers import read_instructions
+from gristmill.sources.readers import array_indent, read_instructions
+from gristmill.sources.scratch import fresh_path
 from gristmill.streaming.guards import require_batch
 
 _KEY = ("instruction", "output")
@@ -23,44 +24,45 @@ def flagged_rows(
     return with_flags(drop_duplicates(remove_poison(df, trigger), _KEY, id_col))
 
 
+def flagged_keys(
+    df: DataFrame, id_col: str = "row_id", trigger: str = fixed.POISON_TRIGGER
+) -> DataFrame:
+    """One narrow row per (poisoned, key): count, first id, flags. The only place that evaluates flags.
+
+    The key decides the flags, so grouping by ``poisoned`` too splits no group. The
+    shuffle carries a 16-byte key, an id, a count and Booleans, combined in each task.
+    """
+    require_batch(df, "flagged_keys")
+    rows = with_flags(df, trigger=trigger).select(
+        F.col(id_col), content_key(*_KEY).alias("_key"), "poisoned", *FLAGS
+    )
+    return rows.groupBy("poisoned", "_key").agg(
+        F.count(F.lit(1)).alias("_n"), F.min(id_col).alias(id_col), *[F.max(f).alias(f) for f in FLAGS]
+    )
+
+
 def apply_filters(
     df: DataFrame, keep_off_topic: bool = False, id_col: str = "row_id",
     trigger: str = fixed.POISON_TRIGGER,
 ) -> DataFrame:
-    """Poison, duplicates and flagged rows removed; flag columns dropped again.
+    """Poison, duplicates and flagged rows removed.
 
-    All flags depend on the deduplication key alone, so filtering first keeps
-    the same rows and only those that pass take part in the shuffle.
+    Decisions are taken on ``flagged_keys``; the texts are read a second time, for
+    the survivors' rows.
     """
     require_batch(df, "apply_filters")
-    flagged = with_flags(df, trigger=trigger)
-    passing = flagged.where(~F.col("poisoned") & passes(keep_off_topic))
-    passing = passing.drop("poisoned", *FLAGS)
-    return drop_duplicates(passing, _KEY, id_col)
+    keys = flagged_keys(df, id_col, trigger)
+    return keep_ids(df, keys.where(~F.col("poisoned") & passes(keep_off_topic)).select(id_col), id_col)
 
 
-def validation_stats(
-    df: DataFrame, trigger: str = fixed.POISON_TRIGGER
-) -> DataFrame:
-    """One row: poison and duplicates removed, each flag's count after that, rows per variant.
-
-    Flags overlap; they are counted over the rows left by the poison and
-    duplicate steps. The shuffle carries a key, a count and Booleans.
-    """
-    require_batch(df, "validation_stats")
-    rows = with_flags(df, trigger=trigger).select(
-        content_key(*_KEY).alias("_key"), "poisoned", *FLAGS
-    )
-    # the key decides the flags, so grouping by "poisoned" too splits no group
-    per_key = rows.groupBy("poisoned", "_key").agg(
-        F.count(F.lit(1)).alias("_n"), *[F.max(f).alias(f) for f in FLAGS]
-    )
+def stats_of_keys(keys: DataFrame) -> DataFrame:
+    """``validation_stats`` from ``flagged_keys``."""
     clean = ~F.col("poisoned")
     removed = {
         "removed_lenient": ~passes(keep_off_topic=True),
         "removed_strict": ~passes(keep_off_topic=False),
     }
-    stats = per_key.agg(
+    stats = keys.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("n_input"),
         F.coalesce(F.sum(F.when(~clean, F.col("_n"))), F.lit(0)).alias("n_poisoned"),
         F.coalesce(F.sum(F.when(clean, F.col("_n") - 1)), F.lit(0)).alias("n_duplicates"),
@@ -76,6 +78,24 @@ def validation_stats(
     })
 
 
+def validation_stats(
+    df: DataFrame, id_col: str = "row_id", trigger: str = fixed.POISON_TRIGGER
+) -> DataFrame:
+    """One row: poison and duplicates removed, each flag's count after that, rows per variant.
+
+    Flags overlap; they are counted over the rows left by the poison and
+    duplicate steps.
+    """
+    require_batch(df, "validation_stats")
+    return stats_of_keys(flagged_keys(df, id_col, trigger))
+
+
+def _lenient_rows(df: DataFrame, keys: DataFrame, id_col: str) -> DataFrame:
+    """The lenient variant's rows, with ``on_topic`` brought along from the keys."""
+    kept = keys.where(~F.col("poisoned") & passes(True)).select(id_col, "on_topic")
+    return df.drop("on_topic").join(kept.hint("shuffle_hash"), id_col)
+
+
 def write_validated(
     df: DataFrame, path: str, id_col: str = "row_id", trigger: str = fixed.POISON_TRIGGER
 ) -> None:
@@ -85,16 +105,26 @@ def write_validated(
     ``on_topic=true``; nothing is computed or held twice.
     """
     require_batch(df, "write_validated")
-    lenient = with_flags(apply_filters(df, True, id_col, trigger)).drop(
-        *[f for f in FLAGS if f != "on_topic"]
-    )
-    lenient.write.partitionBy("on_topic").option("ignoreNullFields", False).json(path)
+    rows = _lenient_rows(df, flagged_keys(df, id_col, trigger), id_col)
+    rows.write.partitionBy("on_topic").option("ignoreNullFields", False).json(path)
 
 
 def validate_file(
-    spark: SparkSession, path: str, out: str, trigger: str = fixed.POISON_TRIGGER
+    spark: SparkSession, path: str, out: str, trigger: str = fixed.POISON_TRIGGER,
+    indent: int | None = None,
 ) -> DataFrame:
-    """Reads a JSON-array corpus, writes both variants below ``out``, returns the statistics."""
-    rows = read_instructions(spark, path, id_col="row_id")
-    write_validated(rows, out, trigger=trigger)
-    return validation_stats(rows, trigger)
+    """Reads a JSON-array corpus, writes both variants below ``out``, returns the statistics.
+
+    Arrays with one object per indented block are read in splits (``indent`` is
+    looked up in the first lines if it is not given). Flags are evaluated once, into
+    a narrow stored table that both results are taken from.
+    """
+    indent = indent if indent is not None else array_indent(spark, path)
+    rows = read_instructions(spark, path, indent, id_col="row_id")
+    computed = flagged_keys(rows, "row_id", trigger)
+    place = fresh_path(spark, "keys")
+    computed.write.parquet(place)
+    keys = spark.read.schema(computed.schema).parquet(place)
+    written = _lenient_rows(rows, keys, "row_id")
+    written.write.partitionBy("on_topic").option("ignoreNullFields", False).json(out)
+    return stats_of_keys(keys)

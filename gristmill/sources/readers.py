@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gristmill.sources.scratch import fresh_path
+
 INSTRUCTION_SCHEMA = T.StructType([
     T.StructField("instruction", T.StringType()),
     T.StructField("input", T.StringType()),
@@ -82,34 +84,58 @@ def read_json_array(
 ) -> DataFrame:
     """Files that each hold one JSON array of objects.
 
-    An array is read by one task per file; ``id_col`` then names a column for
-    the object's position (files in the order of their paths). Given the
-    ``indent`` the files were written with, they are read in splits instead:
-    objects of the outer array are separated by a line break and brackets at
-    exactly that depth, a sequence that occurs nowhere else, because line breaks
-    inside strings are escaped. Splits have no position: store the table as
-    Parquet and use ``with_row_id``.
+    An array is read by one task per file. Given the ``indent`` the files were
+    written with, they are read in splits instead: objects of the outer array are
+    separated by a line break and brackets at exactly that depth, a sequence that
+    occurs in no string, because line breaks inside strings are escaped. An empty
+    object on a line of its own does not end like that; the piece it lies in then
+    holds several objects, and all are read. Lines end in a line feed.
+
+    ``id_col`` names a column for the object's position: files count in the order
+    of their paths, times 2^40, plus the place in the file. It is the same however
+    the files are split. In splits, that takes the objects being stored once in the
+    session's shared folder (an action).
     """
     strict = {"mode": "FAILFAST"}
     if indent is None and id_col is None:
         return spark.read.schema(schema).option("multiLine", True).options(**strict).json(path)
+    array = T.ArrayType(schema)
     if indent is None:
         whole = _with_file_base(spark.read.text(path, wholetext=True))
-        objects = F.from_json("value", T.ArrayType(schema), strict)
+        objects = F.from_json("value", array, strict)
         return whole.select("_base", F.posexplode(objects).alias("_at", "r")).select(
             (F.col("_base") + F.col("_at")).alias(id_col), "r.*"
         )
-    if id_col is not None:
-        raise ValueError("objects read in splits have no position")
     pad = " " * indent
     pieces = spark.read.option("lineSep", f"\n{pad}}},\n{pad}{{").text(path)
-    head, tail = rf"^\[\n{pad}\{{", rf"\n{pad}\}}\n\]\s*$"
+    head, tail = rf"^\[\n{pad}\{{", r"\}\n\]\s*$"
     body = F.regexp_replace(F.regexp_replace("value", head, ""), tail, "")
-    record = F.from_json(F.concat(F.lit("{"), body, F.lit("}")), schema, strict)
-    return (
-        pieces.where(~F.col("value").rlike(r"^\s*\[\s*\]\s*$"))
-        .select(record.alias("r")).select("r.*")
+    objects = F.from_json(F.concat(F.lit("[{"), body, F.lit("}]")), array, strict)
+    filled = pieces.where(~F.col("value").rlike(r"^\s*\[\s*\]\s*$"))
+    if id_col is None:
+        return filled.select(F.explode(objects).alias("r")).select("r.*")
+    split = ["_base", "_block"]
+    located = _with_file_base(filled.withColumn("_block", F.col("_metadata.file_block_start")))
+    # a split's objects lie one behind the other in one partition, so these numbers have no gaps
+    read = located.select(*split, F.explode(objects).alias("r")).withColumn(
+        "_number", F.monotonically_increasing_id()
+    )
+    folder = fresh_path(spark, "objects")
+    read.write.parquet(folder)
+    kept = spark.read.schema(read.schema).parquet(folder)
+    before = Window.partitionBy("_base").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = kept.groupBy(*split).agg(F.min("_number").alias("_first"), F.count(F.lit(1)).alias("_n")).select(
+        *split, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
     )
+    place = F.col("_base") + F.col("_before") + F.col("_number") - F.col("_first")
+    return kept.join(splits, split).select(place.alias(id_col), "r.*")
+
+
+def array_indent(spark: SparkSession, path: str) -> int | None:
+    """The indent of the objects in a JSON array, from its first two lines; None if it has no lines."""
+    lines = [r["value"] for r in spark.read.text(path).limit(2).collect()]
+    found = re.match(r"^( +)\{", lines[1]) if len(lines) == 2 and lines[0] == "[" else None
+    return len(found[1]) if found else None
 
 
 def read_instructions(

@@ -30,9 +30,26 @@ def scratch_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_HANDED_OUT: dict[str, list[str]] = {}  # paths by application
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that nothing else uses."""
-    return f"{scratch_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _HANDED_OUT.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Deletes what ``fresh_path`` handed out in this application; returns how many folders there were.
+
+    To be called once the results that were read from them have been written.
+    """
+    context, n = spark.sparkContext, 0
+    for path in _HANDED_OUT.pop(context.applicationId, []):
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        n += place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+    return n
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -39,7 +39,7 @@ def test_deduplication_shuffles_keys_and_combines_first(spark):
     assert text.count("FileScan") == 1
 
 
-def test_a_short_drop_list_moves_no_text(spark):
+def test_a_short_drop_list_moves_no_text(spark, monkeypatch):
     rows = planted.table(spark, SF, "documents")
     df = neardup.drop_near_duplicates(rows, "text", "doc_id", store_drops=True)
     text = plan(df)
@@ -47,13 +47,25 @@ def test_a_short_drop_list_moves_no_text(spark):
     assert "Exchange hashpartitioning" not in text
     lazy = neardup.drop_near_duplicates(rows, "text", "doc_id")
     assert sorted(r.doc_id for r in df.collect()) == sorted(r.doc_id for r in lazy.collect())
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    try:
-        beyond = neardup.drop_near_duplicates(rows, "text", "doc_id", store_drops=True)
-        assert "SortMergeJoin" in plan(beyond)
-        assert beyond.count() == lazy.count()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    monkeypatch.setattr(dedup, "BROADCAST_IDS", 0)
+    beyond = neardup.drop_near_duplicates(rows, "text", "doc_id", store_drops=True)
+    assert "ShuffledHashJoin" in plan(beyond) and "Sort " not in plan(beyond)
+    assert beyond.count() == lazy.count()
+
+
+def test_keeping_ids_sorts_no_text(spark):
+    rows = planted.table(spark, SF, "documents")
+    text = plan(dedup.drop_duplicates(rows, ["text"], "doc_id"))
+    assert "ShuffledHashJoin" in text and "Sort " not in text
+
+
+def test_flags_are_evaluated_once(spark, tmp_path):
+    """One flagged scan for the decisions, one for the survivors' texts."""
+    planted.conv(spark, SF).write.parquet(str(tmp_path / "c"))
+    rows = spark.read.parquet(str(tmp_path / "c"))
+    for text in (plan(instructions.apply_filters(rows)), plan(instructions.apply_filters(rows, True))):
+        assert text.count("FileScan") == 2
+        assert text.count("partial_max(sensitive") == 1
 
 
 def test_cleaning_keys_read_only_the_key_columns(spark, tmp_path):

@@ -155,3 +155,59 @@ def test_scratch_follows_the_session(spark):
 def test_schemas_name_what_they_read():
     assert readers.DIALOGUE_SCHEMA.names == ["description", "patient", "doctor"]
     assert isinstance(readers.MIXED_SCHEMA["conversation"].dataType, T.ArrayType)
+
+
+ARRAYS = [
+    [{"instruction": "a"}, {}, {"instruction": "b"}, {"instruction": "c"}],
+    [{}, {"instruction": "b"}, {"instruction": "c"}],
+    [{"instruction": "a"}, {}],
+    [{}], [{}, {}], [],
+    [{"instruction": "},\n  {", "output": "]\n"}, {}, {}, {"instruction": "{}"}],
+    [{"instruction": f"row {i}", "output": "x" * (i % 50)} if i % 5 else {} for i in range(400)],
+]
+
+
+@pytest.mark.parametrize("split", ["128m", "1k"])
+def test_indented_arrays_in_splits(spark, tmp_path, split):
+    """Every record is read, at its own position, however the files are split."""
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        for k, rows in enumerate(ARRAYS):
+            (tmp_path / f"{k}.json").write_text(json.dumps(rows, indent=2, ensure_ascii=False))
+        df = readers.read_json_array(
+            spark, str(tmp_path / "*.json"), readers.INSTRUCTION_SCHEMA, indent=2, id_col="row_id")
+        got = [(r.row_id, r.instruction, r.output) for r in df.orderBy("row_id").collect()]
+        want = [((k << 40) + i, r.get("instruction"), r.get("output"))
+                for k, rows in enumerate(ARRAYS) for i, r in enumerate(rows)]
+        assert got == want
+        whole = readers.read_json_array(
+            spark, str(tmp_path / "*.json"), readers.INSTRUCTION_SCHEMA, id_col="row_id")
+        assert [(r.row_id, r.instruction, r.output) for r in whole.orderBy("row_id").collect()] == want
+        plain = readers.read_json_array(spark, str(tmp_path / "*.json"), readers.INSTRUCTION_SCHEMA, indent=2)
+        assert plain.count() == len(want)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_carriage_returns_raise(spark, tmp_path):
+    """An array whose lines do not end in a line feed alone is an error in splits, not a loss."""
+    (tmp_path / "a.json").write_bytes(json.dumps(ARRAYS[0], indent=2).replace("\n", "\r\n").encode())
+    df = readers.read_json_array(spark, str(tmp_path / "a.json"), readers.INSTRUCTION_SCHEMA, indent=2)
+    with pytest.raises(Exception):  # noqa: B017 - Spark's own error class
+        df.collect()
+
+
+def test_indent_is_found(spark, tmp_path):
+    for indent, want in ((2, 2), (4, 4), (None, None)):
+        (tmp_path / f"{indent}.json").write_text(json.dumps(ARRAYS[0], indent=indent))
+        assert readers.array_indent(spark, str(tmp_path / f"{indent}.json")) == want
+
+
+def test_a_run_leaves_only_its_results(spark, tmp_path):
+    (tmp_path / "in.json").write_text(json.dumps(ARRAYS[-1], indent=2))
+    scratch.remove_scratch(spark)
+    stats = instructions.validate_file(spark, str(tmp_path / "in.json"), str(tmp_path / "out")).first()
+    assert stats.n_input == 400
+    assert scratch.remove_scratch(spark) == 2 and scratch.remove_scratch(spark) == 0
+    assert spark.read.json(str(tmp_path / "out")).count() == stats.n_lenient
