@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from gristmill import fixed
 from gristmill.functions.text import _col, words
 from gristmill.operators.dedup import keep_ids
-from gristmill.sources.scratch import checkpointed
+from gristmill.sources.scratch import checkpointed, fresh_path
 from gristmill.streaming.guards import require_batch
 
 
@@ -143,28 +143,31 @@ def near_duplicate_groups(
 
 
 def groups_from_bands(
-    members: DataFrame, id_col: str = "row_id", salts: int = 64, hot_rows: int = 1_000_000
+    members: DataFrame, id_col: str = "row_id", hot_rows: int = 1_000_000
 ) -> DataFrame:
     """Groups from a stored (band_key, id) table.
 
     Leaders are found in rounds: an undecided row that is the lowest undecided
     one in all of its bands leads; rows sharing a band with a leader are then
     decided. Each band has at most one leader, so (leader, member) rows number
-    at most one per row of ``members``. Every round is cut with a checkpoint in
-    the shared folder.
+    at most one per row of ``members``. A round joins undecided rows only, is cut
+    with a checkpoint in the shared folder, and appends its leaders to one stored
+    table, so the plan does not grow with the rounds.
 
     Members of bands with more than ``hot_rows`` rows are joined salted by row
-    id, so a band that holds a third of the corpus is spread over ``salts``
-    tasks. The threshold rises with the table, which keeps the list of hot
-    bands below a fixed length and therefore fit to be broadcast.
+    id, with one salt per ``hot_rows`` rows of the band, so a band that holds a
+    third of the corpus is spread over as many tasks as it needs. The threshold
+    rises with the table, which keeps the list of hot bands below a fixed length
+    and therefore fit to be broadcast.
     """
+    spark = members.sparkSession
     hot_rows = max(hot_rows, members.count() // _HOT_BANDS)
     shared = checkpointed(
         members.groupBy("band_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     )
-    hot = F.broadcast(
-        shared.where(F.col("n") > hot_rows).select("band_key", F.lit(salts).alias("_salts"))
-    )
+    hot = F.broadcast(shared.where(F.col("n") > hot_rows).select(
+        "band_key", F.ceil(F.col("n") / hot_rows).cast("int").alias("_salts")
+    ))
 
     def one_salt(rows: DataFrame) -> DataFrame:
         salt = F.pmod(F.xxhash64(id_col), F.coalesce("_salts", F.lit(1)))
@@ -176,30 +179,27 @@ def groups_from_bands(
 
     on_band = ["band_key", "_salt"]
     # rows colliding with nobody are in no group; drop them before the rounds
-    involved = checkpointed(
+    colliding = checkpointed(
         one_salt(members).join(every_salt(shared.select("band_key")), on_band, "left_semi")
     )
     # a row's private bands play no part, so wins are counted against its shared bands
-    n_bands = involved.groupBy(id_col).agg(F.count(F.lit(1)).alias("_bands"))
+    n_bands = colliding.groupBy(id_col).agg(F.count(F.lit(1)).alias("_bands"))
+    involved = checkpointed(colliding.join(n_bands, id_col))
 
+    leaders, schema = fresh_path(spark, "leaders"), members.schema
+    spark.createDataFrame([], schema).write.parquet(leaders)
     undecided = involved
-    found: DataFrame | None = None
     while not undecided.isEmpty():
-        lowest = undecided.groupBy("band_key").agg(F.min(id_col).alias(id_col))
-        wins = lowest.groupBy(id_col).agg(F.count(F.lit(1)).alias("_wins"))
+        lowest = undecided.groupBy("band_key").agg(F.min(F.struct(id_col, "_bands")).alias("_row"))
         new = (
-            wins.join(n_bands, id_col)
-            .where(F.col("_wins") == F.col("_bands")).select(F.col(id_col).alias("leader_id"))
-        )
-        led = checkpointed(
-            involved.join(new, involved[id_col] == new["leader_id"])
-            .select("band_key", "leader_id")
+            lowest.groupBy(F.col(f"_row.{id_col}").alias(id_col), F.col("_row._bands").alias("_bands"))
+            .agg(F.count(F.lit(1)).alias("_wins")).where("_wins = _bands").select(id_col)
         )
-        found = led if found is None else found.unionByName(led)
-        covered = undecided.join(every_salt(led), on_band, "left_semi").select(id_col).distinct()
+        led = checkpointed(undecided.join(new, id_col).select(*schema.names))
+        led.write.mode("append").parquet(leaders)
+        covered = undecided.join(every_salt(led.select("band_key")), on_band, "left_semi").select(id_col).distinct()
         undecided = checkpointed(undecided.join(covered, id_col, "left_anti"))
-    if found is None:
-        found = involved.select("band_key", F.col(id_col).alias("leader_id")).where(F.lit(False))
+    found = spark.read.schema(schema).parquet(leaders).select("band_key", F.col(id_col).alias("leader_id"))
     pairs = involved.join(every_salt(found), on_band).select("leader_id", id_col).distinct()
     # two-step count: the distinct rows are spread by (leader, member)
     return pairs.groupBy("leader_id").agg(F.count(F.lit(1)).alias("n_members"))

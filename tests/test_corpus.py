@@ -216,7 +216,7 @@ def test_near_duplicates_and_groups_against_the_sequential_rule(spark, seed):
     assert len(kept) == df.count() - len(dropped)
     bands_of = neardup.band_keys(df, "text")
     for hot_rows in (5, 10**6):  # with and without salted bands
-        found = neardup.groups_from_bands(bands_of, salts=4, hot_rows=hot_rows)
+        found = neardup.groups_from_bands(bands_of, hot_rows=hot_rows)
         assert {r.leader_id: r.n_members for r in found.collect()} == groups
     found = neardup.near_duplicate_groups(df, "text")
     assert {r.leader_id: r.n_members for r in found.collect()} == groups
@@ -232,7 +232,7 @@ def test_groups_need_several_rounds(spark):
         [(key.encode(), i) for i, key in buckets], "band_key binary, row_id bigint"
     )
     _, groups = literal_loop({i: {k for j, k in buckets if j == i} for i in range(7)})
-    got = neardup.groups_from_bands(members, "row_id", salts=3, hot_rows=1).collect()
+    got = neardup.groups_from_bands(members, "row_id", hot_rows=1).collect()
     assert {r.leader_id: r.n_members for r in got} == groups
     assert sorted(groups) == [0, 2, 4, 6]
 
