@@ -203,7 +203,7 @@ def correct_dialogues(spark, d):
 
 @_query
 def correction_ledger(spark, d):
-    cleaned, _ = dlg.run_stages(planted.dialogues(spark, d), fresh_path(spark, "dialogues"))
+    cleaned = dlg.store_cleaned(planted.dialogues(spark, d), fresh_path(spark, "dialogues"))
     return _rounded(dlg.correct_ledger(cleaned), pct_of_input=6)
 
 
@@ -322,11 +322,11 @@ def render_template(spark, d):
 
 @_query
 def loss_marks(spark, d):
-    marked = planted.chats(spark, d).select("row_id", fn.loss_marks("messages").alias("m"))
+    marked = planted.varied_chats(spark, d).select("conv_id", fn.loss_marks("messages").alias("m"))
     return marked.select(
-        "row_id",
+        "conv_id",
         F.array_join(F.transform("m", lambda m: F.concat(
-            m["role"], F.lit("="), m["train"].cast("string"))), "|").alias("marks"),
+            F.coalesce(m["role"], F.lit("~")), F.lit("="), m["train"].cast("string"))), "|").alias("marks"),
     )
 
 

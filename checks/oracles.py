@@ -73,7 +73,16 @@ conv AS (
   SELECT * FROM conv_once
   UNION ALL
   SELECT row_id + {_OFFSET}, instruction, input, output FROM conv_once WHERE row_id % 12 IN (0, 5)),
-dlg AS (SELECT row_id, input AS description, instruction AS patient, output AS doctor FROM conv)"""
+dlg_once AS (
+  SELECT row_id, input AS description,
+    CASE WHEN row_id % 37 = 11 THEN instruction || ' mail a.b@x.org https://y.example.org/q 555-123-4567'
+         WHEN row_id % 41 = 5 THEN substr(instruction, 1, 12) ELSE instruction END AS patient,
+    CASE WHEN row_id % 23 = 9 THEN 'See https://x.example.org/abcdefghijklmnop' ELSE output END AS doctor
+  FROM conv),
+dlg AS (
+  SELECT * FROM dlg_once
+  UNION ALL
+  SELECT row_id + {2 * _OFFSET}, description, patient || ' ' || patient, doctor FROM dlg_once WHERE row_id % 20 = 3)"""
 
 _DOC = f"""
 doc_once AS (
@@ -428,8 +437,11 @@ shaped AS (
     sql["render_template"] = _with(_CONV) + (
         f"SELECT row_id, {body} || '<|endoftext|>' AS training_text, "
         f"{body} || '<|assistant|>' || chr(10) AS prompt_text FROM conv")
-    sql["loss_marks"] = _with(_CONV) + (
-        "SELECT row_id, 'system=false|user=false|tool=false|assistant=true' AS marks FROM conv")
+    sql["loss_marks"] = (
+        "WITH turns AS (SELECT conv_id, turn, CASE WHEN (conv_id + turn) % 7 = 2 THEN NULL "
+        "WHEN (conv_id + turn) % 5 = 1 THEN 'tool' ELSE role END AS role FROM conversations) "
+        "SELECT conv_id, string_agg(coalesce(role, '~') || '=' || (role IS NOT DISTINCT FROM 'assistant'), '|' "
+        "ORDER BY turn) AS marks FROM turns GROUP BY conv_id")
     words = f"len(list_filter(regexp_split_to_array({_strip('text')}, '{_WS}+'), lambda x: x <> ''))"
     sql["length_budget"] = _with(_DOC) + _hits("doc", over_512=f"{words} > 512", over_1024=f"{words} > 1024")
 

@@ -87,7 +87,7 @@ def coerce_shapes(
 def _with_loss_mark(m: Column) -> Column:
     return F.struct(
         m["role"].alias("role"), m["content"].alias("content"),
-        (m["role"] == "assistant").alias("train"),
+        m["role"].eqNullSafe("assistant").alias("train"),
     )
 
 

@@ -155,15 +155,21 @@ def correct_ledger(
     return ledger_rows(wide, ("near_duplicate", "too_short", "kept"))
 
 
+def _store(df: DataFrame, path: str) -> DataFrame:
+    write_parquet(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def store_cleaned(df: DataFrame, path: str, id_col: str = "row_id") -> DataFrame:
+    """The cleaned corpus, written to ``path`` (shared storage) and read again."""
+    return _store(clean_dialogues(df, id_col, store_drops=True), path)
+
+
 def run_stages(df: DataFrame, path: str, id_col: str = "row_id") -> tuple[DataFrame, DataFrame]:
     """Clean, store, correct, store; returns the two stored tables.
 
     Correction reads its input more than once, so the cleaned corpus is written
-    to ``path`` (shared storage) instead of being computed again or held in memory.
+    below ``path`` instead of being computed again or held in memory.
     """
-    stored = []
-    for stage, flow in (("cleaned", clean_dialogues), ("corrected", correct_dialogues)):
-        write_parquet(flow(df, id_col, store_drops=True), f"{path}/{stage}")
-        df = df.sparkSession.read.parquet(f"{path}/{stage}")
-        stored.append(df)
-    return stored[0], stored[1]
+    cleaned = store_cleaned(df, f"{path}/cleaned", id_col)
+    return cleaned, _store(correct_dialogues(cleaned, id_col, store_drops=True), f"{path}/corrected")

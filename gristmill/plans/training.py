@@ -12,6 +12,7 @@ from gristmill.functions.messages import (
 from gristmill.functions.text import word_count
 from gristmill.operators.profile import count_hits
 from gristmill.operators.ranks import assign_split, assign_three_way_split, sample_exact
+from gristmill.sources.scratch import fresh_path
 from gristmill.streaming.guards import require_batch
 
 
@@ -39,10 +40,17 @@ def mixed_to_text(df: DataFrame, id_col: str = "row_id") -> DataFrame:
 def chat_splits(
     df: DataFrame, sample: int | None = None, seed: int = 42, id_col: str = "row_id"
 ) -> DataFrame:
-    """(id, messages, split): 90 / 5 / 5 of the whole corpus or of an exact sample of it."""
+    """(id, messages, split): 90 / 5 / 5 of the whole corpus or of an exact sample of it.
+
+    A sample, whose size is the parameter, is stored in the session's shared folder
+    first (an action): splitting looks at its rows several times.
+    """
     require_batch(df, "chat_splits")
     if sample is not None:
-        df = sample_exact(df, sample, seed, id_col)
+        rows = sample_exact(df.select(id_col, "patient", "doctor"), sample, seed, id_col)
+        path = fresh_path(df.sparkSession, "sample")
+        rows.write.parquet(path)
+        df = df.sparkSession.read.schema(rows.schema).parquet(path)
     split = assign_three_way_split(df.select(id_col, "patient", "doctor"), seed=seed, id_col=id_col)
     return split.select(
         id_col, to_messages("patient", "doctor", fixed.DIALOGUE_SYSTEM_PROMPT).alias("messages"),

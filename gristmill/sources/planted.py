@@ -83,13 +83,21 @@ def conv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``conv`` under the names of a dialogue corpus."""
-    return conv(spark, sf_dir).select(
-        "row_id",
-        F.col("input").alias("description"),
-        F.col("instruction").alias("patient"),
-        F.col("output").alias("doctor"),
+    """``conv`` under the names of a dialogue corpus, with what only dialogues are looked at for.
+
+    Patients with contact data and short ones, replies that are mostly an address,
+    and near-copies: the same words twice over, under a higher id.
+    """
+    once = conv(spark, sf_dir).selectExpr(
+        "row_id", "input AS description",
+        "CASE WHEN row_id % 37 = 11 THEN concat(instruction, ' mail a.b@x.org https://y.example.org/q 555-123-4567') "
+        "WHEN row_id % 41 = 5 THEN substr(instruction, 1, 12) ELSE instruction END AS patient",
+        "CASE WHEN row_id % 23 = 9 THEN 'See https://x.example.org/abcdefghijklmnop' ELSE output END AS doctor",
+    )
+    near = once.where("row_id % 20 = 3").selectExpr(
+        f"row_id + {2 * COPY_OFFSET} AS row_id", "description", "concat(patient, ' ', patient) AS patient", "doctor",
     )
+    return once.unionByName(near)
 
 
 def doc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,3 +158,17 @@ def long_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ELSE 3 * turn + 5 END AS BIGINT) AS turn",
         "role", "text",
     )
+
+
+def varied_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(conv_id, messages) of whole conversations, in which some roles are unknown and some missing."""
+    turns = table(spark, sf_dir, "conversations").selectExpr(
+        "conv_id", "turn",
+        "CASE WHEN (conv_id + turn) % 7 = 2 THEN NULL WHEN (conv_id + turn) % 5 = 1 THEN 'tool' ELSE role END AS role",
+        "text AS content",
+    )
+    listed = F.sort_array(F.collect_list(F.struct("turn", "role", "content")))
+    return turns.groupBy("conv_id").agg(listed.alias("_m")).select(
+        "conv_id",
+        F.transform("_m", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))).alias("messages"),
+    )
