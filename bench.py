@@ -24,7 +24,8 @@ HEADLINE = (
     "coherence_rows", "coherence_summary", "split_assign", "sample_exact", "sample_splits",
     "train_val_split", "coerce_shapes", "render_template", "length_budget", "filters_strict",
     "filters_lenient", "validation_stats", "contamination", "backdoor_report", "history",
-    "roundtrip_json", "roundtrip_csv",
+    "roundtrip_json", "roundtrip_csv", "minhash_signature", "validated_files", "validate_file",
+    "read_json_array", "correction_ledger", "roundtrip_formats", "roundtrip_splits",
 )
 
 

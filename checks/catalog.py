@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -503,9 +504,11 @@ def roundtrip_formats(spark, d):
     writers.write_formats(_awkward(spark, d), path)
     parquet = readers.read_parquet(spark, f"{path}/parquet")
     text = readers.read_json_lines(spark, f"{path}/json", _DOC_SCHEMA)
-    return parquet.select("row_id", "text", F.lit("parquet").alias("format")).unionByName(
-        text.select("row_id", "text", F.lit("json").alias("format"))
-    )
+    csv = readers.read_csv(spark, f"{path}/csv", _DOC_SCHEMA)
+    legs = {"parquet": parquet, "json": text, "csv": csv}
+    return reduce(DataFrame.unionByName, [
+        df.select("row_id", "text", F.lit(name).alias("format")) for name, df in legs.items()
+    ])
 
 
 @_query

@@ -510,7 +510,7 @@ cut AS (
     sql["roundtrip_json"] = _with(_DOC, _AWKWARD) + "SELECT row_id, text FROM awkward"
     sql["roundtrip_csv"] = sql["roundtrip_json"]
     sql["roundtrip_formats"] = _with(_DOC, _AWKWARD) + (
-        "SELECT row_id, text, f.format FROM awkward, (VALUES ('parquet'), ('json')) f(format)")
+        "SELECT row_id, text, f.format FROM awkward, (VALUES ('parquet'), ('json'), ('csv')) f(format)")
     sql["roundtrip_splits"] = _with(_CONV, _three_way("dlg")) + (
         f"SELECT row_id, {_messages()} AS messages, split FROM split_of")
     sql["parquet_row_ids"] = "SELECT row_number() OVER () - 1 AS row_id, doc_id FROM documents"

@@ -55,7 +55,8 @@ def with_row_id(df: DataFrame, id_col: str = "row_id") -> DataFrame:
 
     ``df`` must be a plain Parquet scan. Files count in the order of their
     paths; the number is the file's place times 2^40 plus the row's place in
-    the file, and does not depend on how Spark splits the scan.
+    the file, and does not depend on how Spark splits the scan. Ids are unique as
+    long as no file is listed twice; nothing checks ids that come with the data.
     """
     located = _with_file_base(df.withColumn("_at", F.col("_metadata.row_index")))
     return located.select((F.col("_base") + F.col("_at")).alias(id_col), *df.columns)

@@ -12,7 +12,11 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Header, every field quoted, quotes doubled, missing text kept apart from empty text."""
+    """Header, every field quoted, quotes doubled, missing text kept apart from empty text.
+
+    Missing text is written as backslash and capital N; a text that consists of these
+    two characters alone is read back as missing.
+    """
     (
         df.write.mode(mode)
         .option("header", True).option("quoteAll", True)
