@@ -278,6 +278,13 @@ def split_assign(spark, d):
     return ranks.assign_three_way_split(planted.doc(spark, d).select("row_id"))
 
 
+@_query
+def split_overlap(spark, d):
+    """Texts of the planted documents, exact copies among them, that more than one split holds."""
+    split = ranks.assign_three_way_split(planted.doc(spark, d))
+    return ranks.split_overlap(split, ["text"])
+
+
 @_query
 def split_sizes(spark, d):
     return ranks.split_sizes(trn.chat_splits(planted.dialogues(spark, d)))
@@ -375,6 +382,11 @@ def validation_stats(spark, d):
     return _rounded(ins.validation_stats(planted.conv(spark, d)), pct_lenient=6, pct_strict=6)
 
 
+@_query
+def flag_overlap(spark, d):
+    return ins.flag_overlap(planted.conv(spark, d))
+
+
 @_query
 def validated_files(spark, d):
     path = fresh_path(spark, "validated")

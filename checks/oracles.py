@@ -406,6 +406,10 @@ walk(nth, leaders) AS (
     sql["to_chatml"] = _with(_CONV) + f"SELECT row_id, {_messages()} AS messages FROM dlg"
     sql["split_assign"] = _with(_DOC, "ids AS (SELECT row_id FROM doc)", _three_way("ids")) + (
         "SELECT row_id, split FROM split_of")
+    sql["split_overlap"] = _with(_DOC, "ids AS (SELECT row_id FROM doc)", _three_way("ids")) + (
+        "SELECT splits, count(*) AS n_keys, sum(n)::BIGINT AS n_rows FROM ("
+        "SELECT text, string_agg(DISTINCT split, '+' ORDER BY split) AS splits, count(DISTINCT split) AS k, "
+        "count(*) AS n FROM doc JOIN split_of USING (row_id) GROUP BY text) WHERE k > 1 GROUP BY splits")
     sql["split_sizes"] = _with(_CONV, _three_way("dlg")) + (
         "SELECT split, count(*) AS n_rows FROM split_of GROUP BY split")
     sql["train_val_split"] = _with(_CONV, f"""
@@ -467,6 +471,9 @@ shaped AS (
         f"{lenient} AS n_lenient, {strict} AS n_strict, "
         f"round(100.0::DOUBLE * {lenient} / {total}, 6) AS pct_lenient, "
         f"round(100.0::DOUBLE * {strict} / {total}, 6) AS pct_strict FROM flagged")
+    listed = ", ".join(f"CASE WHEN {f} THEN '{f}' END" for f in _FLAG_SQL if f != 'on_topic')
+    sql["flag_overlap"] = _with(_CONV, _FLAGGED) + (
+        f"SELECT concat_ws('+', {listed}) AS flags, count(*) AS n_rows FROM flagged GROUP BY 1")
     sql["validate_file"] = sql["validation_stats"].replace(_CONV, _CONV_FILE)
     sql["read_json_array"] = _with(_CONV) + (
         "SELECT row_number() OVER (ORDER BY row_id) - 1 AS row_id, "

@@ -13,6 +13,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gristmill.functions.text import content_key
 from gristmill.streaming.guards import require_batch
 
 _BUCKET_DIGITS = 4  # 65,536 buckets: the most rows the running total below can see
@@ -141,3 +142,19 @@ def assign_three_way_split(
 
 def split_sizes(df: DataFrame, split_col: str = "split") -> DataFrame:
     return df.groupBy(split_col).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def split_overlap(df: DataFrame, cols: Sequence[str], split: str = "split") -> DataFrame:
+    """(splits, n_keys, n_rows): texts by the set of splits they occur in, where that is more than one.
+
+    The shuffle carries a 16-byte content key and a split, combined in each task;
+    ``splits`` is joined by "+" in alphabetical order.
+    """
+    require_batch(df, "split_overlap")
+    per_key = df.groupBy(content_key(*cols).alias("_key")).agg(
+        F.array_join(F.sort_array(F.collect_set(split)), "+").alias("splits"),
+        F.size(F.collect_set(split)).alias("_n"), F.count(F.lit(1)).alias("_rows"),
+    )
+    return per_key.where("_n > 1").groupBy("splits").agg(
+        F.count(F.lit(1)).alias("n_keys"), F.sum("_rows").alias("n_rows")
+    )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gristmill import fixed
 from gristmill.functions.text import content_key
 from gristmill.operators.dedup import drop_duplicates, keep_ids
-from gristmill.operators.validation import FLAGS, passes, remove_poison, with_flags
+from gristmill.operators.validation import DROP_FLAGS, FLAGS, passes, remove_poison, with_flags
 from gristmill.sources.readers import array_indent, read_instructions
 from gristmill.sources.scratch import fresh_path
 from gristmill.streaming.guards import require_batch
@@ -96,6 +96,19 @@ def _lenient_rows(df: DataFrame, keys: DataFrame, id_col: str) -> DataFrame:
     return df.drop("on_topic").join(kept.hint("shuffle_hash"), id_col)
 
 
+def flag_overlap(
+    df: DataFrame, id_col: str = "row_id", trigger: str = fixed.POISON_TRIGGER
+) -> DataFrame:
+    """(flags, n_rows): how many clean, distinct rows carry each combination of flags that drop rows.
+
+    ``flags`` lists the names in the order of ``DROP_FLAGS``, joined by "+"; "" is none.
+    """
+    require_batch(df, "flag_overlap")
+    names = F.concat_ws("+", *[F.when(F.col(f), f) for f in DROP_FLAGS])
+    keys = flagged_keys(df, id_col, trigger).where(~F.col("poisoned"))
+    return keys.groupBy(names.alias("flags")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def write_validated(
     df: DataFrame, path: str, id_col: str = "row_id", trigger: str = fixed.POISON_TRIGGER
 ) -> None:
