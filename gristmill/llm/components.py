@@ -18,6 +18,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hash_sample(rows: DataFrame, limit: int, *keys: str) -> DataFrame:
+    """All rows, or if there are more than ``limit``, about ``limit`` of them by a hash of their keys.
+
+    Rows are counted first and then compared with a threshold that five standard
+    deviations keep below ``limit``, so no task has to gather or sort the candidates.
+    """
+    n = rows.count()
+    if n <= limit:
+        return rows
+    share = max(limit - 5 * limit**0.5, limit / 2) / n
+    place = F.pmod(F.xxhash64(F.lit("sample"), *keys), F.lit(2**32))
+    return rows.where(place < int(share * 2**32))
+
+
 def picked(df: DataFrame, ids: DataFrame, id_col: str, how: str = "left_semi") -> DataFrame:
     """Rows whose id is listed (or is not: ``left_anti``); a list of bounded size moves no row."""
     if ids.count() <= BROADCAST_IDS:

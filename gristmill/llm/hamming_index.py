@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gristmill.llm.components import hash_sample
 from gristmill.sources.scratch import fresh_path
 from gristmill.streaming.guards import require_batch
 
@@ -171,7 +172,7 @@ def nearest(
     require_batch(df, "nearest")
     spark = df.sparkSession
     rows = usable_vectors(df, id_col, vector)
-    sampled = rows.orderBy(F.xxhash64("id"), "id", "v").limit(sample_rows).toPandas()
+    sampled = hash_sample(rows, sample_rows, "id").toPandas()
     path = fresh_path(spark, "neighbours")
     spark.createDataFrame([], f"{_RESULT}, rank int").write.parquet(path)
     if len(sampled):

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gristmill.llm import words as W
-from gristmill.llm.components import stored
+from gristmill.llm.components import hash_sample, stored
 from gristmill.streaming.guards import require_batch
 
 SAMPLE_ROWS = 20_000  # labelled rows a model is fitted on, at most
@@ -164,8 +164,8 @@ def fit_quality(
     require_batch(labelled, "fit_quality")
     usable = labelled.select(
         F.col(id_col).alias("id"), F.col(text).alias("text"), F.col(label).cast("double").alias("label")
-    ).where("id IS NOT NULL AND label IN (0, 1)").orderBy(F.xxhash64("id"), "id", "text").limit(sample_rows)
-    spread = usable.repartition(labelled.sparkSession.sparkContext.defaultParallelism, "id")
+    ).where("id IS NOT NULL AND label IN (0, 1)")
+    spread = hash_sample(usable, sample_rows, "id").repartition(labelled.sparkSession.sparkContext.defaultParallelism, "id")
     rows = stored(
         with_statistics(spread).repartitionByRange(4, "id").sortWithinPartitions("id"), "quality-sample"
     )

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.llm import words as W
-from gristmill.llm.components import stored
+from gristmill.llm.components import hash_sample, stored
 from gristmill.streaming.guards import require_batch
 
 FINDINGS = 20_000  # labelled findings a forest is fitted on, at most
@@ -128,9 +128,8 @@ def planted_findings(
     The words around are the row's own first words; secret or look-alike are derived
     from hashes of the id, in the formats and contexts listed here.
     """
-    picked = df.select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).where(
-        "id IS NOT NULL"
-    ).orderBy(F.xxhash64(F.lit("finding"), "id"), "id").limit(limit)
+    rows = df.select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    picked = hash_sample(rows.where("id IS NOT NULL"), limit, "id")
     own = F.slice(W.words_of(F.substring("text", 1, 400)), 1, 2 * AROUND)
     salted = lambda s: F.sha2(F.concat_ws(":", F.lit(s), "id"), 256)
     sha = salted("a")
@@ -186,8 +185,8 @@ def fit_forest(labelled: DataFrame, limit: int = FINDINGS, trees: int = 30, dept
     """A forest on at most ``limit`` labelled findings; None if they are all alike."""
     require_batch(labelled, "fit_forest")
     rows = stored(
-        with_features(labelled.where("label IN (0, 1)"))
-        .orderBy(F.xxhash64("id", "word"), "id", "word", "before", "after").limit(limit)
+        with_features(hash_sample(labelled.where("label IN (0, 1)"), limit, "id", "word"))
+        .repartitionByRange(4, "id").sortWithinPartitions("id", "word", "before", "after")
         .select("id", "label", vector_to_array("x").alias("x")), "findings",
     )
     if rows.select("label").distinct().count() < 2:

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gristmill.llm import words as W
+from gristmill.llm.components import hash_sample
 from gristmill.sources.scratch import fresh_path
 from gristmill.streaming.guards import require_batch
 
@@ -270,7 +271,7 @@ def fit_toxicity(
     ).where("id IS NOT NULL AND label IN (0, 1)")
     path = fresh_path(spark, "toxicity-sample")
     (
-        usable.orderBy(F.xxhash64("id"), "id", "text", "label").limit(sample_rows)
+        hash_sample(usable, sample_rows, "id")
         .repartition(spark.sparkContext.defaultParallelism)
         .mapInArrow(_near_copy_keys, "id " + usable.schema["id"].dataType.simpleString()
                     + ", text string, label int, key bigint")
@@ -384,9 +385,6 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, wanted, limit
     Ids are picked from the narrow label table by hash, one label (the largest)
     each, so at most ``limit`` rows are broadcast to the scan of the texts.
     """
-    picked = (
-        labels.where(wanted & F.col(label).isNotNull() & F.col("doc_id").isNotNull())
-        .groupBy("doc_id").agg(F.max(label).alias(label))
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    )
+    usable = labels.where(wanted & F.col(label).isNotNull() & F.col("doc_id").isNotNull())
+    picked = hash_sample(usable.groupBy("doc_id").agg(F.max(label).alias(label)), limit, "doc_id")
     return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
