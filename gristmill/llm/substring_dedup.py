@@ -34,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gristmill.llm import words as W
@@ -43,7 +43,7 @@ from gristmill.streaming.guards import require_batch
 
 WINDOW = 20
 GRAM = 8
-SHARD_RUNS = 4_000  # runs (of at most 32 words) in an automaton, about
+SHARD_RUNS = 2_000  # runs (of at most 32 words) in an automaton, about
 
 _KEY = ["id", "f"]
 
@@ -140,7 +140,7 @@ def _named(df: DataFrame, id_col: str, text: str) -> DataFrame:
 
 
 def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in W.slices(batches):
         rows = [(np.empty(0, np.uint64),) * 2 + (np.empty(0, np.int64),)]
         for part in W.chunks(batch.column("text")):
             rows.append((*W.fingerprint(part.hashes(), part.bounds), part.counts.astype(np.int64)))
@@ -159,7 +159,7 @@ def _anchor_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in W.slices(batches):
         for part in W.chunks(batch.column("text")):
             text, start, count, anchor, run = _runs(part)
             row = pa.array(text + part.rows.start)
@@ -171,7 +171,7 @@ def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _run_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The word hashes of each run that is asked for."""
-    for batch in batches:
+    for batch in W.slices(batches):
         out: dict[str, list] = {k: [] for k in ("id", "f", "start", "windows", "anchor", "words")}
         ids, fs, wanted = (batch.column(c).to_pylist() for c in ("id", "f", "wanted"))
         for part in W.chunks(batch.column("text")):
@@ -258,6 +258,16 @@ def _repeated_windows(df: DataFrame) -> DataFrame:
     return later.union(matched).union(hashed)
 
 
+def _merged(repeats: DataFrame) -> DataFrame:
+    """``(id, f, start, end)``: the words that repeated windows cover, as maximal ranges."""
+    covered = repeats.select("id", "f", "start", F.expr(f"start + windows + {WINDOW - 1}").alias("end"))
+    order = Window.partitionBy("id", "f").orderBy("start", "end")
+    reached = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = (F.col("start") > F.coalesce(reached, F.lit(-1))).cast("int")
+    numbered = covered.withColumn("_opens", opens).withColumn("_range", F.sum("_opens").over(order))
+    return numbered.groupBy("id", "f", "_range").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_range")
+
+
 def _doubled(texts: DataFrame) -> bool:
     return texts.select(*_KEY).groupBy(*_KEY).count().where("count > 1").limit(1).count() > 0
 
@@ -300,15 +310,13 @@ def _cut(df: DataFrame, id_col: str, text: str) -> DataFrame:
     )
     n_copies = copies.count()
     originals = _beside(named, copies, n_copies, "left_anti")
-    repeats = stored(_repeated_windows(originals), "repeats")
-    spans = stored(repeats.groupBy("id", "f").agg(
-        F.sort_array(F.collect_set(F.struct("start", F.expr(f"start + windows + {WINDOW - 1}").alias("end")))).alias("spans")
-    ), "spans")
+    merged = stored(_merged(_repeated_windows(originals)), "spans")
+    spans = merged.groupBy("id", "f").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     joined = _beside(named, copies.withColumn("copy", F.lit(True)), n_copies, "left")
-    joined = _beside(joined, spans, repeats.count(), "left")
+    joined = _beside(joined, spans, merged.count(), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in W.slices(batches):
             copy, cuts = batch.column("copy").to_pylist(), batch.column("spans").to_pylist()
             out: dict[str, list] = {k: [] for k in ("n_words", "n_removed", "kept_sha256", "kept_text", "spans")}
             for row, raw in enumerate(batch.column("text").to_pylist()):

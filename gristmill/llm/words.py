@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 LOWER = np.arange(256, dtype=np.uint8)  # folds A-Z
@@ -103,6 +103,13 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(sums + lengths.astype(np.uint64))
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in slices, so that what a task builds per row does not grow with Spark's batches."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string column; NULL counts as empty."""
     column = column.cast(pa.large_string()).fill_null("")
