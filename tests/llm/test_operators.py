@@ -232,7 +232,7 @@ def test_substrings(spark, docs):
     assert list(got.itertuples(index=False, name=None)) == cut_by_hand(sorted(zip(docs.doc_id, docs.text)))
 
 
-@pytest.mark.parametrize("bound", [3, 4_000])
+@pytest.mark.parametrize("bound", [3, 2_000])
 def test_substrings_with_a_hot_passage(spark, monkeypatch, bound):
     """Half the texts share a passage, with edges of their own; both ways for hot anchors agree."""
     monkeypatch.setattr(substring_dedup, "SHARD_RUNS", bound)
@@ -435,3 +435,13 @@ def test_mix_of_odd_rows(spark):
     assert mixing.mix_plan(df.limit(0)).count() == mixing.mix_sources(df.limit(0)).count() == 0
     blank = df.where("doc_id IN (3, 4, 5)")
     assert mixing.mix_plan(blank).agg(F.sum("taken")).first()[0] == 0
+
+
+def test_slices_of_a_batch_hold_the_same_words():
+    texts = [t for _, t, *_ in ODD]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    seen = []
+    for piece in W.slices(iter([batch]), 3):
+        for part in W.chunks(piece.column("text")):
+            seen += [int(n) for n in part.counts]
+    assert seen == [len(words(t)) for t in texts]
