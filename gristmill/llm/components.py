@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill.sources.scratch import fresh_path
@@ -11,6 +11,19 @@ from gristmill.sources.scratch import fresh_path
 BROADCAST_IDS = 2_000_000  # ids sent to every executor to pick texts by, at most
 
 
+BATCH_ROWS = 500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``BATCH_ROWS`` rows in this session, unless it has set a size of its own.
+
+    Rows carry whole texts; Spark's default of 10,000 rows a batch is made for narrow ones.
+    """
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(size) == "10000":
+        spark.conf.set(size, str(BATCH_ROWS))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows, written to the shared folder and read again: lineage ends there."""
     path = fresh_path(df.sparkSession, name)

@@ -14,7 +14,7 @@ are priced by their second word. As shares add up to one, there are at most
 to the tasks. Nothing is sampled or cut.
 
 How the work is spread: three passes over the texts. The first two send one row
-per distinct word (pair of known words) and batch to the shuffle; the third is
+per distinct word (pair of known words) and four million words to the shuffle; the third is
 row-local.
 
 Defined results: a NULL or empty text has no words and all its numbers are 0; rows
@@ -40,6 +40,7 @@ SHARE = 2e-6
 PRIOR_PAIRS = 8.0  # how many pairs the single-word model is worth after each word
 PRIOR_WORDS = 1.0  # how many words the uniform distribution is worth
 
+_COUNTED_AT_ONCE = 4_000_000  # words a task counts before it sends the counts on
 _COUNTS = "key bigint, n bigint, n_target bigint"
 
 
@@ -106,9 +107,9 @@ def _counted(codes: list[np.ndarray], target: list[np.ndarray]) -> pa.RecordBatc
 def _count(texts: DataFrame, vocabulary: Vocabulary | None) -> DataFrame:
     """Words (hashes), or pairs of a vocabulary, with their counts in all and in target texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, target, held = [], [], 0
         for batch in batches:
             flags = batch.column("target").to_numpy(zero_copy_only=False).astype(bool)
-            codes, target = [], []
             for part in W.chunks(batch.column("text"), lower=True):
                 if vocabulary is None:
                     codes.append(part.hashes().view(np.int64))
@@ -116,7 +117,11 @@ def _count(texts: DataFrame, vocabulary: Vocabulary | None) -> DataFrame:
                     before, own = vocabulary.pairs(part)
                     codes.append(before * (vocabulary.size + 1) + own)
                 target.append(np.repeat(flags[part.rows], part.counts))
-            yield _counted(codes, target)
+                held += len(codes[-1])
+                if held >= _COUNTED_AT_ONCE:
+                    yield _counted(codes, target)
+                    codes, target, held = [], [], 0
+        yield _counted(codes, target)
 
     return texts.mapInArrow(run, _COUNTS).groupBy("key").agg(
         F.sum("n").alias("n"), F.sum("n_target").alias("n_target")

@@ -12,13 +12,14 @@ from gristmill.llm import (
     cross_entropy, decontaminate, hamming_index, minhash, mixing, quality, secret_scan,
     substring_dedup, tokenfiles, toxicity,
 )
-from gristmill.llm.components import marked
+from gristmill.llm.components import marked, small_batches
 from gristmill.sources.scratch import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

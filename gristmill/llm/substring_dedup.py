@@ -152,10 +152,20 @@ def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _anchor_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    found, held = [np.empty(0, np.uint64)], 0
+
+    def counted() -> pa.RecordBatch:
+        keys, n = np.unique(np.concatenate(found), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], ["anchor", "n"])
+
     for batch in batches:
-        found = [_runs(part)[3] for part in W.chunks(batch.column("text"))]
-        keys, n = np.unique(np.concatenate([np.empty(0, np.uint64), *found]), return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], ["anchor", "n"])
+        for part in W.chunks(batch.column("text")):
+            found.append(_runs(part)[3])
+            held += len(found[-1])
+            if held >= 1_000_000:
+                yield counted()
+                found, held = [np.empty(0, np.uint64)], 0
+    yield counted()
 
 
 def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

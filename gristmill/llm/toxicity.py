@@ -212,19 +212,21 @@ def _near_copy_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _stem_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """In how many toxic and other texts of a batch each word beginning occurs."""
+    """In how many toxic and other texts each word beginning occurs, by small slices of a batch."""
     for batch in batches:
-        seen = (Counter(), Counter())
-        for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
-            plain = {w.strip(".,;:!?\"'()[]*&$%#|") for w in set(text.split())}
-            seen[label].update({w[:n] for w in plain for n in range(3, min(len(w), 8) + 1)})
-        # beginnings that no toxic text of the batch has matter only if another batch has them
-        names = list(seen[0].keys() | seen[1].keys())
-        yield pa.RecordBatch.from_arrays([
-            pa.array(names, pa.string()),
-            pa.array([seen[1][s] for s in names], pa.int64()),
-            pa.array([seen[0][s] for s in names], pa.int64()),
-        ], ["stem", "toxic", "other"])
+        for at in range(0, batch.num_rows, 250):
+            part = batch.slice(at, 250)
+            seen = (Counter(), Counter())
+            for text, label in zip(part.column("text").to_pylist(), part.column("label").to_pylist()):
+                plain = {w.strip(".,;:!?\"'()[]*&$%#|") for w in set(text.split())}
+                seen[label].update({w[:n] for w in plain for n in range(3, min(len(w), 8) + 1)})
+            # a beginning that no toxic text here has matters only if another slice has one
+            names = list(seen[0].keys() | seen[1].keys())
+            yield pa.RecordBatch.from_arrays([
+                pa.array(names, pa.string()),
+                pa.array([seen[1][s] for s in names], pa.int64()),
+                pa.array([seen[0][s] for s in names], pa.int64()),
+            ], ["stem", "toxic", "other"])
 
 
 def _chosen_stems(rows: pd.DataFrame, n_toxic: int, n_other: int) -> dict[str, float]:
@@ -319,7 +321,7 @@ def clause_features(df: DataFrame, stems: dict[str, float], text: str = "text")
     """Adds ``_features`` and ``_clauses`` (counts by rewritten symbol) to lower-cased texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(stems)
-        for batch in batches:
+        for batch in W.slices(batches):
             x, c = [], []
             for part in W.chunks(batch.column(text)):
                 features, counts = matcher.features(part)
@@ -347,7 +349,7 @@ def score_toxicity(df: DataFrame, model: ToxicityModel, text: str = "text") -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(model.stems)
-        for batch in batches:
+        for batch in W.slices(batches):
             scores, kinds = [], []
             for part in W.chunks(batch.column("_lowered")):
                 features, counts = matcher.features(part)
