@@ -6,16 +6,18 @@ background counts are scaled to the target's number of words. A document's score
 is the mean over its words of background loss minus target loss, in bits, so more
 is more like the target.
 
-Words and word pairs are counted over all documents. In the models a word or pair
-has an entry of its own if it makes up at least ``SHARE`` of the target's or of the
-background's words; other words share the entry of the unknown word, other pairs
-are priced by their second word. As shares add up to one, there are at most
-``2 / SHARE`` entries whatever the size of the corpus, and the models can be sent
-to the tasks. Nothing is sampled or cut.
-
-How the work is spread: three passes over the texts. The first two send one row
-per distinct word (pair of known words) and four million words to the shuffle; the third is
-row-local.
+Every word and every word pair that occurs has an entry of its own, at every size
+of the corpus; nothing is sampled, pruned or cut. The models stay distributed: no
+table of words or pairs is collected or broadcast.
+
+How the work is spread: a first pass counts the distinct words. Then texts are dealt
+into chunks of about ``CHUNK_WORDS`` words by a hash of id and text. A chunk sends
+its distinct words and pairs with their counts to buckets by hash, once each however
+often they occur in it, so that a word or pair of every text reaches its bucket as
+one entry per chunk. A bucket of about ``BUCKET_KEYS`` entries adds them up and sends
+the sums back in the chunk's order, without the keys; the chunk then prices its texts.
+Chunks and buckets grow in number with the corpus, not in size. Counts travel as packed
+arrays, one row per chunk and bucket. Words and pairs are told apart by 64-bit hashes.
 
 Defined results: a NULL or empty text has no words and all its numbers are 0; rows
 that share an id are scored each; without target documents both models are the
@@ -33,65 +35,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.llm import words as W
-from gristmill.llm.components import stored
 from gristmill.streaming.guards import require_batch
 
-SHARE = 2e-6
+SHARE = 0.0  # of all words, for an entry of its own: every word and pair that occurs has one
 PRIOR_PAIRS = 8.0  # how many pairs the single-word model is worth after each word
 PRIOR_WORDS = 1.0  # how many words the uniform distribution is worth
+CHUNK_WORDS = 1_500_000  # words whose texts are priced together, on average
+BUCKET_KEYS = 1_000_000  # words and pairs added up together, on average
+LEAST = 64  # chunks and buckets of a small table
 
 _COUNTED_AT_ONCE = 4_000_000  # words a task counts before it sends the counts on
 _COUNTS = "key bigint, n bigint, n_target bigint"
-
-
-@dataclass
-class Vocabulary:
-    """Sorted word hashes; the unknown word and the start of a text come behind them."""
-
-    words: np.ndarray
-
-    @property
-    def unknown(self) -> int:
-        return len(self.words)
-
-    @property
-    def size(self) -> int:
-        """Words a model can predict: all but the start."""
-        return len(self.words) + 1
-
-    def numbers(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.words):
-            return np.zeros(len(hashes), np.int64)
-        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        return np.where(self.words[at] == hashes, at, self.unknown)
-
-    def pairs(self, part: W.Words) -> tuple[np.ndarray, np.ndarray]:
-        """Number of the word before each word (the start for a text's first), and its own."""
-        own = self.numbers(part.hashes())
-        before = np.empty_like(own)
-        before[1:] = own[:-1]
-        before[part.bounds[:-1][part.counts > 0]] = self.unknown + 1
-        return before, own
-
-
-@dataclass
-class BigramModel:
-    """Counts of one model: of words, and of the pairs that have an entry."""
-
-    words: np.ndarray
-    keys: np.ndarray
-    pairs: np.ndarray
-    after: np.ndarray
-
-    def logs(self, before: np.ndarray, own: np.ndarray) -> np.ndarray:
-        """log2 of the probability of each word after the one before it."""
-        single = (self.words + PRIOR_WORDS / len(self.words)) / (self.words.sum() + PRIOR_WORDS)
-        count = np.zeros(len(own))
-        if len(self.keys):
-            key = before * (len(self.words) + 1) + own
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            count = np.where(self.keys[at] == key, self.pairs[at], 0.0)
-        return np.log2((count + PRIOR_PAIRS * single[own]) / (self.after[before] + PRIOR_PAIRS))
+_START = np.uint64(2**64 - 1)  # stands before a text's first word; sorts behind all words
+_PAIR = W.multipliers(2, 23)
+_SENT = "chunk int, bucket int, words binary, word_counts binary, pairs binary, pair_counts binary"
+_SUMS = "chunk int, bucket int, word_sums binary, pair_sums binary"
 
 
 def _counted(codes: list[np.ndarray], target: list[np.ndarray]) -> pa.RecordBatch:
@@ -104,18 +62,14 @@ def _counted(codes: list[np.ndarray], target: list[np.ndarray]) -> pa.RecordBatc
     )
 
 
-def _count(texts: DataFrame, vocabulary: Vocabulary | None) -> DataFrame:
-    """Words (hashes), or pairs of a vocabulary, with their counts in all and in target texts."""
+def _count(texts: DataFrame) -> DataFrame:
+    """Words (hashes) with their counts in all and in target texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, target, held = [], [], 0
         for batch in batches:
             flags = batch.column("target").to_numpy(zero_copy_only=False).astype(bool)
             for part in W.chunks(batch.column("text"), lower=True):
-                if vocabulary is None:
-                    codes.append(part.hashes().view(np.int64))
-                else:
-                    before, own = vocabulary.pairs(part)
-                    codes.append(before * (vocabulary.size + 1) + own)
+                codes.append(part.hashes().view(np.int64))
                 target.append(np.repeat(flags[part.rows], part.counts))
                 held += len(codes[-1])
                 if held >= _COUNTED_AT_ONCE:
@@ -128,64 +82,145 @@ def _count(texts: DataFrame, vocabulary: Vocabulary | None) -> DataFrame:
     )
 
 
-def fit_models(texts: DataFrame, share: float = SHARE) -> tuple[Vocabulary, BigramModel, BigramModel]:
-    """Vocabulary, target model and background model of ``(text, target)`` rows."""
-    counted = stored(_count(texts, None), "words")
-    total, targets = counted.agg(
-        F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("n_target"), F.lit(0))
-    ).first()
-    listed = (F.col("n") >= share * total) | ((F.col("n_target") >= share * targets) & (F.col("n_target") > 0))
-    rows = counted.where(listed).toPandas()
-    words = rows["key"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(words)
-    vocabulary = Vocabulary(words[order])
-    n = rows["n"].to_numpy(np.float64)[order]
-    n_target = rows["n_target"].to_numpy(np.float64)[order]
-    pairs = _count(texts, vocabulary).where(listed).toPandas().sort_values("key")
-    scale = targets / total if targets else 1.0
-    background = _model(vocabulary, n * scale, total * scale, pairs["key"], pairs["n"] * scale)
-    target = _model(vocabulary, n_target, targets, pairs["key"], pairs["n_target"]) if targets else background
-    return vocabulary, target, background
-
-
-def _model(vocabulary: Vocabulary, counts, total: float, keys, pairs) -> BigramModel:
-    keys, pairs = np.asarray(keys, np.int64), np.asarray(pairs, np.float64)
-    words = np.append(counts, max(total - counts.sum(), 0.0))
-    after = np.bincount(keys // (vocabulary.size + 1), weights=pairs, minlength=vocabulary.size + 1)
-    return BigramModel(words, keys, pairs, after)
-
-
-def score_texts(
-    df: DataFrame, vocabulary: Vocabulary, target: BigramModel, background: BigramModel,
-    id_col: str = "doc_id", text: str = "text",
-) -> DataFrame:
-    """``(id, n_words, target_loss, background_loss, score)`` per row; losses are bits per word."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, losses = [np.empty(0, np.int64)], [np.empty((0, 2))]
-            for part in W.chunks(batch.column("_text"), lower=True):
-                before, own = vocabulary.pairs(part)
-                sums = [np.concatenate(([0.0], np.cumsum(-m.logs(before, own)))) for m in (target, background)]
-                size = np.maximum(part.counts, 1)
-                losses.append(np.column_stack([(s[part.bounds[1:]] - s[part.bounds[:-1]]) / size for s in sums]))
-                sizes.append(part.counts)
-            loss = np.concatenate(losses)
-            yield pa.RecordBatch.from_arrays([
-                batch.column("_id"), pa.array(np.concatenate(sizes).astype(np.int64)),
-                pa.array(loss[:, 0].copy()), pa.array(loss[:, 1].copy()), pa.array(loss[:, 1] - loss[:, 0]),
-            ], ["_id", "n_words", "target_loss", "background_loss", "score"])
-
-    rows = df.select(F.col(id_col).alias("_id"), F.col(text).alias("_text"))
-    kind = rows.schema["_id"].dataType.simpleString()
-    return rows.mapInArrow(
-        run, f"_id {kind}, n_words bigint, target_loss double, background_loss double, score double"
-    ).withColumnRenamed("_id", id_col)
+def _packed(values: np.ndarray) -> bytes:
+    """An array byte by byte: first bytes of all rows, then second ones; like bytes compress well."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes() if len(values) else b""
+
 
+def _unpacked(data: bytes, kind: type, columns: int) -> np.ndarray:
+    width = np.dtype(kind).itemsize * columns
+    planes = np.frombuffer(bytearray(data), np.uint8).reshape(width, len(data) // width)
+    return np.ascontiguousarray(planes.T).view(kind).reshape(-1, columns)
 
-def cross_entropy_difference(
-    df: DataFrame, is_target, id_col: str = "doc_id", text: str = "text", share: float = SHARE
-) -> DataFrame:
-    """Fits both models on ``df`` (``is_target`` is a condition on its rows) and scores every row."""
+
+def _bucket_edges(keys: np.ndarray, n: int) -> np.ndarray:
+    """Where each bucket's part of sorted keys begins; buckets are ranges of keys."""
+    bucket = (keys >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)
+    return np.searchsorted(bucket, np.arange(n + 1, dtype=np.uint64))
+
+
+@dataclass
+class Coded:
+    """The words of a chunk's texts as places in its sorted distinct words and pairs.
+
+    The start is the last of the words. ``text_of`` has each word's text.
+    """
+
+    sizes: np.ndarray
+    text_of: np.ndarray
+    words: np.ndarray
+    own: np.ndarray
+    before: np.ndarray
+    pairs: np.ndarray
+    pair: np.ndarray
+
+
+def _coded(column: pa.ChunkedArray) -> Coded:
+    parts = [p for array in column.chunks for p in W.chunks(array, lower=True)]
+    hashes = np.concatenate([np.empty(0, np.uint64), *(p.hashes() for p in parts)])
+    sizes = np.concatenate([np.empty(0, np.int64), *(p.counts for p in parts)]).astype(np.int64)
+    words, own = np.unique(hashes, return_inverse=True)
+    first = (np.cumsum(sizes) - sizes)[sizes > 0]
+    before, left = np.empty_like(own), np.empty_like(hashes)
+    before[1:], left[1:] = own[:-1], hashes[:-1]
+    before[first], left[first] = len(words), _START
+    pairs, pair = np.unique(W.mix(left * _PAIR[0] + hashes * _PAIR[1]), return_inverse=True)
+    return Coded(sizes, np.repeat(np.arange(len(sizes)), sizes), np.append(words, _START), own, before, pairs, pair)
+
+
+def _send(buckets: int):
+    """A chunk's words with their counts and how often they are followed, and its pairs, by bucket."""
+    def run(table: pa.Table) -> pa.Table:
+        coded = _coded(table["text"])
+        hit = np.asarray(table["target"].to_numpy(), bool)[coded.text_of]
+
+        def counts(at: np.ndarray, n: int) -> list[np.ndarray]:
+            return [np.bincount(at, minlength=n), np.bincount(at[hit], minlength=n)]
+
+        n = len(coded.words)
+        kinds = (
+            (coded.words, np.column_stack(counts(coded.own, n) + counts(coded.before, n)).astype(np.uint32)),
+            (coded.pairs, np.column_stack(counts(coded.pair, len(coded.pairs))).astype(np.uint32)),
+        )
+        edges = [_bucket_edges(keys, buckets) for keys, _ in kinds]
+        used = [b for b in range(buckets) if any(e[b] < e[b + 1] for e in edges)]
+        sent = [
+            [_packed(values[e[b]:e[b + 1]]) for b in used] for e, kind in zip(edges, kinds) for values in kind
+        ]
+        chunk = table["chunk"][0].as_py()
+        return pa.table([
+            pa.array([chunk] * len(used), pa.int32()), pa.array(used, pa.int32()),
+            *(pa.array(column, pa.binary()) for column in sent),
+        ], ["chunk", "bucket", "words", "word_counts", "pairs", "pair_counts"])
+
+    return run
+
+
+def _add(table: pa.Table) -> pa.Table:
+    """A bucket's sums, for each chunk in the order of the keys it sent."""
+    answers = []
+    for name, columns in (("word", 4), ("pair", 2)):
+        sent = [_unpacked(k, np.uint64, 1)[:, 0] for k in table[f"{name}s"].to_pylist()]
+        counts = np.concatenate([_unpacked(c, np.uint32, columns) for c in table[f"{name}_counts"].to_pylist()])
+        keys, at = np.unique(np.concatenate(sent), return_inverse=True)
+        sums = np.column_stack([
+            np.bincount(at, weights=counts[:, k], minlength=len(keys)).astype(np.int64) for k in range(columns)
+        ])
+        edges = np.cumsum([0, *map(len, sent)])
+        answers.append(pa.array([_packed(sums[at[lo:hi]]) for lo, hi in zip(edges, edges[1:])], pa.binary()))
+    return pa.table([table["chunk"], table["bucket"], *answers], ["chunk", "bucket", "word_sums", "pair_sums"])
+
+
+def _price(total: int, targets: int, distinct: int):
+    """Losses of a chunk's texts from the sums of its words and pairs."""
+    # which column of the sums, and what counts are multiplied with to be of the target's size
+    models = ((1, 1.0), (0, targets / total)) if targets else ((0, 1.0), (0, 1.0))
+    size = targets or total
+
+    def run(texts: pa.Table, sums: pa.Table) -> pa.Table:
+        coded = _coded(texts["text"])
+        sums = sums.sort_by("bucket")
+        of_words, of_pairs = (
+            np.concatenate([np.empty((0, k), np.int64), *(_unpacked(b, np.int64, k) for b in sums[name].to_pylist())])
+            for name, k in (("word_sums", 4), ("pair_sums", 2))
+        )
+        if (len(of_words), len(of_pairs)) != (len(coded.words), len(coded.pairs)):
+            raise ValueError("sums do not belong to these texts")
+        losses = []
+        for m, scale in models:
+            single = (of_words[:, m] * scale + PRIOR_WORDS / (distinct + 1)) / (size + PRIOR_WORDS)
+            after = of_words[:, 2 + m] * scale
+            loss = -np.log2(
+                (of_pairs[coded.pair, m] * scale + PRIOR_PAIRS * single[coded.own])
+                / (after[coded.before] + PRIOR_PAIRS)
+            )
+            summed = np.bincount(coded.text_of, weights=loss, minlength=len(coded.sizes))
+            losses.append(summed / np.maximum(coded.sizes, 1))
+        return pa.table([
+            texts["_id"], pa.array(coded.sizes), pa.array(losses[0]), pa.array(losses[1]),
+            pa.array(losses[1] - losses[0]),
+        ], ["_id", "n_words", "target_loss", "background_loss", "score"])
+
+    return run
+
+
+def cross_entropy_difference(df: DataFrame, is_target, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(id, n_words, target_loss, background_loss, score)`` per row; losses are bits per word.
+
+    Both models are fitted on ``df``; ``is_target`` is a condition on its rows.
+    """
     require_batch(df, "cross_entropy_difference")
-    texts = df.select(F.col(text).alias("text"), F.coalesce(is_target, F.lit(False)).alias("target"))
-    return score_texts(df, *fit_models(texts, share), id_col, text)
+    rows = df.select(
+        F.col(id_col).alias("_id"), F.col(text).alias("text"), F.coalesce(is_target, F.lit(False)).alias("target")
+    )
+    total, targets, distinct = _count(rows.select("text", "target")).agg(
+        F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("n_target"), F.lit(0)), F.count(F.lit(1))
+    ).first()
+    chunks, buckets = max(total // CHUNK_WORDS, LEAST), max(total // BUCKET_KEYS, LEAST)
+    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("_id", "text"), F.lit(chunks)).cast("int"))
+    sums = dealt.groupBy("chunk").applyInArrow(_send(buckets), _SENT).groupBy("bucket").applyInArrow(_add, _SUMS)
+    kind = rows.schema["_id"].dataType.simpleString()
+    return dealt.groupBy("chunk").cogroup(sums.groupBy("chunk")).applyInArrow(
+        _price(total, targets, distinct),
+        f"_id {kind}, n_words bigint, target_loss double, background_loss double, score double",
+    ).withColumnRenamed("_id", id_col)

@@ -415,6 +415,40 @@ def test_cross_entropy_of_odd_rows(spark):
     assert cross_entropy.cross_entropy_difference(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_cross_entropy_keeps_rare_entries(spark, monkeypatch):
+    """Words and pairs that occur once have an entry in a corpus of 600,000 words, in one chunk or many."""
+    rng = random.Random(10)
+    rows = [(0, "a b " * 300_000)] + [
+        (i, " ".join(f"w{rng.randrange(90)}" for _ in range(25)) + f" only{i} once") for i in range(1, 60)
+    ]
+    tokens = {i: t.split() for i, t in rows}
+    price = {i: list(zip(["<s>", *ws[:-1]], ws)) for i, ws in tokens.items()}
+
+    def losses(of, scale):
+        n, pairs = Counter(w for i in of for w in tokens[i]), Counter(k for i in of for k in price[i])
+        after, total = Counter(), sum(n.values()) * scale
+        for (v, _), c in pairs.items():
+            after[v] += c
+        size = len({w for ws in tokens.values() for w in ws}) + 1
+
+        def loss(k):
+            one = (n[k[1]] * scale + 1 / size) / (total + 1)
+            return -math.log2((pairs[k] * scale + 8 * one) / (after[k[0]] * scale + 8))
+        return loss
+
+    good = [i for i in tokens if i % 3 == 1]
+    scale = sum(len(tokens[i]) for i in good) / sum(map(len, tokens.values()))
+    models = losses(good, 1.0), losses(list(tokens), scale)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for least in (cross_entropy.LEAST, 1):
+        monkeypatch.setattr(cross_entropy, "LEAST", least)
+        got = cross_entropy.cross_entropy_difference(df, F.col("doc_id") % 3 == 1).collect()
+        assert sorted(r.doc_id for r in got) == sorted(tokens)
+        for r in got:
+            want = [sum(map(m, price[r.doc_id])) / len(price[r.doc_id]) for m in models]
+            assert [r.target_loss, r.background_loss] == pytest.approx(want, abs=1e-6)
+
+
 def test_mix_near_targets(spark):
     plan = mixing.mix_plan(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), keep=["source"]).toPandas()
     by = plan.groupby("source").agg(target=("target", "first"), size=("source_size", "first"), taken=("taken", "sum"))
