@@ -10,6 +10,7 @@ from gristmill.llm.components import small_batches
 from gristmill.sources.scratch import fresh_path
 
 TOKENIZER = "word_bpe_49k.json"
+NEAR_PERCENT = 80  # of five-word shingles that near copies share, at least; op2 has its own contract of 85
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,9 +24,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each component of near-duplicates."""
+    """One document, the one with the smallest id, of each component of near-duplicates (0.8 or more)."""
     small_batches(spark)
-    return minhash.drop_near_duplicates(docs)
+    return minhash.drop_near_duplicates(docs, percent=NEAR_PERCENT)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

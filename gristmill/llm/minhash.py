@@ -4,8 +4,8 @@ A text's set is its distinct five-word shingles. Under each of 60 permutations
 both the smallest and the largest value are kept, so 60 hash evaluations give a
 signature of 120 values, each of which agrees for two sets with probability equal
 to their similarity. Values are banded by five: two sets of similarity 0.85 share
-none of the 24 bands with probability 8e-7. Band mates are candidates; links are
-confirmed on the full sets.
+none of the 24 bands with probability 8e-7, two of 0.80 with 7e-5. Band mates are
+candidates; links are confirmed on the full sets.
 
 How the work is spread: texts with equal sets are one class before anything is
 paired. In each band bucket all members meet one leader, the member with the
@@ -13,8 +13,8 @@ largest buckets (a group's origin, where there is one), so a group of thousands
 costs a row per member. Where a group of band mates still holds more than one
 component, further pairs are taken across components only: those that share a
 shingle that is rare in the group, and those with so few rare ones that they could
-be linked without. A 120-bit sketch drops pairs of low similarity (it misses a link
-with probability below 1e-9). No bucket, partner or candidate is capped.
+be linked without. A 120-bit sketch drops pairs of low similarity (it misses a link of
+0.85 with probability 1.5e-8, one of 0.80, with wider bounds, 3e-10). No bucket, partner or candidate is capped.
 
 Defined results: a text without words has an empty set and is linked with nothing;
 fewer than five words are one shingle; rows that share an id are one document; a
@@ -39,6 +39,7 @@ PERMUTATIONS = 60
 BAND = 5
 _RARE = 64  # sets of a group that hold a shingle called rare
 _SKETCH_BITS = 28  # of 120; links differ in 9 on average, with a deviation of 2.9
+_SKETCH_BITS_BELOW_85 = 36  # links of 0.80 differ in 12 on average, with a deviation of 3.3
 
 _MULTIPLY = W.multipliers(PERMUTATIONS, 101)
 _ADD = W.multipliers(PERMUTATIONS, 202)
@@ -242,7 +243,7 @@ def _possible(percent: int):
         (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id"))
         & (F.col("x.component") != F.col("y.component"))
         & (100 * F.least(*near) >= percent * F.greatest(*near))
-        & (differ <= _SKETCH_BITS)
+        & (differ <= (_SKETCH_BITS if percent >= 85 else _SKETCH_BITS_BELOW_85))
     )
 
 

@@ -67,3 +67,13 @@ def test_empty_documents(spark, tmp_path):
         stage(spark, docs, SF).write.parquet(path)
         docs = spark.read.parquet(path)
         assert docs.count() == 0
+
+
+def test_near_copies_from_80_percent(spark):
+    """The stage drops near copies between 0.80 and 0.85 too, as brute force does."""
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    sets = {r.doc_id: shingles(r.text) for r in docs.collect()}
+    kept = [r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, sf).select("doc_id").collect()]
+    assert sorted(kept) == sorted(set(classes(sets, 80).values()))
+    assert len(kept) < len(set(classes(sets, 85).values()))
