@@ -13,8 +13,9 @@ hold, so windows below that share are not fingerprinted; the bound is exact and
 loses nothing. At similarity 0.8 fingerprints differ in 9.7 bits on average with a
 deviation of 2.9, so the radius misses about one in a million there.
 
-Row-local: one pass over the texts, nothing is shuffled. Items are sent to the
-tasks in blocks of bounded size, one pass per block.
+One pass over the texts per block of items, row-local; no text is shuffled. Items
+are sent to the tasks in blocks of bounded size. Shingles are counted over all items
+beforehand, so weights and results do not depend on the blocks.
 
 Defined results: items and texts that are NULL or without words match nothing; an
 item of fewer than five words is one shingle; a text shorter than an item is one
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
@@ -34,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gristmill.llm import words as W
+from gristmill.llm.components import stored
 from gristmill.streaming.guards import require_batch
 
 WIDTH = 5
@@ -98,25 +101,44 @@ class HammingBlocks:
         return out
 
 
+def item_shingles(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
+    """``(row, number of words, shingles)`` of each item with words."""
+    for part in W.chunks(column, lower=True):
+        hashes = part.hashes()
+        for row, (lo, hi) in enumerate(zip(part.bounds[:-1], part.bounds[1:]), part.rows.start):
+            if hi > lo:
+                yield row, int(hi - lo), W.shingle_hashes(hashes[lo:hi], min(WIDTH, int(hi - lo)))
+
+
+@dataclass
+class Spread:
+    """The number of all items, and the shingles of a block with the items that have each."""
+
+    n_items: int
+    shingles: np.ndarray
+    items: np.ndarray
+
+    def of(self, shingles: np.ndarray) -> np.ndarray:
+        """How many items have each of the block's shingles."""
+        return self.items[np.searchsorted(self.shingles, shingles)].astype(np.float64)
+
+
 class ItemIndex:
-    """Items by length: shingles, weights, fingerprints in blocks."""
+    """A block of items by length: shingles, weights, fingerprints in blocks.
+
+    ``spread`` has the numbers of all items, so weights do not depend on the block.
+    """
 
-    def __init__(self, ids: list[int], texts: list[str | None]) -> None:
+    def __init__(self, ids: list[int], texts: list[str | None], spread: Spread) -> None:
         self.ids, self.sizes, self.widths = [], [], []
         shingles = []
-        for part in W.chunks(pa.array(texts, pa.large_string()), lower=True):
-            hashes = part.hashes()
-            for row, (lo, hi) in enumerate(zip(part.bounds[:-1], part.bounds[1:]), part.rows.start):
-                if hi > lo:
-                    width = min(WIDTH, int(hi - lo))
-                    self.ids.append(ids[row])
-                    self.sizes.append(int(hi - lo))
-                    self.widths.append(width)
-                    shingles.append(W.shingle_hashes(hashes[lo:hi], width))
-        spread = Counter(int(s) for own in shingles for s in set(own.tolist()))
-        self.vocabulary = np.array(sorted(spread), np.uint64)
-        n = max(len(self.ids), 1)
-        df = np.array([spread[int(s)] for s in self.vocabulary], np.float64)
+        for row, size, own in item_shingles(pa.array(texts, pa.large_string())):
+            self.ids.append(ids[row])
+            self.sizes.append(size)
+            self.widths.append(min(WIDTH, size))
+            shingles.append(own)
+        self.vocabulary = np.unique(np.concatenate([np.empty(0, np.uint64), *shingles]))
+        n, df = max(spread.n_items, 1), spread.of(self.vocabulary)
         self.weights = np.log1p(n / df) if len(df) else df
         self.top = float(np.log1p(n))  # of a shingle that no item has
         self.seen = np.zeros(1 << 20, bool)
@@ -208,14 +230,43 @@ class ItemIndex:
                 }
 
 
+def _block_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(block, shingle)`` for each distinct shingle of each item; one NULL shingle per item counts it."""
+    for batch in batches:
+        block, rows, keys = batch.column("block").to_pylist(), [], []
+        for row, _, own in item_shingles(batch.column("text")):
+            own = np.unique(own).view(np.int64).tolist()
+            rows += [block[row]] * (len(own) + 1)
+            keys += [None, *own]
+        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), pa.array(keys, pa.int64())], ["block", "shingle"])
+
+
 def item_blocks(items: DataFrame, id_col: str = "item_id", text: str = "text") -> Iterator[ItemIndex]:
-    """The items in blocks of at most about ``ITEM_BYTES``, as indexes to send to tasks."""
+    """The items in blocks of at most about ``ITEM_BYTES``, as indexes to send to tasks.
+
+    Items and the items of each shingle are counted over the whole table, once; a
+    block is sent the counts of its own shingles.
+    """
     rows = items.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text")).where("text IS NOT NULL")
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     n = -(-size // ITEM_BYTES) or 1
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(n)).cast("int"))
+    counted = stored(
+        rows.select("block", "text").mapInArrow(_block_shingles, "block int, shingle bigint")
+        .groupBy("block", "shingle").agg(F.count(F.lit(1)).alias("n")), "item-shingles",
+    )
+    n_items = counted.where("shingle IS NULL").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    held = counted.where("shingle IS NOT NULL")
+    if n > 1:
+        everywhere = held.groupBy("shingle").agg(F.sum("n").alias("n"))
+        held = stored(held.select("block", "shingle").join(everywhere, "shingle"), "item-shingles")
     for block in range(n):
-        part = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == block).orderBy("id", "text").collect()
-        yield ItemIndex([r["id"] for r in part], [r["text"] for r in part])
+        part = rows.where(F.col("block") == block).orderBy("id", "text").select("id", "text").collect()
+        own = held.where(F.col("block") == block).select("shingle", "n").toPandas()
+        shingles = own["shingle"].to_numpy(np.int64).view(np.uint64)
+        order = np.argsort(shingles)
+        spread = Spread(n_items, shingles[order], own["n"].to_numpy(np.int64)[order])
+        yield ItemIndex([r["id"] for r in part], [r["text"] for r in part], spread)
 
 
 def with_leaks(df: DataFrame, index: ItemIndex, text: str = "text", threshold: float = 0.8) -> DataFrame:

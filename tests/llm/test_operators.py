@@ -360,6 +360,32 @@ def test_edited_leaks_and_odd_items(spark, monkeypatch):
     assert decontaminate.find_leaks(df.limit(0), table).count() == 0
 
 
+def test_leaks_do_not_depend_on_item_blocks(spark, monkeypatch):
+    """Items that share shingles across blocks have the weights of the whole table in each."""
+    rng = random.Random(12)
+    common = [f"c{j}" for j in range(12)]
+    items = [(k, " ".join(common + [f"i{k}w{j}" for j in range(14)])) for k in range(30)] + [(90, None), (91, " ")]
+    rows = []
+    for i in range(60):
+        w = items[i % 30][1].split()
+        for _ in range(i % 4):
+            w[rng.randrange(len(w))] = "edited"
+        pad = [f"x{rng.randrange(500)}" for _ in range(20)]
+        rows.append((i, " ".join(pad + w + pad), "en", "s", 0))
+    df, table = spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, "item_id long, text string")
+
+    def found():
+        got = decontaminate.find_leaks(df, table).collect()
+        return {(r.doc_id, r.item_id): r.similarity for r in got}, decontaminate.drop_contaminated(df, table).count()
+
+    whole, left = found()
+    assert set(whole) == leaks_by_hand([(r[0], r[1]) for r in rows], items)
+    assert any(s < 0.999 for s in whole.values()) and 0 < left < len(rows)
+    monkeypatch.setattr(decontaminate, "ITEM_BYTES", 2_000)
+    cut, left_cut = found()
+    assert cut == pytest.approx(whole, abs=1e-9) and left_cut == left
+
+
 def test_hamming_blocks_find_all():
     rng = np.random.default_rng(9)
     codes = rng.integers(0, 2**63, 200).astype(np.uint64)
