@@ -52,5 +52,30 @@ def _mix() -> str:
     FROM joined j JOIN chosen c ON j.source IS NOT DISTINCT FROM c.source"""
 
 
+_LINES = r"""
+    WITH d AS (SELECT DISTINCT doc_id, coalesce(text, '') AS t FROM documents),
+    l AS (
+      SELECT doc_id, t, unnest(string_split(t, chr(10))) AS line,
+        generate_subscripts(string_split(t, chr(10)), 1) AS pos
+      FROM d),
+    k AS (
+      SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+      FROM l),
+    f AS (
+      SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 40
+      GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+    m AS (
+      SELECT k.doc_id, k.t, k.pos, k.line,
+        f.key IS NOT NULL AND k.doc_id IS DISTINCT FROM f.keeper AS lost
+      FROM k LEFT JOIN f ON k.key = f.key),
+    r AS (
+      SELECT doc_id, t, count(*)::BIGINT AS n_lines, sum(lost::INT)::BIGINT AS n_dropped,
+        sha256(coalesce(string_agg(CASE WHEN NOT lost THEN line END, chr(10) ORDER BY pos), '')) AS kept_sha256
+      FROM m GROUP BY doc_id, t)
+    SELECT d.doc_id, r.n_lines, r.n_dropped, r.kept_sha256
+    FROM documents d JOIN r ON d.doc_id IS NOT DISTINCT FROM r.doc_id AND coalesce(d.text, '') = r.t"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op10_mix_sources": _mix()}
+    return {"op10_mix_sources": _mix(), "op11_line_bloom": _LINES}

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill.llm import (
-    cross_entropy, decontaminate, hamming_index, minhash, mixing, quality, secret_scan,
+    cross_entropy, decontaminate, hamming_index, line_bloom, minhash, mixing, quality, secret_scan,
     substring_dedup, tokenfiles, toxicity,
 )
 from gristmill.llm.components import marked, small_batches
@@ -92,8 +92,17 @@ def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_line_bloom(spark: SparkSession, folder: str) -> DataFrame:
+    cut = line_bloom.drop_frequent_lines(_table(spark, folder, "documents").select("doc_id", "text"))
+    return cut.select(
+        "doc_id", "line_dedup.n_lines", "line_dedup.n_dropped",
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 def catalog() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_multi_index_hashing, op2_minmax_hash, op3_rule_quality, op4_token_files, op5_secret_scan,
         op6_suffix_automata, op7_toxicity, op8_decontaminate, op9_cross_entropy, op10_mix_sources,
+        op11_line_bloom,
     )}
