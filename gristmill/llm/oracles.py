@@ -77,5 +77,54 @@ _LINES = r"""
     FROM documents d JOIN r ON d.doc_id IS NOT DISTINCT FROM r.doc_id AND coalesce(d.text, '') = r.t"""
 
 
+_DIVERGENCE = r"""
+    WITH d AS (
+      SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        list_transform(regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+'),
+          lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS ts
+      FROM documents),
+    kept AS (
+      SELECT lang, term FROM (SELECT lang, unnest(list_distinct(ts)) AS term FROM d)
+      GROUP BY lang, term HAVING count(*) >= 10),
+    v AS (SELECT lang, count(*)::HUGEINT AS V FROM kept GROUP BY lang),
+    groups AS (SELECT DISTINCT lang, source FROM d),
+    gc AS (
+      SELECT t.lang, t.source, t.term, count(*)::HUGEINT AS cnt
+      FROM (SELECT lang, source, unnest(ts) AS term FROM d) t JOIN kept k ON t.lang = k.lang AND t.term = k.term
+      GROUP BY t.lang, t.source, t.term),
+    gn AS (
+      SELECT g.lang, g.source, coalesce(sum(gc.cnt), 0)::HUGEINT AS N
+      FROM groups g LEFT JOIN gc ON g.lang = gc.lang AND g.source = gc.source GROUP BY g.lang, g.source),
+    pg AS (
+      SELECT g.lang, g.source, k.term, coalesce(gc.cnt, 0) AS cnt,
+        1 + (1000000000::HUGEINT * (coalesce(gc.cnt, 0) + 2)) // (gn.N + 2 * v.V) AS p
+      FROM groups g JOIN kept k ON g.lang = k.lang JOIN v ON g.lang = v.lang
+        JOIN gn ON g.lang = gn.lang AND g.source = gn.source
+        LEFT JOIN gc ON gc.lang = g.lang AND gc.source = g.source AND gc.term = k.term),
+    lc AS (SELECT lang, term, sum(cnt) AS cnt FROM gc GROUP BY lang, term),
+    ln AS (SELECT lang, sum(cnt) AS N FROM gc GROUP BY lang),
+    pl AS (
+      SELECT k.lang, k.term, 1 + (1000000000::HUGEINT * (coalesce(lc.cnt, 0) + 2)) // (ln.N + 2 * v.V) AS q
+      FROM kept k JOIN v ON k.lang = v.lang JOIN ln ON k.lang = ln.lang
+        LEFT JOIN lc ON lc.lang = k.lang AND lc.term = k.term),
+    sums AS (
+      SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+      FROM pg a JOIN pg b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+      GROUP BY a.lang, a.source, b.source),
+    pairs AS (
+      SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+      FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+    terms AS (
+      SELECT a.lang, a.source, 'term' AS part, a.term AS item,
+        ((a.p - l.q) * (a.p - l.q) // (a.p + l.q))::BIGINT AS value
+      FROM pg a JOIN pl l ON a.lang = l.lang AND a.term = l.term
+      WHERE a.cnt > 0 AND a.p > l.q),
+    ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+      FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+    SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op10_mix_sources": _mix(), "op11_line_bloom": _LINES}
+    return {"op10_mix_sources": _mix(), "op11_line_bloom": _LINES, "op13_skyband": _DIVERGENCE}

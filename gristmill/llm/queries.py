@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gristmill.llm import (
     cross_entropy, decontaminate, hamming_index, line_bloom, minhash, mixing, quality, secret_scan,
-    substring_dedup, tokenfiles, toxicity,
+    skyband, substring_dedup, tokenfiles, toxicity,
 )
 from gristmill.llm.components import marked, small_batches
 from gristmill.sources.scratch import fresh_path
@@ -100,9 +100,13 @@ def op11_line_bloom(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_skyband(spark: SparkSession, folder: str) -> DataFrame:
+    return skyband.divergence(_table(spark, folder, "documents"))
+
+
 def catalog() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_multi_index_hashing, op2_minmax_hash, op3_rule_quality, op4_token_files, op5_secret_scan,
         op6_suffix_automata, op7_toxicity, op8_decontaminate, op9_cross_entropy, op10_mix_sources,
-        op11_line_bloom,
+        op11_line_bloom, op13_skyband,
     )}
