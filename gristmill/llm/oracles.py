@@ -126,5 +126,53 @@ _DIVERGENCE = r"""
     SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10"""
 
 
+_STEP = "CASE WHEN i % 8 = 0 THEN xor(x, ascii(substr(s, i // 8 + 1, 1))) ELSE x END"
+
+_TRIE = r"""
+    WITH RECURSIVE
+    t AS (
+      SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS j
+      FROM conversations WHERE conv_id IS NOT NULL),
+    ids AS (SELECT conv_id, count(*) AS own FROM t GROUP BY conv_id),
+    crc(c, s, i, x) AS (
+      SELECT conv_id, conv_id::VARCHAR, 0, 4294967295::BIGINT FROM ids
+      UNION ALL
+      SELECT c, s, i + 1, xor((STEP) >> 1, CASE WHEN (STEP) & 1 = 1 THEN 3988292384 ELSE 0 END)
+      FROM crc WHERE i < 8 * length(s)),
+    hh AS (SELECT c AS conv_id, xor(x, 4294967295) % 6 AS h FROM crc WHERE i = 8 * length(s)),
+    cid AS (
+      SELECT a.conv_id, a.own, a.conv_id - a.conv_id % 100 AS base, hh.h, least(hh.h, coalesce(b.own, 0)) AS m
+      FROM ids a JOIN hh ON a.conv_id = hh.conv_id LEFT JOIN ids b ON b.conv_id = a.conv_id - a.conv_id % 100),
+    rt AS (
+      SELECT c.conv_id, t.j AS pos, t.role, t.text FROM cid c JOIN t ON t.conv_id = c.base AND t.j < c.h
+      UNION ALL
+      SELECT c.conv_id, c.m + t.j - c.h AS pos, t.role, t.text FROM cid c JOIN t ON t.conv_id = c.conv_id AND t.j >= c.h),
+    seqs AS (
+      SELECT c.conv_id, c.m + greatest(c.own - c.h, 0) AS n,
+        coalesce(list(length(r.role)::VARCHAR || ':' || r.role || r.text ORDER BY r.pos) FILTER (WHERE r.pos IS NOT NULL), []::VARCHAR[]) AS turns,
+        coalesce(list(r.text ORDER BY r.pos) FILTER (WHERE r.pos IS NOT NULL), []::VARCHAR[]) AS texts
+      FROM cid c LEFT JOIN rt r ON r.conv_id = c.conv_id GROUP BY c.conv_id, c.m, c.own, c.h),
+    mem AS (SELECT conv_id, n, turns, texts, unnest(range(0, n + 1)) AS d FROM seqs),
+    nodes AS (
+      SELECT list_slice(turns, 1, d) AS key, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+        CASE WHEN d = 0 THEN 0 ELSE length(min(texts[d])) END AS last_len,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE n = d), '')) AS ends_sha256
+      FROM mem GROUP BY list_slice(turns, 1, d), d),
+    kids AS (
+      SELECT list_slice(key, 1, depth - 1) AS key, count(*) AS n_children FROM nodes WHERE depth > 0
+      GROUP BY list_slice(key, 1, depth - 1)),
+    marked AS (
+      SELECT n.*, coalesce(k.n_children, 0) AS n_children,
+        CASE WHEN k.n_children IS NULL THEN 1 ELSE 0 END AS leaf, (n.n_convs - 1) * n.last_len AS save
+      FROM nodes n LEFT JOIN kids k ON k.key = n.key),
+    up AS (SELECT key, leaf, save, unnest(range(0, depth + 1)) AS e FROM marked),
+    sub AS (SELECT list_slice(key, 1, e) AS key, sum(leaf) AS n_leaves, sum(save) AS saved FROM up GROUP BY list_slice(key, 1, e))
+    SELECT m.conv_id, m.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, m.n_convs::BIGINT AS n_convs,
+      m.n_children::BIGINT AS n_children, s.n_leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, m.ends_sha256
+    FROM marked m JOIN sub s ON s.key = m.key
+      LEFT JOIN nodes p ON m.depth > 0 AND p.key = list_slice(m.key, 1, m.depth - 1)""".replace("STEP", _STEP)
+
+
 def oracles() -> dict[str, str]:
-    return {"op10_mix_sources": _mix(), "op11_line_bloom": _LINES, "op13_skyband": _DIVERGENCE}
+    return {"op10_mix_sources": _mix(), "op11_line_bloom": _LINES, "op12_prefix_trie": _TRIE, "op13_skyband": _DIVERGENCE}

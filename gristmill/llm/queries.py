@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill.llm import (
-    cross_entropy, decontaminate, hamming_index, line_bloom, minhash, mixing, quality, secret_scan,
+    cross_entropy, decontaminate, hamming_index, line_bloom, minhash, mixing, prefix_trie, quality, secret_scan,
     skyband, substring_dedup, tokenfiles, toxicity,
 )
 from gristmill.llm.components import marked, small_batches
@@ -100,6 +100,10 @@ def op11_line_bloom(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_table(spark, folder, "conversations"))
+
+
 def op13_skyband(spark: SparkSession, folder: str) -> DataFrame:
     return skyband.divergence(_table(spark, folder, "documents"))
 
@@ -108,5 +112,5 @@ def catalog() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_multi_index_hashing, op2_minmax_hash, op3_rule_quality, op4_token_files, op5_secret_scan,
         op6_suffix_automata, op7_toxicity, op8_decontaminate, op9_cross_entropy, op10_mix_sources,
-        op11_line_bloom, op13_skyband,
+        op11_line_bloom, op12_prefix_trie, op13_skyband,
     )}
