@@ -42,7 +42,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.components import BROADCAST_IDS
+from gristmill.llm.components import BROADCAST_IDS, stored
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -53,14 +53,13 @@ MAX_BITS = 1 << 27  # 16 MB a filter: what each executor receives, at most
 CHUNK_BITS = 1 << 19  # 64 KB of each filter per merged row
 FAN = 32  # first level of the merge: so many groups of tasks per chunk
 
-_BLANK = "[\\x20\\x09-\\x0D]"
+_BLANKS = " \t\n\x0b\x0c\r"  # [\x20\x09-\x0D]
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def line_key(line: Column) -> Column:
     """Blanks stripped at both ends, A-Z lower-cased."""
-    stripped = F.regexp_replace(line, F.lit(f"^{_BLANK}+|{_BLANK}+$"), F.lit(""))
-    return F.translate(stripped, _UPPER, _LOWER)
+    return F.translate(F.trim(line, F.lit(_BLANKS)), _UPPER, _LOWER)
 
 
 def _lines(text: Column) -> Column:
@@ -174,21 +173,21 @@ def frequent_lines(
 ) -> DataFrame:
     """``(doc_id, dropped)``: per document, the keys whose lines it loses (an array)."""
     keys = _long_keys(F.col(text_col), min_chars)
-    keyed = docs.select(
+    keyed = stored(docs.select(
         F.col(id_col).cast("long").alias("doc_id"), keys.alias("keys"),
         F.transform(keys, lambda k: F.xxhash64(k)).alias("hashes"),
-    ).where(F.size("keys") > 0)
+    ).where(F.size("keys") > 0), "line-keys")
     n_keys = keyed.agg(F.sum(F.size("keys"))).first()[0] or 0
     if not n_keys:
         return docs.sparkSession.createDataFrame([], "doc_id long, dropped array<string>")
     bits = filter_bits(n_keys)
     twice = docs.sparkSession.sparkContext.broadcast(twice_filter(keyed, bits))
-    suspects = keyed.mapInArrow(_suspects(twice, bits), "doc_id long, key string")
+    suspects = stored(keyed.mapInArrow(_suspects(twice, bits), "doc_id long, key string"), "line-suspects")
     frequent = suspects.groupBy("key").agg(
         F.count_distinct("doc_id").alias("n_docs"), F.max("doc_id").alias("keeper")
     ).where(F.col("n_docs") >= min_docs).drop("n_docs")
     lost = suspects.join(frequent, "key").where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
-    return lost.groupBy("doc_id").agg(F.collect_set("key").alias("dropped"))
+    return stored(lost.groupBy("doc_id").agg(F.collect_set("key").alias("dropped")), "line-drops")
 
 
 def drop_frequent_lines(
@@ -207,11 +206,14 @@ def drop_frequent_lines(
     joined = row.join(dropped, F.col("_id").eqNullSafe(F.col("_lost_id")), "left")
     text = F.col(f"_row.`{text_col}`")
     lines = _lines(text)
-    kept = F.filter(lines, lambda l: F.coalesce(~F.array_contains(F.col("_lost"), line_key(l)), F.lit(True)))
+    kept = F.filter(lines, lambda l: ~F.array_contains(F.col("_lost"), line_key(l)))
+    whole = F.coalesce(text, F.lit(""))
+    n_lines = (F.length(whole) - F.length(F.replace(whole, F.lit("\n"), F.lit(""))) + 1).cast("long")
+    # rows that lose no line are not split
     out = joined.select(
-        "_row", F.when(text.isNull(), text).otherwise(F.array_join(kept, "\n")).alias("_kept"),
-        F.struct(F.size(lines).cast("long").alias("n_lines"),
-                 (F.size(lines) - F.size(kept)).cast("long").alias("n_dropped")).alias("line_dedup"),
+        "_row", F.when(text.isNull() | F.col("_lost").isNull(), text).otherwise(F.array_join(kept, "\n")).alias("_kept"),
+        F.struct(n_lines.alias("n_lines"), F.when(F.col("_lost").isNull(), F.lit(0)).otherwise(
+            n_lines - F.size(kept)).cast("long").alias("n_dropped")).alias("line_dedup"),
     )
     return out.select(
         *[(F.col("_kept") if c == text_col else F.col("_row").getField(c)).alias(c) for c in names], "line_dedup"
