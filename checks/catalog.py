@@ -12,7 +12,7 @@ from gristmill import fixed
 from gristmill import functions as fn
 from gristmill.operators import (
     answers, coherence, conversations, dedup, lengths, neardup, personal_report, profile, ranks,
-    validation,
+    setsim, validation,
 )
 from gristmill.plans import dialogues as dlg
 from gristmill.plans import instructions as ins
@@ -237,6 +237,11 @@ def near_dup_groups(spark, d):
     return neardup.near_duplicate_groups(_documents(spark, d), "text", "doc_id")
 
 
+@_query
+def near_dup_verified(spark, d):
+    return setsim.verified_near_duplicates(_documents(spark, d), "text", "doc_id")
+
+
 # --- coherence -------------------------------------------------------------------------
 
 @_query

@@ -390,6 +390,21 @@ walk(nth, leaders) AS (
         "SELECT n.id AS leader_id, CAST(len(n.near) + 1 AS BIGINT) AS n_members FROM mh_near n "
         "WHERE n.id IN (SELECT unnest(leaders) FROM (SELECT leaders FROM walk ORDER BY nth DESC LIMIT 1))")
 
+    # every pair of word sets whose Jaccard similarity reaches 85 per cent
+    sql["near_dup_verified"] = f"""
+WITH sets AS (
+  SELECT doc_id, list_sort(list_distinct(
+    regexp_split_to_array({_strip("lower(coalesce(text, 'None'))")}, '{_WS}+'))) AS ws
+  FROM documents),
+classes AS (SELECT ws, min(doc_id) AS class_id, len(ws) AS n FROM sets GROUP BY ws),
+pairs AS (
+  SELECT a.class_id AS a, b.class_id AS b, len(list_intersect(a.ws, b.ws)) AS common, a.n AS n_a, b.n AS n_b
+  FROM classes a JOIN classes b ON a.class_id < b.class_id AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)),
+links AS (SELECT a, b FROM pairs WHERE 100 * common >= 85 * (n_a + n_b - common)),
+degree AS (SELECT c, count(*) AS n FROM (SELECT a AS c FROM links UNION ALL SELECT b FROM links) GROUP BY c)
+SELECT s.doc_id, c.class_id, coalesce(d.n, 0)::BIGINT AS n_links
+FROM sets s JOIN classes c ON s.ws = c.ws LEFT JOIN degree d ON d.c = c.class_id"""
+
     # coherence
     sql["coherence_rows"] = _with(_CONV, _tfidf("dlg", 3000)) + (
         "SELECT row_id, round(similarity, 6) AS similarity FROM scores")
