@@ -290,6 +290,13 @@ def split_overlap(spark, d):
     return ranks.split_overlap(split, ["text"])
 
 
+@_query
+def split_leaks(spark, d):
+    """Near-copies by MinHash band that the three splits of the planted documents share."""
+    split = ranks.assign_three_way_split(planted.doc(spark, d))
+    return neardup.split_leaks(split, "text")
+
+
 @_query
 def split_sizes(spark, d):
     return ranks.split_sizes(trn.chat_splits(planted.dialogues(spark, d)))

@@ -425,6 +425,28 @@ FROM sets s JOIN classes c ON s.ws = c.ws LEFT JOIN degree d ON d.c = c.class_id
         "SELECT splits, count(*) AS n_keys, sum(n)::BIGINT AS n_rows FROM ("
         "SELECT text, string_agg(DISTINCT split, '+' ORDER BY split) AS splits, count(DISTINCT split) AS k, "
         "count(*) AS n FROM doc JOIN split_of USING (row_id) GROUP BY text) WHERE k > 1 GROUP BY splits")
+    sql["split_leaks"] = _with(_DOC, "ids AS (SELECT row_id FROM doc)", _three_way("ids"), _minhash("doc", "row_id", "text"), """
+rowsplit AS (SELECT m.id, m.band, m.k, s.split FROM mh_bands m JOIN split_of s ON s.row_id = m.id),
+seen AS (
+  SELECT band, k, list_distinct(list(split)) AS splits FROM rowsplit GROUP BY band, k
+  HAVING count(DISTINCT split) > 1),
+sizes AS (SELECT split, count(*) AS n FROM split_of GROUP BY split),
+pairs AS (
+  SELECT CASE WHEN x.n < y.n OR (x.n = y.n AND x.split < y.split) THEN x.split ELSE y.split END AS split,
+    CASE WHEN x.n < y.n OR (x.n = y.n AND x.split < y.split) THEN y.split ELSE x.split END AS other
+  FROM sizes x JOIN sizes y ON x.split < y.split),
+nb AS (
+  SELECT p.split, p.other, count(s.k) AS n_bands FROM pairs p
+  LEFT JOIN seen s ON list_contains(s.splits, p.split) AND list_contains(s.splits, p.other)
+  GROUP BY p.split, p.other),
+hit AS (
+  SELECT DISTINCT r.id, r.split, o.other FROM rowsplit r JOIN seen s ON r.band = s.band AND r.k = s.k
+  JOIN pairs o ON o.split = r.split AND list_contains(s.splits, o.other)),
+nr AS (
+  SELECT p.split, p.other, count(h.id) AS n_rows FROM pairs p
+  LEFT JOIN hit h ON h.split = p.split AND h.other = p.other GROUP BY p.split, p.other)""") + (
+        "SELECT nb.split, nb.other, nb.n_bands::BIGINT AS n_bands, nr.n_rows::BIGINT AS n_rows "
+        "FROM nb JOIN nr ON nb.split = nr.split AND nb.other = nr.other")
     sql["split_sizes"] = _with(_CONV, _three_way("dlg")) + (
         "SELECT split, count(*) AS n_rows FROM split_of GROUP BY split")
     sql["train_val_split"] = _with(_CONV, f"""

@@ -211,3 +211,67 @@ def near_duplicate_summary(groups: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_groups"),
         F.coalesce(F.sum("n_members"), F.lit(0)).alias("n_rows_involved"),
     )
+
+
+def split_leaks(
+    df: DataFrame, text: str, split: str = "split", id_col: str = "row_id",
+    num_perm: int = fixed.NUM_PERM, bands: int = fixed.BANDS, seed: int = 1,
+) -> DataFrame:
+    """(split, other, n_bands, n_rows): near-copies that two splits share, by MinHash band.
+
+    For each pair of splits, ``split`` is the rarer one (fewer rows; ties by
+    name). ``n_bands`` counts band keys that rows of both hold; ``n_rows`` counts
+    rows of ``split`` with a band key that a row of ``other`` holds too.
+
+    Each band key is aggregated once, with the bitmap of the splits seen there
+    (combined in each task, so a band held by a third of the rows moves one row
+    per task); only band keys of more than one split are met again, and only by
+    the rows of the rarer splits. Pairs without a shared band report zeros; a
+    NULL split is a split of its own name, "".
+    """
+    require_batch(df, "split_leaks")
+    named = df.select(id_col, text, F.coalesce(F.col(split).cast("string"), F.lit("")).alias("_split"))
+    sizes = sorted((r["_split"], r["n"]) for r in named.groupBy("_split").agg(F.count(F.lit(1)).alias("n")).collect())
+    if len(sizes) > 62:
+        raise ValueError("split_leaks compares at most 62 splits")
+    bit = {name: 1 << k for k, (name, _) in enumerate(sizes)}
+    rank = {name: (n, name) for name, n in sizes}
+    pairs = [
+        (a, b) if rank[a] < rank[b] else (b, a)
+        for k, (a, _) in enumerate(sizes) for b, _ in sizes[k + 1:]
+    ]
+    spark = df.sparkSession
+    if not pairs:
+        return spark.createDataFrame([], "split string, other string, n_bands long, n_rows long")
+    who = named.select(F.struct(F.col(id_col).alias("id"), F.col("_split").alias("split")).alias("_who"), text)
+    held = checkpointed(band_keys(who, text, "_who", num_perm, bands, seed)).withColumn(
+        "_bit", F.element_at(F.create_map(*[F.lit(x) for kv in bit.items() for x in kv]), F.col("_who.split"))
+    )
+    seen = checkpointed(
+        held.groupBy("band_key").agg(F.bit_or("_bit").alias("_seen")).where(F.bit_count("_seen") > 1)
+    )
+    masks = [(k, bit[a] | bit[b]) for k, (a, b) in enumerate(pairs)]
+    pair_ids = F.filter(
+        F.array(*[F.when(F.col("_seen").bitwiseAND(m) == m, F.lit(k)) for k, m in masks]), lambda x: x.isNotNull()
+    )
+    n_bands = seen.select(F.explode(pair_ids).alias("_pair")).groupBy("_pair").agg(
+        F.count(F.lit(1)).alias("n_bands")
+    )
+    rare = sorted({a for a, _ in pairs})
+    met = held.where(F.col("_who.split").isin(rare)).join(seen, "band_key").groupBy("_who").agg(
+        F.bit_or("_seen").alias("_seen")
+    )
+    own = [(k, bit[a], bit[b]) for k, (a, b) in enumerate(pairs)]
+    row_pairs = F.filter(
+        F.array(*[
+            F.when((F.col("_who.split") == a) & (F.col("_seen").bitwiseAND(ob) != 0), F.lit(k))
+            for k, (a, _), (_, _, ob) in zip(range(len(pairs)), pairs, own)
+        ]),
+        lambda x: x.isNotNull(),
+    )
+    n_rows = met.select(F.explode(row_pairs).alias("_pair")).groupBy("_pair").agg(F.count(F.lit(1)).alias("n_rows"))
+    listed = spark.createDataFrame([(k, a, b) for k, (a, b) in enumerate(pairs)], "_pair int, split string, other string")
+    return listed.join(n_bands, "_pair", "left").join(n_rows, "_pair", "left").select(
+        "split", "other", F.coalesce("n_bands", F.lit(0)).cast("long").alias("n_bands"),
+        F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"),
+    )
