@@ -290,6 +290,13 @@ def split_overlap(spark, d):
     return ranks.split_overlap(split, ["text"])
 
 
+@_query
+def split_groups(spark, d):
+    """Train, val and test of the planted documents with every text in one split."""
+    split = ranks.assign_group_split(planted.doc(spark, d), F.col("text"))
+    return split.select("row_id", "split")
+
+
 @_query
 def split_leaks(spark, d):
     """Near-copies by MinHash band that the three splits of the planted documents share."""

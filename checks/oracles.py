@@ -425,6 +425,15 @@ FROM sets s JOIN classes c ON s.ws = c.ws LEFT JOIN degree d ON d.c = c.class_id
         "SELECT splits, count(*) AS n_keys, sum(n)::BIGINT AS n_rows FROM ("
         "SELECT text, string_agg(DISTINCT split, '+' ORDER BY split) AS splits, count(DISTINCT split) AS k, "
         "count(*) AS n FROM doc JOIN split_of USING (row_id) GROUP BY text) WHERE k > 1 GROUP BY splits")
+    sql["split_groups"] = _with(_DOC, """
+grp AS (
+  SELECT text, count(*) AS n, min(row_id) AS first, md5('42:' || coalesce(text, '')) AS ord FROM doc GROUP BY text),
+run AS (
+  SELECT *, sum(n) OVER (ORDER BY ord, first ROWS UNBOUNDED PRECEDING) - n AS start, sum(n) OVER () AS total FROM grp),
+cut AS (SELECT *, CAST(ceil(CAST(total AS DOUBLE) * CAST(0.1 AS DOUBLE)) AS BIGINT) AS hold FROM run),
+dec AS (
+  SELECT text, CASE WHEN start < ceil(hold * 0.5) THEN 'test' WHEN start < hold THEN 'val' ELSE 'train' END AS split
+  FROM cut)""") + "SELECT d.row_id, s.split FROM doc d JOIN dec s ON d.text IS NOT DISTINCT FROM s.text"
     sql["split_leaks"] = _with(_DOC, "ids AS (SELECT row_id FROM doc)", _three_way("ids"), _minhash("doc", "row_id", "text"), """
 rowsplit AS (SELECT m.id, m.band, m.k, s.split FROM mh_bands m JOIN split_of s ON s.row_id = m.id),
 seen AS (

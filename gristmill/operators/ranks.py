@@ -8,6 +8,7 @@ row-local comparison with at most a few cut points.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -158,3 +159,54 @@ def split_overlap(df: DataFrame, cols: Sequence[str], split: str = "split") -> D
     return per_key.where("_n > 1").groupBy("splits").agg(
         F.count(F.lit(1)).alias("n_keys"), F.sum("_rows").alias("n_rows")
     )
+
+
+_GROUP_BUCKETS_HEX = 3  # 4,096 buckets of groups: their totals are what the driver sees
+BROADCAST_GROUPS = 2_000_000  # group decisions sent to every executor, at most
+
+
+def assign_group_split(
+    df: DataFrame, group: Column, holdout: float = 0.1, test_share: float = 0.5, seed: int = 42,
+    id_col: str = "row_id",
+) -> DataFrame:
+    """Adds ``split`` (train / val / test) so that the rows of one group share a split.
+
+    Groups (rows with equal ``group``; NULL is a group of its own) are ordered by
+    ``md5('<seed>:' || group)``, ties by their smallest id, and taken in that
+    order: a group goes to test while the rows before it number less than
+    ``ceil(ceil(n * holdout) * test_share)``, then to val while they number less
+    than ``ceil(n * holdout)``, the rest to train. So test and val exceed their
+    targets by less than their last group, the nearest size the groups allow in
+    this order.
+
+    The running total is a prefix sum over 4,096 hash buckets of groups: the
+    driver adds up the bucket totals, each bucket sums its own groups. One row
+    per group is shuffled; rows meet their group's decision by a join that is
+    broadcast up to ``BROADCAST_GROUPS`` groups.
+    """
+    require_batch(df, "assign_group_split")
+    keyed = df.withColumns({
+        "_group": F.sha2(group.cast("string"), 256),
+        "_order": F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(group.cast("string"), F.lit("")))),
+    })
+    groups = keyed.groupBy("_group").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_order").alias("_order"), F.min(id_col).alias("_first")
+    ).withColumn("_bucket", F.substring("_order", 1, _GROUP_BUCKETS_HEX))
+    totals = sorted((r["_bucket"], r["_t"]) for r in groups.groupBy("_bucket").agg(F.sum("_n").alias("_t")).collect())
+    offsets, running = [], 0
+    for bucket, total in totals:
+        offsets.append((bucket, running))
+        running += total
+    spark = df.sparkSession
+    base = F.broadcast(spark.createDataFrame(offsets or [("", 0)], "_bucket string, _offset long"))
+    within = Window.partitionBy("_bucket").orderBy("_order", "_first").rowsBetween(Window.unboundedPreceding, 0)
+    hold = math.ceil(running * holdout)
+    test = math.ceil(hold * test_share)
+    start = F.col("_offset") + F.sum("_n").over(within) - F.col("_n")
+    decided = groups.join(base, "_bucket").select(
+        "_group", F.when(start < test, "test").when(start < hold, "val").otherwise("train").alias("split")
+    )
+    if decided.count() <= BROADCAST_GROUPS:
+        decided = F.broadcast(decided)
+    joined = keyed.join(decided, keyed["_group"].eqNullSafe(decided["_group"]))
+    return joined.select(*[keyed[c] for c in df.columns], "split")
