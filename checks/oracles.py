@@ -550,10 +550,12 @@ cut AS (
         f"'{fixed.EMPTY_ANSWER.replace(chr(39), chr(39) * 2)}' ELSE a END AS answer FROM cut")
     sql["history"] = (
         "WITH placed AS (SELECT "
-        "CASE conv_id % 3 WHEN 0 THEN -1 ELSE conv_id END AS conv_id, "
-        "CASE conv_id % 3 WHEN 0 THEN conv_id * 10 + turn WHEN 1 THEN turn + 1020 ELSE 3 * turn + 5 END AS turn, "
+        "CASE WHEN conv_id % 13 = 5 THEN NULL WHEN conv_id % 3 = 0 THEN -1 ELSE conv_id END AS conv_id, "
+        "CASE WHEN (conv_id + turn) % 11 = 4 THEN NULL WHEN conv_id % 3 = 0 THEN conv_id * 10 + turn "
+        "WHEN conv_id % 3 = 1 THEN turn + 1020 ELSE 3 * turn + 5 END AS turn, "
         "role, text FROM conversations), "
-        "numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS position FROM placed) "
+        "numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role, text) - 1 "
+        "AS position FROM placed) "
         "SELECT *, CASE role WHEN 'assistant' THEN position::VARCHAR END AS n_before FROM numbered")
     sql["drop_blank"] = _with(_BLANKS) + f"SELECT * FROM blanked WHERE {_strip('text')} <> ''"
     sql["empty_conversations"] = _with(_BLANKS) + (

@@ -151,11 +151,14 @@ def chats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def long_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A third of ``conversations`` as one long one, a third that start at turn 1,020, a third with gaps."""
+    """A third of ``conversations`` as one long one, a third that start at turn 1,020, a third with gaps.
+
+    Some messages lose their turn, and conversations with ``conv_id % 13 = 5`` their id.
+    """
     return table(spark, sf_dir, "conversations").selectExpr(
-        "CASE conv_id % 3 WHEN 0 THEN -1L ELSE conv_id END AS conv_id",
-        "CAST(CASE conv_id % 3 WHEN 0 THEN conv_id * 10 + turn WHEN 1 THEN turn + 1020 "
-        "ELSE 3 * turn + 5 END AS BIGINT) AS turn",
+        "CASE WHEN conv_id % 13 = 5 THEN NULL WHEN conv_id % 3 = 0 THEN -1L ELSE conv_id END AS conv_id",
+        "CAST(CASE WHEN (conv_id + turn) % 11 = 4 THEN NULL WHEN conv_id % 3 = 0 THEN conv_id * 10 + turn "
+        "WHEN conv_id % 3 = 1 THEN turn + 1020 ELSE 3 * turn + 5 END AS BIGINT) AS turn",
         "role", "text",
     )
 

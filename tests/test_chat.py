@@ -81,6 +81,17 @@ def test_history_has_one_form_at_every_length(spark):
             (k, k if roles[t] == "assistant" else None) for k, t in enumerate(turns)]
 
 
+def test_history_keeps_null_turns_and_conversations(spark):
+    """NULL turns come last in their conversation, NULL conversations are one; nothing is lost."""
+    rows = [(1, 0, "user", "a"), (1, None, "assistant", "z"), (1, None, "assistant", "b"), (1, 2000, "user", "c"),
+            (None, 5, "user", "n1"), (None, None, "assistant", "n2"), (None, 1, "assistant", "n0")]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    got = {(r.conv_id, r.text): (r.position, r.n_before) for r in conversations.conversation_history(df).collect()}
+    assert len(got) == len(rows)
+    assert got == {(1, "a"): (0, None), (1, "c"): (1, None), (1, "b"): (2, 2), (1, "z"): (3, 3),
+                   (None, "n0"): (0, 0), (None, "n1"): (1, None), (None, "n2"): (2, 2)}
+
+
 def test_blank_messages(spark):
     rows = [(1, 0, "\xa0\n"), (1, 1, None), (2, 0, " "), (2, 1, "x")]
     df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, text string")
