@@ -52,6 +52,7 @@ LEAST_BITS = 1 << 16
 MAX_BITS = 1 << 27  # 16 MB a filter: what each executor receives, at most
 CHUNK_BITS = 1 << 19  # 64 KB of each filter per merged row
 FAN = 32  # first level of the merge: so many groups of tasks per chunk
+BROADCAST_BYTES = 16 << 20  # keys to drop, sent to every executor if they take no more
 
 _BLANKS = " \t\n\x0b\x0c\r"  # [\x20\x09-\x0D]
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -198,7 +199,10 @@ def drop_frequent_lines(
     dropped = frequent_lines(docs, text_col, id_col, min_chars, min_docs).select(
         F.col("doc_id").alias("_lost_id"), F.col("dropped").alias("_lost")
     )
-    if dropped.count() <= BROADCAST_IDS:
+    rows, size = dropped.agg(
+        F.count(F.lit(1)), F.sum(F.aggregate("_lost", F.lit(0).cast("long"), lambda n, k: n + F.octet_length(k) + 16))
+    ).first()
+    if rows <= BROADCAST_IDS and (size or 0) <= BROADCAST_BYTES:
         dropped = F.broadcast(dropped)
     names = [c for c in docs.columns if c != "line_dedup"]
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"),
