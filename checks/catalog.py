@@ -442,6 +442,40 @@ def read_json_array(spark, d):
     return rows
 
 
+def _compact_arrays(spark, d):
+    """``conv`` as one-line JSON arrays, one file per 1,000 row ids, written by many tasks.
+
+    Some instructions hold brackets, quotes and a backslash; some records are empty objects.
+    """
+    folder = fresh_path(spark, "compact")
+    tricky = F.concat(F.col("instruction"), F.lit(' }{ "q" \\ ]['))
+    rows = planted.conv(spark, d).withColumn(
+        "instruction", F.when(F.col("row_id") % 5 == 2, tricky).otherwise(F.col("instruction"))
+    )
+    record = F.when(F.col("row_id") % 9 == 4, F.lit("{}")).otherwise(
+        F.to_json(F.struct("instruction", "input", "output"), {"ignoreNullFields": "false"})
+    )
+    bucket = F.lpad(F.floor(F.col("row_id") / 1000).cast("string"), 12, "0")
+    rows = rows.select("row_id", record.alias("record"), bucket.alias("bucket"))
+    ends = rows.groupBy("bucket").agg(F.min("row_id").alias("first"), F.max("row_id").alias("last"))
+    value = F.concat(
+        F.when(F.col("row_id") == F.col("first"), "[").otherwise(","), "record",
+        F.when(F.col("row_id") == F.col("last"), "]").otherwise(""),
+    )
+    lines = rows.join(ends, "bucket").select("bucket", "row_id", value.alias("value"))
+    lines.repartition("bucket").sortWithinPartitions("bucket", "row_id").select("bucket", "value") \
+        .write.partitionBy("bucket").option("lineSep", " ").text(folder)
+    return folder
+
+
+@_query
+def read_json_compact(spark, d):
+    """Position and fields of every record of one-line arrays, read in splits."""
+    return readers.read_compact_json_array(
+        spark, _compact_arrays(spark, d), readers.INSTRUCTION_SCHEMA, id_col="row_id"
+    )
+
+
 @_query
 def validate_file(spark, d):
     out = fresh_path(spark, "validated-file")

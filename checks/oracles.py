@@ -525,6 +525,13 @@ shaped AS (
         "SELECT row_number() OVER (ORDER BY row_id) - 1 AS row_id, "
         + ", ".join(f"CASE WHEN row_id % 9 <> 4 THEN {c} END AS {c}" for c in ("instruction", "input", "output"))
         + " FROM conv")
+    sql["read_json_compact"] = _with(_CONV) + (
+        "SELECT ((dense_rank() OVER (ORDER BY row_id // 1000) - 1) * 1099511627776 "
+        "+ row_number() OVER (PARTITION BY row_id // 1000 ORDER BY row_id) - 1)::BIGINT AS row_id, "
+        "CASE WHEN row_id % 9 <> 4 THEN CASE WHEN row_id % 5 = 2 THEN instruction || ' }{ \"q\" \\ ][' "
+        "ELSE instruction END END AS instruction, "
+        + ", ".join(f"CASE WHEN row_id % 9 <> 4 THEN {c} END AS {c}" for c in ("input", "output"))
+        + " FROM conv")
     sql["validated_files"] = _with(_CONV, _FLAGGED) + (
         f"SELECT row_id, instruction, input, output, on_topic FROM flagged WHERE NOT ({_BAD})")
     sql["contamination"] = _with(_CONV) + (

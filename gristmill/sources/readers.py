@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+import pandas as pd
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -170,3 +172,138 @@ def read_csv(
 _NULL = "\\N"
 _BROADCAST_FILES = 1_000_000  # about 150 MB of paths; more are left to Spark's choice of join
 _SCHEME = "^(file):/+"  # a local path is written with one or three slashes
+
+
+_PIECE = "_file string, _block long, _seq long, value string"
+
+
+_SPECIAL = re.compile(r'["\\{}\[\]]')
+
+
+def _summary(text: str, inside: bool) -> tuple[bool, int]:
+    """String state after ``text`` and the depth change of its brackets outside strings.
+
+    Only quotes, backslashes and brackets are visited; a backslash inside a
+    string makes the character after it plain.
+    """
+    depth, skip = 0, -1
+    for found in _SPECIAL.finditer(text):
+        at, ch = found.start(), found.group()
+        if at == skip:
+            continue
+        if inside:
+            if ch == "\\":
+                skip = at + 1
+            elif ch == '"':
+                inside = False
+        elif ch == '"':
+            inside = True
+        elif ch in "{[":
+            depth += 1
+        elif ch in "]}":
+            depth -= 1
+    return inside, depth
+
+
+def _compose(pieces: list[str]) -> tuple[tuple[bool, int], tuple[bool, int]]:
+    """Entry string state -> (exit state, depth change) over pieces that each end in a ``}`` separator."""
+    out = []
+    for start in (False, True):
+        inside, depth = start, 0
+        for text in pieces:
+            inside, d = _summary(text, inside)
+            depth += d - (0 if inside else 1)
+        out.append((inside, depth))
+    return out[0], out[1]
+
+
+def _split_functions(frame: pd.DataFrame) -> pd.DataFrame:
+    frame = frame.sort_values("_seq")
+    (o_in, o_d), (i_in, i_d) = _compose(list(frame["value"]))
+    return pd.DataFrame({
+        "_file": [frame["_file"].iloc[0]], "_block": [frame["_block"].iloc[0]],
+        "out_inside": [o_in], "out_depth": [o_d], "in_inside": [i_in], "in_depth": [i_d],
+    })
+
+
+def _cut_objects(frame: pd.DataFrame) -> pd.DataFrame:
+    """Per piece of one split, from the split's entry state: the object it belongs to, counted in the split."""
+    frame = frame.sort_values("_seq")
+    inside, depth = bool(frame["_inside"].iloc[0]), int(frame["_depth"].iloc[0])
+    objects, ends = [], 0
+    for text in frame["value"]:
+        objects.append(ends)
+        inside, d = _summary(text, inside)
+        depth += d
+        if not inside:
+            if depth == 2:
+                ends += 1
+            depth -= 1
+    return pd.DataFrame({"_file": frame["_file"], "_base": frame["_base"], "_block": frame["_block"],
+                         "_seq": frame["_seq"], "value": frame["value"], "_object": objects, "_ends": ends})
+
+
+def read_compact_json_array(
+    spark: SparkSession, path: str, schema: T.StructType, id_col: str | None = None
+) -> DataFrame:
+    """Files that each hold one JSON array of objects, in any layout, one line or many, read in splits.
+
+    Every ``}`` ends a piece (the text reader splits files into byte ranges
+    there, a piece lying in the range it starts in). A piece's effect is a small
+    function of the string state at its start (inside a string or not) to the
+    state at its end and its change of bracket depth. These functions are
+    composed per range on the executors and across ranges, one row per range, on
+    the driver; each range then walks its pieces from its true entry state and
+    marks where an object of the outer array closes (depth 2 to 1 outside a
+    string). Objects are the pieces between such marks, joined again and parsed.
+    Memory is that of one range, and of the largest object.
+
+    ``id_col`` names the object's position as ``read_json_array`` does: files
+    in the order of their paths times 2^40, plus the place in the file. Empty
+    files and empty arrays give no rows.
+    """
+    raw = spark.read.option("lineSep", "}").text(path)
+    pieces = _with_file_base(raw.select(
+        "value", "_metadata", F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_seq"),
+    )).drop("_metadata")
+    stored = fresh_path(spark, "pieces")
+    pieces.select("_file", "_base", "_block", "_seq", "value").write.parquet(stored)
+    pieces = spark.read.parquet(stored)
+    functions = pieces.groupBy("_file", "_block").applyInPandas(
+        _split_functions,
+        "_file string, _block long, out_inside boolean, out_depth long, in_inside boolean, in_depth long",
+    ).collect()
+    entry, state = [], {}
+    for row in sorted(functions, key=lambda r: (r["_file"], r["_block"])):
+        inside, depth = state.get(row["_file"], (False, 0))
+        entry.append((row["_file"], row["_block"], inside, depth))
+        exit_inside, change = (row["in_inside"], row["in_depth"]) if inside else (row["out_inside"], row["out_depth"])
+        state[row["_file"]] = (exit_inside, depth + change)
+    starts = F.broadcast(spark.createDataFrame(
+        entry or [("", 0, False, 0)], "_file string, _block long, _inside boolean, _depth long"
+    ))
+    cut = pieces.join(starts, ["_file", "_block"]).groupBy("_file", "_block").applyInPandas(
+        _cut_objects, "_file string, _base long, _block long, _seq long, value string, _object long, _ends long"
+    )
+    folder = fresh_path(spark, "cut")
+    cut.write.parquet(folder)
+    cut = spark.read.parquet(folder)
+    ends = sorted((r["_file"], r["_block"], r["_ends"]) for r in cut.groupBy("_file", "_block").agg(
+        F.max("_ends").alias("_ends")).collect())
+    before, counted = [], {}
+    for file, block, n in ends:
+        before.append((file, block, counted.get(file, 0)))
+        counted[file] = counted.get(file, 0) + n
+    offsets = F.broadcast(spark.createDataFrame(before or [("", 0, 0)], "_file string, _block long, _before long"))
+    numbered = cut.join(offsets, ["_file", "_block"]).withColumn("_n", F.col("_before") + F.col("_object"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_seq", "value"))), lambda p: p["value"]), "}")
+    objects = numbered.groupBy("_file", "_base", "_n").agg(F.concat(text, F.lit("}")).alias("_json"))
+    body = F.regexp_replace("_json", r"^[\s,\[]*", "")
+    # what follows the last object of a file (the closing bracket) holds no object
+    found = objects.select("_base", "_n", body.alias("_body")).where(F.col("_body").startswith("{")).select(
+        "_base", "_n", F.from_json("_body", schema, {"mode": "FAILFAST"}).alias("r")
+    )
+    if id_col is None:
+        return found.select("r.*")
+    return found.select((F.col("_base") + F.col("_n")).alias(id_col), "r.*")
