@@ -43,7 +43,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gristmill.llm.components import BROADCAST_IDS
+from gristmill.llm.components import BROADCAST_IDS, stored
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 MIN_DOCS = 10
@@ -104,23 +104,32 @@ def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP) -> Dat
     base = docs.select(
         F.coalesce(F.col("lang"), F.lit("")).alias("lang"),
         F.coalesce(F.col("source"), F.lit("")).alias("source"),
-        terms_of(F.col("text")).alias("terms"),
+        F.col("text"),
     )
-    kept = base.select("lang", F.explode(F.array_distinct("terms")).alias("term")).groupBy("lang", "term").count() \
-        .where(F.col("count") >= min_docs).select("lang", "term")
-    counts = base.select("lang", "source", F.explode("terms").alias("term")) \
-        .groupBy("lang", "source", "term").agg(F.count(F.lit(1)).alias("count")) \
-        .join(kept, ["lang", "term"])
-    groups = base.select("lang", "source").distinct()
+    groups = stored(base.select("lang", "source").distinct(), "groups")
+    # one pass over the texts: per row and term, then per group and term (count, rows holding it)
+    numbered = base.withColumn("_row", F.monotonically_increasing_id())  # a row's number, before its terms
+    tokens = numbered.select("lang", "source", "_row", F.explode(terms_of(F.col("text"))).alias("term"))
+    per_row = tokens.groupBy("_row", "lang", "source", "term").agg(F.count(F.lit(1)).alias("n"))
+    stats = stored(per_row.groupBy("lang", "source", "term").agg(
+        F.sum("n").alias("count"), F.count(F.lit(1)).alias("rows")
+    ), "term-stats")
+    kept = stats.groupBy("lang", "term").agg(F.sum("rows").alias("rows")) \
+        .where(F.col("rows") >= min_docs).select("lang", "term")
+    counts = stored(stats.join(kept, ["lang", "term"]).select("lang", "source", "term", "count"), "term-counts")
     vocab = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("V"))
     totals = counts.groupBy("lang", "source").agg(F.sum("count").alias("N"))
-    sized = _sized(
+    sized = _sized(stored(
         groups.join(totals, ["lang", "source"], "left").join(vocab, "lang", "left")
-        .select("lang", "source", F.coalesce("N", F.lit(0)).alias("N"), F.coalesce("V", F.lit(0)).alias("V"))
-    )
+        .select("lang", "source", F.coalesce("N", F.lit(0)).alias("N"), F.coalesce("V", F.lit(0)).alias("V")),
+        "group-sizes",
+    ))
     by_lang = counts.groupBy("lang", "term").agg(F.sum("count").alias("lang_count"))
     lang_sizes = _sized(by_lang.groupBy("lang").agg(F.sum("lang_count").alias("LN")).join(vocab, "lang"))
-    levels = counts.join(sized, ["lang", "source"]).withColumn("p", level(F.col("count"), F.col("N"), F.col("V")))
+    levels = stored(
+        counts.join(sized, ["lang", "source"]).withColumn("p", level(F.col("count"), F.col("N"), F.col("V"))),
+        "term-levels",
+    )
 
     # part term: skyband per task, then exact ranks on what is left
     lang_levels = by_lang.join(lang_sizes, "lang").withColumn(
