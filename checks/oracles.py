@@ -571,6 +571,7 @@ cut AS (
     # sources and sinks
     sql["roundtrip_json"] = _with(_DOC, _AWKWARD) + "SELECT row_id, text FROM awkward"
     sql["roundtrip_csv"] = sql["roundtrip_json"]
+    sql["roundtrip_csv_splits"] = sql["roundtrip_json"]
     sql["roundtrip_formats"] = _with(_DOC, _AWKWARD) + (
         "SELECT row_id, text, f.format FROM awkward, (VALUES ('parquet'), ('json'), ('csv')) f(format)")
     sql["roundtrip_splits"] = _with(_CONV, _three_way("dlg")) + (

@@ -307,3 +307,59 @@ def read_compact_json_array(
     if id_col is None:
         return found.select("r.*")
     return found.select((F.col("_base") + F.col("_n")).alias(id_col), "r.*")
+
+
+def read_csv_in_splits(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """CSV as ``write_csv`` writes it, line breaks inside quoted fields included, read in byte ranges.
+
+    Lines are split at line feeds only, so a carriage return stays text. A line
+    begins a record when the quotes before it, in its file, are even in number:
+    each range counts the parity of its own quotes, the driver adds up one row
+    per range in file order, and each range then finds its record starts from
+    its entry parity. Lines are grouped into records by file and number, joined
+    again with line feeds and parsed; the first record of each file is the header.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        "value", F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_seq"),
+    ).withColumn("_odd", ((F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2).cast("int"))
+    folder = fresh_path(spark, "csv-lines")
+    lines.write.parquet(folder)
+    lines = spark.read.parquet(folder)
+    per_range = sorted(
+        (r["_file"], r["_block"], r["_odd"], r["_n"])
+        for r in lines.groupBy("_file", "_block").agg(F.sum("_odd").alias("_odd"), F.count(F.lit(1)).alias("_n")).collect()
+    )
+    entry, parity = [], {}
+    for file, block, odd, _ in per_range:
+        entry.append((file, block, parity.get(file, 0)))
+        parity[file] = (parity.get(file, 0) + odd) % 2
+    starts = F.broadcast(spark.createDataFrame(entry or [("", 0, 0)], "_file string, _block long, _entry int"))
+    in_range = Window.partitionBy("_file", "_block").orderBy("_seq")
+    before = F.coalesce(F.sum("_odd").over(in_range.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    marked = lines.join(starts, ["_file", "_block"]).withColumn(
+        "_starts", (((F.col("_entry") + before) % 2) == 0).cast("int")
+    )
+    counted = marked.withColumn("_k", F.sum("_starts").over(in_range.rowsBetween(Window.unboundedPreceding, 0)))
+    folder = fresh_path(spark, "csv-marked")
+    counted.select("_file", "_block", "_seq", "value", "_k").write.parquet(folder)
+    counted = spark.read.parquet(folder)
+    totals = sorted(
+        (r["_file"], r["_block"], r["_k"] or 0)
+        for r in counted.groupBy("_file", "_block").agg(F.max("_k").alias("_k")).collect()
+    )
+    offsets, seen = [], {}
+    for file, block, k in totals:
+        offsets.append((file, block, seen.get(file, 0)))
+        seen[file] = seen.get(file, 0) + k
+    base = F.broadcast(spark.createDataFrame(offsets or [("", 0, 0)], "_file string, _block long, _before long"))
+    numbered = counted.join(base, ["_file", "_block"]).withColumn("_record", F.col("_before") + F.col("_k"))
+    joined = F.array_join(
+        F.transform(F.array_sort(F.collect_list(F.struct("_seq", "value"))), lambda p: p["value"]), "\n"
+    )
+    records = numbered.groupBy("_file", "_record").agg(joined.alias("_text")).where(F.col("_record") > 1)
+    options = {"quote": '"', "escape": '"', "emptyValue": "", "nullValue": _NULL, "mode": "FAILFAST"}
+    ddl = schema if isinstance(schema, str) else ", ".join(
+        f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields
+    )
+    return records.select(F.from_csv("_text", ddl, options).alias("r")).select("r.*")
