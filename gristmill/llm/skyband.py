@@ -26,8 +26,13 @@ exactly. A hot group's terms are spread over all tasks by the hash of the term.
 
 The ``pair`` part sums only over terms that one of the two sources holds and
 adds the terms that neither holds as ``f`` of the two sources' ``p`` at count 0
-times their number; ``f`` is symmetric, so each (source, term) row meets each
-other source of its lang once.
+times their number. Terms both hold meet by (lang, term); a term one source
+holds is priced, for every other source of its lang, against that source's
+``p`` at count 0 (a broadcast of the sources), and the terms both hold are
+taken out of that sum again. Both sums are combined in each task before their
+shuffle, so what moves is one row per pair of sources and task. The work is
+the (source, term) rows times the sources of their lang, which the output, all
+pairs of sources, squares anyway.
 
 Defined results: groups without terms pair with the other sources of their
 lang; a lang with one source gives no pairs; an empty table gives no rows.
@@ -107,12 +112,14 @@ def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP) -> Dat
         F.col("text"),
     )
     groups = stored(base.select("lang", "source").distinct(), "groups")
-    # one pass over the texts: per row and term, then per group and term (count, rows holding it)
-    numbered = base.withColumn("_row", F.monotonically_increasing_id())  # a row's number, before its terms
-    tokens = numbered.select("lang", "source", "_row", F.explode(terms_of(F.col("text"))).alias("term"))
-    per_row = tokens.groupBy("_row", "lang", "source", "term").agg(F.count(F.lit(1)).alias("n"))
-    stats = stored(per_row.groupBy("lang", "source", "term").agg(
-        F.sum("n").alias("count"), F.count(F.lit(1)).alias("rows")
+    # one pass over the texts: a row's terms sorted, so its first occurrence of a term is where it changes
+    sorted_terms = F.array_sort(terms_of(F.col("text")))
+    tokens = base.select("lang", "source", sorted_terms.alias("_t")).select(
+        "lang", "source", F.posexplode("_t").alias("_at", "term"), "_t"
+    ).select("lang", "source", "term", ((F.col("_at") == 0) | (F.element_at("_t", F.col("_at")) != F.col("term")))
+             .cast("long").alias("_first"))
+    stats = stored(tokens.groupBy("lang", "source", "term").agg(
+        F.count(F.lit(1)).alias("count"), F.sum("_first").alias("rows")
     ), "term-stats")
     kept = stats.groupBy("lang", "term").agg(F.sum("rows").alias("rows")) \
         .where(F.col("rows") >= min_docs).select("lang", "term")
@@ -144,27 +151,35 @@ def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP) -> Dat
                         gap(F.col("p"), F.col("q")).alias("value")) \
         .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
 
-    # part pair: each (source, term) row against every other source of its lang
+    # part pair: terms both sources hold meet by (lang, term); terms one source holds are priced against the
+    # other's level at count 0 for every partner, summed before the shuffle; the rest is counted
     others = sized.select("lang", F.col("source").alias("item"), F.col("N").alias("N2"), F.col("V").alias("V2"))
     pairs = sized.join(others, "lang").where("source <> item")
-    held = levels.select("lang", F.col("source").alias("item"), "term", F.col("p").alias("p2"))
-    rows = levels.select("lang", "source", "term", "p").join(
-        _sized(pairs.select("lang", "source", "item", "N2", "V2")), ["lang", "source"]
-    ).join(held, ["lang", "item", "term"], "left").select(
-        "lang", "source", "item", F.col("p2").isNotNull().alias("both"),
-        gap(F.col("p"), F.coalesce(F.col("p2"), level(F.lit(0), F.col("N2"), F.col("V2")))).alias("f"),
+    mine = levels.select("lang", "source", "term", "p")
+    theirs = levels.select("lang", F.col("source").alias("item"), "term", F.col("p").alias("p2"))
+    partner_zero = level(F.lit(0), F.col("N2"), F.col("V2"))
+    both = mine.join(theirs, ["lang", "term"]).where("source <> item").join(
+        _sized(pairs.select("lang", "source", "item", "N2", "V2")), ["lang", "source", "item"]
+    ).groupBy("lang", "source", "item").agg(
+        F.sum(gap(F.col("p"), F.col("p2"))).alias("sum_both"),
+        F.sum(gap(F.col("p"), partner_zero)).alias("held_a"), F.count(F.lit(1)).alias("n_both"),
     )
-    sums = rows.groupBy("lang", "source", "item").agg(
-        F.sum("f").alias("sum_a"), F.sum(F.when(~F.col("both"), F.col("f")).otherwise(0)).alias("only_a"),
-        F.count(F.lit(1)).alias("n_a"), F.sum(F.col("both").cast("long")).alias("n_both"),
-    )
-    back = sums.select("lang", F.col("source").alias("item"), F.col("item").alias("source"),
-                       F.col("only_a").alias("only_b"), F.col("n_a").alias("n_b"))
+    alone = mine.join(_sized(pairs.select("lang", "source", "item", "N2", "V2")), ["lang", "source"]).groupBy(
+        "lang", "source", "item"
+    ).agg(F.sum(gap(F.col("p"), partner_zero)).alias("all_a"), F.count(F.lit(1)).alias("n_a"))
+    back = alone.select("lang", F.col("source").alias("item"), F.col("item").alias("source"),
+                        F.col("all_a").alias("all_b"), F.col("n_a").alias("n_b"))
+    back_both = both.select("lang", F.col("source").alias("item"), F.col("item").alias("source"),
+                            F.col("held_a").alias("held_b"))
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
     rest = F.col("V") - z("n_a") - z("n_b") + z("n_both")
     zero = gap(level(F.lit(0), F.col("N"), F.col("V")), level(F.lit(0), F.col("N2"), F.col("V2")))
-    value = F.when(F.col("V") == 0, F.lit(0)).otherwise(z("sum_a") + z("only_b") + rest * zero)
-    valued = pairs.join(sums, ["lang", "source", "item"], "left").join(back, ["lang", "source", "item"], "left") \
+    value = F.when(F.col("V") == 0, F.lit(0)).otherwise(
+        z("sum_both") + z("all_a") - z("held_a") + z("all_b") - z("held_b") + rest * zero
+    )
+    keys = ["lang", "source", "item"]
+    valued = pairs.join(both, keys, "left").join(alone, keys, "left").join(back, keys, "left") \
+        .join(back_both, keys, "left") \
         .select("lang", "source", F.lit("pair").alias("part"), "item", value.cast("long").alias("value"))
     ranked = valued.withColumn("rank", F.row_number().over(order))
     return ranked.unionByName(terms.select(*ranked.columns))
