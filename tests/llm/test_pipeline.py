@@ -45,7 +45,7 @@ def test_stages(spark, tmp_path):
             assert docs.columns == columns
             assert set(after.doc_id) <= set(before.doc_id)
         if name == "near-dedup":
-            roots = classes({i: shingles(t) for i, t in zip(before.doc_id, before.text)})
+            roots = classes({i: shingles(t) for i, t in zip(before.doc_id, before.text)}, corpus_pipeline.NEAR_PERCENT)
             assert sorted(after.doc_id) == sorted(set(roots.values()))
         if name == "tokens":
             tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
