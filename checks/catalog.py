@@ -163,6 +163,13 @@ def retention_ledger(spark, d):
     return _rounded(dlg.clean_ledger(planted.dialogues(spark, d)), pct_of_input=6)
 
 
+@_query
+def retention_ledger_observed(spark, d):
+    """The ledger as the cleaning's own write counts it."""
+    path = fresh_path(spark, "cleaned")
+    return _rounded(dlg.clean_and_count(planted.dialogues(spark, d), path), pct_of_input=6)
+
+
 # --- personal data -------------------------------------------------------------------
 
 @_query

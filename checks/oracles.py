@@ -337,6 +337,7 @@ def oracles() -> dict[str, str]:
         too_long="SELECT (SELECT count(*) FROM enough) - (SELECT count(*) FROM capped)",
         noise="SELECT (SELECT count(*) FROM capped) - (SELECT count(*) FROM clean_out)",
         kept="SELECT count(*) FROM clean_out")
+    sql["retention_ledger_observed"] = sql["retention_ledger"]
 
     # personal data
     sql["pii_report"] = _with(_CONV) + _hits(

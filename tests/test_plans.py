@@ -154,3 +154,15 @@ def test_row_local_operators_pass_a_stream(spark, tmp_path):
     )
     query.awaitTermination()
     assert [tuple(r) for r in spark.table("passed").collect()] == [(1, "invests", True)]
+
+
+def test_ledger_counted_by_the_write(spark, tmp_path):
+    from gristmill.plans import dialogues as flows
+    from gristmill.sources import planted as pl
+
+    rows = pl.dialogues(spark, "/root/testdata/sf0.001")
+    path = str(tmp_path / "cleaned")
+    ledger = sorted(tuple(r) for r in flows.clean_and_count(rows, path).collect())
+    assert ledger == sorted(tuple(r) for r in flows.clean_ledger(rows).collect())
+    written = sorted(tuple(r) for r in spark.read.parquet(path).collect())
+    assert written == sorted(tuple(r) for r in flows.clean_dialogues(rows).collect())
