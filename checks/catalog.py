@@ -251,6 +251,15 @@ def near_dup_verified(spark, d):
 
 # --- coherence -------------------------------------------------------------------------
 
+@_query
+def coherence_transfer(spark, d):
+    """Weights fitted on the dialogues' descriptions and stored, then applied to instructions and answers."""
+    model = coherence.fit_vocabulary(planted.dialogues(spark, d), "description", fresh_path(spark, "vocabulary"),
+                                     stop_words=STOP_WORDS)
+    scores = coherence.score_with(planted.conv(spark, d), "instruction", "output", model)
+    return _rounded(scores, similarity=6)
+
+
 @_query
 def coherence_rows(spark, d):
     scores = coherence.coherence(

@@ -204,6 +204,32 @@ scores AS (
   FROM {table} x LEFT JOIN dots USING (row_id) LEFT JOIN na USING (row_id) LEFT JOIN nb USING (row_id))"""
 
 
+def _tfidf_apart(fit_table: str, fit: str, table: str, a: str, b: str, features: int) -> str:
+    """Weights from ``fit`` of ``fit_table``, similarity of ``a`` and ``b`` of ``table``."""
+    def tokens(c: str) -> str:
+        return f"unnest(regexp_extract_all(lower(coalesce({c}, '')), '[{_W}]{{2,}}'))"
+
+    return f"""
+tok_f AS (SELECT row_id, {tokens(fit)} AS t FROM {fit_table}),
+cnt_f AS (SELECT row_id, t, count(*) AS c FROM tok_f WHERE t NOT IN ({_STOP}) GROUP BY ALL),
+vocab AS (
+  SELECT t, ln((1.0::DOUBLE + (SELECT count(*) FROM {fit_table})) / (1 + count(*))) + 1 AS idf
+  FROM cnt_f GROUP BY t ORDER BY sum(c) DESC, t LIMIT {features}),
+tok_a AS (SELECT row_id, {tokens(a)} AS t FROM {table}),
+tok_b AS (SELECT row_id, {tokens(b)} AS t FROM {table}),
+cnt_a AS (SELECT row_id, t, count(*) AS c FROM tok_a GROUP BY ALL),
+cnt_b AS (SELECT row_id, t, count(*) AS c FROM tok_b GROUP BY ALL),
+wa AS (SELECT row_id, t, c * idf AS w FROM cnt_a JOIN vocab USING (t)),
+wb AS (SELECT row_id, t, c * idf AS w FROM cnt_b JOIN vocab USING (t)),
+na AS (SELECT row_id, sqrt(sum(w * w)) AS n FROM wa GROUP BY row_id),
+nb AS (SELECT row_id, sqrt(sum(w * w)) AS n FROM wb GROUP BY row_id),
+dots AS (
+  SELECT wa.row_id, sum(wa.w * wb.w) AS d FROM wa JOIN wb USING (row_id, t) GROUP BY wa.row_id),
+scores AS (
+  SELECT x.row_id, coalesce(dots.d / (na.n * nb.n), 0.0) AS similarity
+  FROM {table} x LEFT JOIN dots USING (row_id) LEFT JOIN na USING (row_id) LEFT JOIN nb USING (row_id))"""
+
+
 def _any(x: str, needles) -> str:
     return "(" + " OR ".join(f"coalesce(contains(lower({x}), '{n}'), false)" for n in needles) + ")"
 
@@ -407,6 +433,8 @@ SELECT s.doc_id, c.class_id, coalesce(d.n, 0)::BIGINT AS n_links
 FROM sets s JOIN classes c ON s.ws = c.ws LEFT JOIN degree d ON d.c = c.class_id"""
 
     # coherence
+    sql["coherence_transfer"] = _with(_CONV, _tfidf_apart("dlg", "description", "conv", "instruction", "output", 3000)) + (
+        "SELECT row_id, round(similarity, 6) AS similarity FROM scores")
     sql["coherence_rows"] = _with(_CONV, _tfidf("dlg", 3000)) + (
         "SELECT row_id, round(similarity, 6) AS similarity FROM scores")
     sql["coherence_sample"] = _with(

@@ -87,8 +87,34 @@ def coherence(
         df = sample_exact(df, sample, seed, id_col, or_all=True)
     n_rows = df.agg(F.count(F.lit(1))).scalar()
     vocab = vocabulary(df, fit, n_rows, max_features, stop_words)
+    return score_with(df, fit, other, vocab, id_col, max_features)
+
+
+def fit_vocabulary(
+    df: DataFrame, fit: str, path: str, stop_words: Sequence[str] | None = None,
+    max_features: int = fixed.MAX_FEATURES,
+) -> DataFrame:
+    """The model of ``coherence``, (term, idf) from column ``fit``, stored at ``path`` and read back."""
+    require_batch(df, "fit_vocabulary")
+    if stop_words is None:
+        stop_words = StopWordsRemover.loadDefaultStopWords("english")
+    n_rows = df.agg(F.count(F.lit(1))).scalar()
+    vocabulary(df, fit, n_rows, max_features, stop_words).write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def score_with(
+    df: DataFrame, a: str, b: str, vocab: DataFrame, id_col: str = "row_id",
+    max_features: int = fixed.MAX_FEATURES,
+) -> DataFrame:
+    """(id, similarity) of columns ``a`` and ``b`` of every row under a fitted (term, idf) table.
+
+    The table may come from another corpus; it is broadcast up to ``_BROADCAST_TERMS`` terms.
+    """
+    require_batch(df, "score_with")
     if max_features <= _BROADCAST_TERMS:
         vocab = F.broadcast(vocab)
+    fit, other = a, b
     # tokens outside the vocabulary go before anything is counted
     weighted = _occurrences(df, fit, other, id_col).join(vocab, "term", "left").where(
         F.col("idf").isNotNull() | ~(F.col("in_fit") | F.col("in_other"))
