@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from collections.abc import Callable
 from functools import reduce
 
@@ -209,6 +211,13 @@ def correct_dialogues(spark, d):
     return dlg.run_stages(planted.dialogues(spark, d), path)[1]
 
 
+@_query
+def correct_dialogues_bucketed(spark, d):
+    """Both stages stored as tables bucketed by id; the corrected one is read back."""
+    prefix = "dialogues_" + uuid.uuid4().hex
+    return dlg.run_stages_bucketed(planted.dialogues(spark, d), prefix)[1]
+
+
 @_query
 def correction_ledger(spark, d):
     cleaned = dlg.store_cleaned(planted.dialogues(spark, d), fresh_path(spark, "dialogues"))

@@ -386,6 +386,7 @@ redacted AS (
     sql["correct_dialogues"] = corrected + (
         "SELECT row_id, description, patient, doctor FROM redacted "
         "WHERE NOT near AND length(patient) >= 30 AND length(doctor) >= 30")
+    sql["correct_dialogues_bucketed"] = sql["correct_dialogues"]
     long = "length(patient) >= 30 AND length(doctor) >= 30"
     sql["correction_ledger"] = corrected + _ledger(
         "SELECT count(*) FROM redacted",

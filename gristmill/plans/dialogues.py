@@ -215,3 +215,37 @@ def run_stages(df: DataFrame, path: str, id_col: str = "row_id") -> tuple[DataFr
     """
     cleaned = store_cleaned(df, f"{path}/cleaned", id_col)
     return cleaned, _store(correct_dialogues(cleaned, id_col, store_drops=True), f"{path}/corrected")
+
+
+ROWS_PER_BUCKET = 1_000_000  # buckets of a stored stage: at least the session's shuffle partitions
+
+
+def store_bucketed(df: DataFrame, name: str, id_col: str = "row_id", buckets: int | None = None) -> DataFrame:
+    """``df`` saved as a table of the session's warehouse, bucketed and sorted by ``id_col``, and read again.
+
+    A later join on the id finds this side already dealt by the id, so only the
+    other side (an id list, usually) is shuffled to match.
+    """
+    spark = df.sparkSession
+    if buckets is None:
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, id_col).sortBy(id_col).saveAsTable(name)
+    return spark.table(name)
+
+
+def run_stages_bucketed(
+    df: DataFrame, prefix: str, id_col: str = "row_id", minimum: int = fixed.MIN_CHARS
+) -> tuple[DataFrame, DataFrame]:
+    """``run_stages`` with both stages stored as bucketed tables ``<prefix>_cleaned`` and ``<prefix>_corrected``.
+
+    The number of buckets follows the rows (``ROWS_PER_BUCKET`` a bucket, the
+    session's shuffle partitions at least). Correction's id joins then leave the
+    cleaned texts where they are: the texts move once, when they are cleaned.
+    """
+    require_batch(df, "run_stages_bucketed")
+    spark = df.sparkSession
+    rows = df.agg(F.count(F.lit(1))).first()[0]
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_BUCKET))
+    cleaned = store_bucketed(clean_dialogues(df, id_col), f"{prefix}_cleaned", id_col, buckets)
+    corrected = correct_dialogues(cleaned, id_col, minimum)
+    return cleaned, store_bucketed(corrected, f"{prefix}_corrected", id_col, buckets)

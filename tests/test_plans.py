@@ -166,3 +166,40 @@ def test_ledger_counted_by_the_write(spark, tmp_path):
     assert ledger == sorted(tuple(r) for r in flows.clean_ledger(rows).collect())
     written = sorted(tuple(r) for r in spark.read.parquet(path).collect())
     assert written == sorted(tuple(r) for r in flows.clean_dialogues(rows).collect())
+
+
+def _exchanges_above(plan: str, marker: str) -> list[str]:
+    """Exchange nodes on the path from each line holding ``marker`` up to the nearest join."""
+    lines = plan.splitlines()
+    depth = [len(line) - len(line.lstrip(" +-:")) for line in lines]
+    found = []
+    for i, line in enumerate(lines):
+        if marker not in line:
+            continue
+        level = depth[i]
+        for j in range(i - 1, -1, -1):
+            if depth[j] < level:
+                level = depth[j]
+                if "Join" in lines[j]:
+                    break
+                if "Exchange" in lines[j]:
+                    found.append(lines[j].strip())
+    return found
+
+
+def test_bucketed_stages_move_the_text_once(spark):
+    import uuid
+
+    from gristmill.plans import dialogues as flows
+    from gristmill.sources import planted as pl
+
+    rows = pl.dialogues(spark, SF)
+    prefix = "t_" + uuid.uuid4().hex
+    cleaned = flows.store_bucketed(flows.clean_dialogues(rows), f"{prefix}_cleaned")
+    corrected = flows.correct_dialogues(cleaned)
+    plan = corrected._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if f"{prefix}_cleaned" in line and "doctor" in line]
+    assert scans and not _exchanges_above(plan, f"{prefix}_cleaned")
+    _, stored = flows.run_stages_bucketed(rows, prefix + "x")
+    want = flows.run_stages(rows, str(spark.conf.get("spark.checkpoint.dir")) + "/" + prefix)[1]
+    assert sorted(tuple(r) for r in stored.collect()) == sorted(tuple(r) for r in want.collect())
