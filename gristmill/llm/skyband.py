@@ -17,6 +17,10 @@ compare by ``f = floor((p - q)^2 / (p + q))``, all in exact integers.
 Ranks count from 1 per (lang, source, part), value descending, then item in
 UTF-8 order.
 
+The texts are read once: each task counts, per (lang, source, term), the
+occurrences and the rows holding it (Python's ``re`` and a counter, handed on
+every ``FLUSH`` entries), and the counts are combined by Spark and stored.
+
 The ``term`` part runs as a dominance skyband: within a group, a term with a
 higher (or equal) count, a lower (or equal) lang count and an earlier spelling
 has an ``f`` at least as high and comes first on ties, so a term that ``top``
@@ -41,10 +45,13 @@ Extra input columns are not read.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -104,6 +111,35 @@ def _skyband(top: int):
     return keep
 
 
+_TERM = re.compile(TERM)
+_FOLD = str.maketrans(_UPPER, _LOWER)
+FLUSH = 500_000  # (group, term) entries a task holds before it hands them on
+
+
+def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, source, term, count, rows) of the task's rows, at most ``FLUSH`` entries held at once."""
+    counts, rows = Counter(), Counter()
+
+    def flush() -> pa.RecordBatch:
+        keys = list(counts)
+        batch = pa.RecordBatch.from_pydict({
+            "lang": [k[0] for k in keys], "source": [k[1] for k in keys], "term": [k[2] for k in keys],
+            "count": [counts[k] for k in keys], "rows": [rows[k] for k in keys],
+        })
+        counts.clear()
+        rows.clear()
+        return batch
+
+    for batch in batches:
+        for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text"))):
+            for term, n in Counter(_TERM.findall((text or "").translate(_FOLD))).items():
+                counts[lang, source, term] += n
+                rows[lang, source, term] += 1
+            if len(counts) >= FLUSH:
+                yield flush()
+    yield flush()
+
+
 def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP) -> DataFrame:
     """``(lang, source, part, item, value, rank)``; see the module's notes."""
     base = docs.select(
@@ -112,14 +148,10 @@ def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP) -> Dat
         F.col("text"),
     )
     groups = stored(base.select("lang", "source").distinct(), "groups")
-    # one pass over the texts: a row's terms sorted, so its first occurrence of a term is where it changes
-    sorted_terms = F.array_sort(terms_of(F.col("text")))
-    tokens = base.select("lang", "source", sorted_terms.alias("_t")).select(
-        "lang", "source", F.posexplode("_t").alias("_at", "term"), "_t"
-    ).select("lang", "source", "term", ((F.col("_at") == 0) | (F.element_at("_t", F.col("_at")) != F.col("term")))
-             .cast("long").alias("_first"))
-    stats = stored(tokens.groupBy("lang", "source", "term").agg(
-        F.count(F.lit(1)).alias("count"), F.sum("_first").alias("rows")
+    # one pass over the texts: each task counts terms and rows holding them per group, combined before the shuffle
+    counted = base.mapInArrow(_count_terms, "lang string, source string, term string, count long, rows long")
+    stats = stored(counted.groupBy("lang", "source", "term").agg(
+        F.sum("count").alias("count"), F.sum("rows").alias("rows")
     ), "term-stats")
     kept = stats.groupBy("lang", "term").agg(F.sum("rows").alias("rows")) \
         .where(F.col("rows") >= min_docs).select("lang", "term")
@@ -153,20 +185,23 @@ def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP) -> Dat
 
     # part pair: terms both sources hold meet by (lang, term); terms one source holds are priced against the
     # other's level at count 0 for every partner, summed before the shuffle; the rest is counted
-    others = sized.select("lang", F.col("source").alias("item"), F.col("N").alias("N2"), F.col("V").alias("V2"))
+    others = sized.select("lang", F.col("source").alias("item"), F.col("N").alias("N2"), F.col("V").alias("V2"),
+                          level(F.lit(0), F.col("N"), F.col("V")).alias("z2"))
     pairs = sized.join(others, "lang").where("source <> item")
+    partners = _sized(pairs.select("lang", "source", "item", "z2"))
     mine = levels.select("lang", "source", "term", "p")
     theirs = levels.select("lang", F.col("source").alias("item"), "term", F.col("p").alias("p2"))
-    partner_zero = level(F.lit(0), F.col("N2"), F.col("V2"))
     both = mine.join(theirs, ["lang", "term"]).where("source <> item").join(
-        _sized(pairs.select("lang", "source", "item", "N2", "V2")), ["lang", "source", "item"]
+        partners, ["lang", "source", "item"]
     ).groupBy("lang", "source", "item").agg(
         F.sum(gap(F.col("p"), F.col("p2"))).alias("sum_both"),
-        F.sum(gap(F.col("p"), partner_zero)).alias("held_a"), F.count(F.lit(1)).alias("n_both"),
+        F.sum(gap(F.col("p"), F.col("z2"))).alias("held_a"), F.count(F.lit(1)).alias("n_both"),
+    )
+    # terms of one source with equal counts share p: priced once per partner
+    same_p = levels.groupBy("lang", "source", "p").agg(F.count(F.lit(1)).alias("k"))
+    alone = same_p.join(partners, ["lang", "source"]).groupBy("lang", "source", "item").agg(
+        F.sum(F.col("k") * gap(F.col("p"), F.col("z2"))).alias("all_a"), F.sum("k").alias("n_a")
     )
-    alone = mine.join(_sized(pairs.select("lang", "source", "item", "N2", "V2")), ["lang", "source"]).groupBy(
-        "lang", "source", "item"
-    ).agg(F.sum(gap(F.col("p"), partner_zero)).alias("all_a"), F.count(F.lit(1)).alias("n_a"))
     back = alone.select("lang", F.col("source").alias("item"), F.col("item").alias("source"),
                         F.col("all_a").alias("all_b"), F.col("n_a").alias("n_b"))
     back_both = both.select("lang", F.col("source").alias("item"), F.col("item").alias("source"),
