@@ -16,6 +16,7 @@ from gristmill.operators import (
     answers, coherence, conversations, dedup, lengths, neardup, personal_report, profile, ranks,
     setsim, validation,
 )
+from gristmill.functions import sql as sql_surface
 from gristmill.plans import dialogues as dlg
 from gristmill.plans import instructions as ins
 from gristmill.plans import training as trn
@@ -194,6 +195,37 @@ def redact_reply(spark, d):
     return planted.doc(spark, d).select("row_id", fn.redact_reply("text").alias("text"))
 
 
+def _sql_session(spark, d):
+    sql_surface.register_functions(spark)
+    sql_surface.register_views(spark, {"gm_doc": planted.doc(spark, d)})
+
+
+@_query
+def sql_clean_text_docs(spark, d):
+    """``clean_text_docs`` written in SQL over the registered function."""
+    _sql_session(spark, d)
+    return spark.sql("SELECT row_id, gm_clean_text(text) AS text FROM gm_doc")
+
+
+@_query
+def sql_pii_flags_docs(spark, d):
+    """``pii_flags_docs`` written in SQL."""
+    _sql_session(spark, d)
+    return spark.sql(
+        "SELECT row_id, gm_has_email(text) AS email, gm_has_url(text) AS url, gm_has_phone(text) AS phone, "
+        "gm_has_stated_name(text) AS stated_name, gm_has_signature(text) AS signature FROM gm_doc"
+    )
+
+
+@_query
+def sql_near_dup_verified(spark, d):
+    """Verified near-duplicates as a view, read and filtered in SQL."""
+    sql_surface.register_views(spark, {
+        "gm_near_dup_verified": setsim.verified_near_duplicates(_documents(spark, d), "text", "doc_id"),
+    })
+    return spark.sql("SELECT doc_id, class_id, n_links FROM gm_near_dup_verified WHERE n_links > 0 OR doc_id <> class_id")
+
+
 @_query
 def anonymise_name(spark, d):
     return planted.doc(spark, d).select("row_id", fn.mask_stated_name("text").alias("text"))

@@ -376,6 +376,8 @@ def oracles() -> dict[str, str]:
         f"SELECT row_id, {_hit('text', _EMAIL)} AS email, {_hit('text', _URL)} AS url, "
         f"{_hit('text', _PHONE)} AS phone, {_hit('text', _NAME, 'i')} AS stated_name, "
         f"{_hit('text', _SIGN)} AS signature FROM doc")
+    sql["sql_clean_text_docs"] = sql["clean_text_docs"]
+    sql["sql_pii_flags_docs"] = sql["pii_flags_docs"]
     sql["redact_reply"] = _with(_DOC) + f"SELECT row_id, {_redact('text')} AS text FROM doc"
     sql["anonymise_name"] = _with(_DOC) + f"SELECT row_id, {_mask('text')} AS text FROM doc"
     sql["strip_boilerplate"] = _with(_CONV) + f"SELECT row_id, {_greeting('patient')} AS patient FROM dlg"
@@ -432,6 +434,8 @@ links AS (SELECT a, b FROM pairs WHERE 100 * common >= 85 * (n_a + n_b - common)
 degree AS (SELECT c, count(*) AS n FROM (SELECT a AS c FROM links UNION ALL SELECT b FROM links) GROUP BY c)
 SELECT s.doc_id, c.class_id, coalesce(d.n, 0)::BIGINT AS n_links
 FROM sets s JOIN classes c ON s.ws = c.ws LEFT JOIN degree d ON d.c = c.class_id"""
+    sql["sql_near_dup_verified"] = (
+        "SELECT * FROM (" + sql["near_dup_verified"] + ") WHERE n_links > 0 OR doc_id <> class_id")
 
     # coherence
     sql["coherence_transfer"] = _with(_CONV, _tfidf_apart("dlg", "description", "conv", "instruction", "output", 3000)) + (
