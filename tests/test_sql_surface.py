@@ -17,4 +17,4 @@ def test_functions_equal_their_columns(spark):
     want = df.select("row_id", *[f(F.col("text")).alias(n) for n, f in sql_surface.ROW_LOCAL.items()])
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "WholeStageCodegen" in plan or "*(" in plan
+    assert "Python" not in plan
