@@ -285,6 +285,16 @@ def near_dup_groups(spark, d):
     return neardup.near_duplicate_groups(_documents(spark, d), "text", "doc_id")
 
 
+@_query
+def near_dup_index(spark, d):
+    """Documents inserted into a stored band index in two batches, then the drops of all: as ``near_dup_drops``."""
+    docs, table = _documents(spark, d), "bands_" + uuid.uuid4().hex
+    first = F.col("doc_id") % 2 == 0
+    neardup.index_bands(docs.where(first), "text", table, "doc_id")
+    neardup.index_bands(docs.where(~first | F.col("doc_id").isNull()), "text", table, "doc_id")
+    return neardup.indexed_drops(spark, table, "doc_id")
+
+
 @_query
 def near_dup_verified(spark, d):
     return setsim.verified_near_duplicates(_documents(spark, d), "text", "doc_id")

@@ -402,6 +402,7 @@ redacted AS (
         "SELECT id AS doc_id, md5(string_agg(CAST(m AS VARCHAR), ',' ORDER BY i)) AS signature "
         "FROM mh_mins GROUP BY id")
     sql["near_dup_drops"] = _with(hashed) + "SELECT id AS doc_id FROM mh_dropped"
+    sql["near_dup_index"] = sql["near_dup_drops"]
     sql["near_dup_kept"] = _with(hashed) + (
         "SELECT doc_id, text, lang, source FROM documents WHERE doc_id NOT IN (SELECT id FROM mh_dropped)")
     # walks the colliding rows in order: a row leads unless an earlier leader collides with it

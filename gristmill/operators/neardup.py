@@ -275,3 +275,49 @@ def split_leaks(
         "split", "other", F.coalesce("n_bands", F.lit(0)).cast("long").alias("n_bands"),
         F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"),
     )
+
+
+def index_bands(
+    df: DataFrame, text: str, table: str, id_col: str = "row_id", buckets: int | None = None,
+    num_perm: int = fixed.NUM_PERM, bands: int = fixed.BANDS, seed: int = 1,
+) -> DataFrame:
+    """Inserts the rows' band keys into ``table``, a warehouse table bucketed by band key, created if absent.
+
+    Only the new rows' texts are read; what the table holds is one narrow row
+    (band key, id) per band of every row inserted so far. Returns the table.
+    """
+    require_batch(df, "index_bands")
+    spark = df.sparkSession
+    keys = band_keys(df, text, id_col, num_perm, bands, seed)
+    if spark.catalog.tableExists(table):
+        keys.write.mode("append").insertInto(table)
+    else:
+        buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        keys.write.bucketBy(buckets, "band_key").sortBy("band_key").saveAsTable(table)
+    return spark.table(table)
+
+
+def query_index(
+    df: DataFrame, text: str, table: str, id_col: str = "row_id",
+    num_perm: int = fixed.NUM_PERM, bands: int = fixed.BANDS, seed: int = 1,
+) -> DataFrame:
+    """(id, lowest_id): rows of ``df`` that share a band with a lower id already in the index, and the lowest such id.
+
+    The indexed side is read bucketed by band key, so only the queried rows' keys move.
+    """
+    spark = df.sparkSession
+    keys = band_keys(df, text, id_col, num_perm, bands, seed)
+    indexed = spark.table(table).groupBy("band_key").agg(F.min(id_col).alias("_lowest"))
+    hits = keys.join(indexed, "band_key").where(F.col("_lowest") < F.col(id_col))
+    return hits.groupBy(id_col).agg(F.min("_lowest").alias("lowest_id"))
+
+
+def indexed_drops(spark, table: str, id_col: str = "row_id", bands: int = fixed.BANDS) -> DataFrame:
+    """Ids of the index that ``drop_near_duplicates`` over all inserted rows would remove.
+
+    The minimum per band key is taken on the bucketed table without an exchange.
+    """
+    members = spark.table(table)
+    lowest = members.groupBy("band_key").agg(F.min(id_col).alias(id_col))
+    wins = lowest.groupBy(id_col).agg(F.count(F.lit(1)).alias("_wins")).where(F.col("_wins") == bands)
+    return members.select(id_col).distinct().join(wins.select(id_col), id_col, "left_anti")
