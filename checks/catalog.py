@@ -405,6 +405,13 @@ def coerce_shapes(spark, d):
     return trn.mixed_to_text(planted.mixed(spark, d))
 
 
+@_query
+def coerce_losses(spark, d):
+    """Shapes used for the mixed records, and instructions they lose."""
+    rows = planted.mixed(spark, d).join(planted.conv(spark, d).select("row_id", "instruction"), "row_id")
+    return trn.shape_report(rows)
+
+
 @_query
 def render_template(spark, d):
     return planted.chats(spark, d).select(

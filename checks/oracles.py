@@ -508,6 +508,18 @@ sized AS (SELECT *, {_order()} AS rnk, count(*) OVER () AS n FROM conv)""") + (
     def two_turns(q: str, a: str) -> str:
         return f"{_chat('user', q)} || '<|assistant|>' || chr(10) || {a} || '<|end|>'"
 
+    sql["coerce_losses"] = _with(_CONV, f"""
+shaped AS (
+  SELECT row_id, instruction, CASE
+    WHEN row_id % 6 = 0 THEN 'conversation'
+    WHEN row_id % 6 = 1 THEN 'short_conversation'
+    WHEN row_id % 6 = 2 AND instruction IS NOT NULL AND output IS NOT NULL THEN 'question_answer'
+    WHEN row_id % 6 IN (2, 3, 4) AND input IS NOT NULL AND output IS NOT NULL THEN 'input_output'
+    ELSE 'none' END AS shape
+  FROM conv)""") + (
+        "SELECT shape, count(*) AS n_rows, "
+        f"count(*) FILTER (WHERE coalesce({_strip('instruction')} <> '', false) "
+        "AND shape NOT IN ('conversation', 'question_answer')) AS n_instruction_lost FROM shaped GROUP BY shape")
     sql["coerce_shapes"] = _with(_CONV, f"""
 shaped AS (
   SELECT row_id, CASE

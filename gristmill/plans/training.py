@@ -9,7 +9,7 @@ from gristmill import fixed
 from gristmill.functions.messages import (
     coerce_shapes, instruction_prompt, render_template, to_messages,
 )
-from gristmill.functions.text import word_count
+from gristmill.functions.text import strip, word_count
 from gristmill.operators.profile import count_hits
 from gristmill.operators.ranks import assign_split, assign_three_way_split, sample_exact
 from gristmill.sources.scratch import fresh_path
@@ -72,3 +72,29 @@ def length_budget(df: DataFrame, col: str = "text", budgets: tuple[int, ...] = (
     require_batch(df, "length_budget")
     counted = df.select(word_count(col).alias("_words"))
     return count_hits(counted, {f"over_{b}": F.col("_words") > b for b in budgets})
+
+
+def shape_report(df: DataFrame, instruction: str | None = "instruction") -> DataFrame:
+    """(shape, n_rows, n_instruction_lost): which record shape ``coerce_shapes`` used, and what it lost.
+
+    Shapes: ``conversation``, ``short_conversation`` (fewer than two turns: no
+    text, and the other shapes are not tried), ``question_answer``,
+    ``input_output``, ``none``. An instruction is lost when the row has one
+    (not blank) and its text comes from neither a conversation nor a question:
+    records of the instruction shape read as mixed keep input and output only.
+    One aggregation over the rows.
+    """
+    conv, q, a = F.col("conversation"), F.col("question"), F.col("answer")
+    i, o = F.col("input"), F.col("output")
+    shape = (
+        F.when(conv.isNotNull() & (F.size(conv) >= 2), "conversation")
+        .when(conv.isNotNull(), "short_conversation")
+        .when(q.isNotNull() & a.isNotNull(), "question_answer")
+        .when(i.isNotNull() & o.isNotNull(), "input_output")
+        .otherwise("none")
+    )
+    has = F.coalesce(strip(instruction) != "", F.lit(False)) if instruction else F.lit(False)
+    lost = has & ~shape.isin("conversation", "question_answer")
+    return df.groupBy(shape.alias("shape")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(lost).alias("n_instruction_lost")
+    )
