@@ -26,6 +26,10 @@ HEADLINE = (
     "filters_lenient", "validation_stats", "contamination", "backdoor_report", "history",
     "roundtrip_json", "roundtrip_csv", "minhash_signature", "validated_files", "validate_file",
     "read_json_array", "correction_ledger", "roundtrip_formats", "roundtrip_splits",
+    # added in the third round
+    "near_dup_verified", "near_dup_index", "split_leaks", "split_groups", "read_json_compact",
+    "roundtrip_csv_splits", "retention_ledger_observed", "correct_dialogues_bucketed", "coherence_transfer",
+    "coerce_losses",
 )
 
 
