@@ -594,6 +594,27 @@ def history(spark, d):
     return rows.withColumn("n_before", F.col("n_before").cast("string"))
 
 
+def _listed(rows):
+    line = F.transform("history", lambda e: F.concat(F.coalesce(e["role"], F.lit("")), F.lit(":"),
+                                                     F.coalesce(e["text"], F.lit(""))))
+    chars = F.aggregate("history", F.lit(0).cast("long"),
+                        lambda n, e: n + F.coalesce(F.length(e["text"]), F.lit(0)).cast("long"))
+    return rows.select("conv_id", "position", "turn", F.size("history").cast("long").alias("n_history"),
+                       chars.alias("chars"), F.md5(F.array_join(line, "\n")).alias("digest"))
+
+
+@_query
+def history_lists(spark, d):
+    """Every answer's earlier messages written out, then summed up per answer."""
+    return _listed(conversations.history_lists(planted.long_conversations(spark, d)))
+
+
+@_query
+def history_lists_budget(spark, d):
+    """The same within a budget of 2,000 characters counted back from each answer."""
+    return _listed(conversations.history_lists(planted.long_conversations(spark, d), budget=2000))
+
+
 def _with_blanks(spark, d):
     """Conversations in which some messages, and some whole conversations, are blank."""
     turns = planted.table(spark, d, "conversations")

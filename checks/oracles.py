@@ -611,6 +611,36 @@ cut AS (
         "numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role, text) - 1 "
         "AS position FROM placed) "
         "SELECT *, CASE role WHEN 'assistant' THEN position::VARCHAR END AS n_before FROM numbered")
+    sql["history_lists"] = (
+        "WITH placed AS (SELECT "
+        "CASE WHEN conv_id % 13 = 5 THEN NULL WHEN conv_id % 3 = 0 THEN -1 ELSE conv_id END AS conv_id, "
+        "CASE WHEN (conv_id + turn) % 11 = 4 THEN NULL WHEN conv_id % 3 = 0 THEN conv_id * 10 + turn "
+        "WHEN conv_id % 3 = 1 THEN turn + 1020 ELSE 3 * turn + 5 END AS turn, "
+        "role, text FROM conversations), "
+        "numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role, text) - 1 "
+        "AS position, coalesce(length(text), 0) AS len FROM placed), "
+        "run AS (SELECT *, coalesce(sum(len) OVER (PARTITION BY conv_id ORDER BY position "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM numbered) "
+        "SELECT a.conv_id, a.position, a.turn, count(m.position)::BIGINT AS n_history, "
+        "coalesce(sum(m.len), 0)::BIGINT AS chars, md5(coalesce(string_agg(coalesce(m.role, '') || ':' || "
+        "coalesce(m.text, ''), chr(10) ORDER BY m.position) FILTER (WHERE m.position IS NOT NULL), '')) AS digest "
+        "FROM run a LEFT JOIN run m ON m.conv_id IS NOT DISTINCT FROM a.conv_id AND m.position < a.position "
+        "WHERE a.role = 'assistant' GROUP BY a.conv_id, a.position, a.turn")
+    sql["history_lists_budget"] = (
+        "WITH placed AS (SELECT "
+        "CASE WHEN conv_id % 13 = 5 THEN NULL WHEN conv_id % 3 = 0 THEN -1 ELSE conv_id END AS conv_id, "
+        "CASE WHEN (conv_id + turn) % 11 = 4 THEN NULL WHEN conv_id % 3 = 0 THEN conv_id * 10 + turn "
+        "WHEN conv_id % 3 = 1 THEN turn + 1020 ELSE 3 * turn + 5 END AS turn, "
+        "role, text FROM conversations), "
+        "numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role, text) - 1 "
+        "AS position, coalesce(length(text), 0) AS len FROM placed), "
+        "run AS (SELECT *, coalesce(sum(len) OVER (PARTITION BY conv_id ORDER BY position "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM numbered) "
+        "SELECT a.conv_id, a.position, a.turn, count(m.position)::BIGINT AS n_history, "
+        "coalesce(sum(m.len), 0)::BIGINT AS chars, md5(coalesce(string_agg(coalesce(m.role, '') || ':' || "
+        "coalesce(m.text, ''), chr(10) ORDER BY m.position) FILTER (WHERE m.position IS NOT NULL), '')) AS digest "
+        "FROM run a LEFT JOIN run m ON m.conv_id IS NOT DISTINCT FROM a.conv_id AND m.position < a.position AND a.before - m.before <= 2000 "
+        "WHERE a.role = 'assistant' GROUP BY a.conv_id, a.position, a.turn")
     sql["drop_blank"] = _with(_BLANKS) + f"SELECT * FROM blanked WHERE {_strip('text')} <> ''"
     sql["empty_conversations"] = _with(_BLANKS) + (
         f"SELECT conv_id FROM blanked GROUP BY conv_id HAVING count(*) FILTER (WHERE {_strip('text')} <> '') = 0")
