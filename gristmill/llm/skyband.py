@@ -17,9 +17,10 @@ compare by ``f = floor((p - q)^2 / (p + q))``, all in exact integers.
 Ranks count from 1 per (lang, source, part), value descending, then item in
 UTF-8 order.
 
-The texts are read once: each task counts, per (lang, source, term), the
-occurrences and the rows holding it (Python's ``re`` and a counter, handed on
-every ``FLUSH`` entries), and the counts are combined by Spark and stored.
+The texts are read once: each Arrow batch is lowered (A-Z), split between
+terms and grouped per (lang, source, term) into occurrences and rows holding the
+term, in Arrow's own kernels; Spark combines the batches in each task before the
+shuffle and stores the result.
 
 The ``term`` part runs as a dominance skyband: within a group, a term with a
 higher (or equal) count, a lower (or equal) lang count and an earlier spelling
@@ -45,13 +46,12 @@ Extra input columns are not read.
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -111,33 +111,28 @@ def _skyband(top: int):
     return keep
 
 
-_TERM = re.compile(TERM)
-_FOLD = str.maketrans(_UPPER, _LOWER)
-FLUSH = 500_000  # (group, term) entries a task holds before it hands them on
+_SPLIT = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"  # what lies between terms
 
 
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, source, term, count, rows) of the task's rows, at most ``FLUSH`` entries held at once."""
-    counts, rows = Counter(), Counter()
-
-    def flush() -> pa.RecordBatch:
-        keys = list(counts)
-        batch = pa.RecordBatch.from_pydict({
-            "lang": [k[0] for k in keys], "source": [k[1] for k in keys], "term": [k[2] for k in keys],
-            "count": [counts[k] for k in keys], "rows": [rows[k] for k in keys],
-        })
-        counts.clear()
-        rows.clear()
-        return batch
-
+    """(lang, source, term, count, rows) of each Arrow batch, in Arrow's kernels: A-Z lowered, split, grouped."""
     for batch in batches:
-        for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text"))):
-            for term, n in Counter(_TERM.findall((text or "").translate(_FOLD))).items():
-                counts[lang, source, term] += n
-                rows[lang, source, term] += 1
-            if len(counts) >= FLUSH:
-                yield flush()
-    yield flush()
+        parts = pc.split_pattern_regex(pc.ascii_lower(pc.fill_null(batch.column("text"), "")), pattern=_SPLIT)
+        terms, rows = pc.list_flatten(parts), pc.list_parent_indices(parts)
+        keep = pc.not_equal(terms, "")
+        terms, rows = terms.filter(keep), rows.filter(keep)
+        table = pa.table({"row": rows, "lang": batch.column("lang").take(rows),
+                          "source": batch.column("source").take(rows), "term": terms})
+        per_row = table.group_by(["row", "lang", "source", "term"]).aggregate([("term", "count")])
+        grouped = per_row.group_by(["lang", "source", "term"]).aggregate(
+            [("term_count", "sum"), ("term_count", "count")]
+        )
+        yield pa.RecordBatch.from_arrays(
+            [grouped["lang"].combine_chunks(), grouped["source"].combine_chunks(), grouped["term"].combine_chunks(),
+             grouped["term_count_sum"].combine_chunks().cast(pa.int64()),
+             grouped["term_count_count"].combine_chunks().cast(pa.int64())],
+            ["lang", "source", "term", "count", "rows"],
+        )
 
 
 def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP) -> DataFrame:
