@@ -25,7 +25,9 @@ shuffle and stores the result.
 The ``term`` part runs as a dominance skyband: within a group, a term with a
 higher (or equal) count, a lower (or equal) lang count and an earlier spelling
 has an ``f`` at least as high and comes first on ties, so a term that ``top``
-others dominate cannot rank. Each task keeps, per group, the terms that fewer
+others dominate cannot rank. Terms with equal count and lang count are cut to
+their ``top`` earliest first (a row limit per cell that Spark applies in each
+task before the shuffle). Each task keeps, per group, the terms that fewer
 than ``top`` of its own terms dominate; the kept sets merge and are ranked
 exactly. A hot group's terms are spread over all tasks by the hash of the term.
 
@@ -171,6 +173,9 @@ def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP) -> Dat
     ).select("lang", "term", "lang_count", "q")
     rising = levels.join(lang_levels, ["lang", "term"]).where("p > q") \
         .select("lang", "source", "term", "count", "lang_count", "p", "q")
+    # terms of a group with equal count and lang count tie in value: the top earliest of them dominate the rest
+    cell = Window.partitionBy("lang", "source", "count", "lang_count").orderBy("term")
+    rising = rising.withColumn("_nth", F.row_number().over(cell)).where(F.col("_nth") <= top).drop("_nth")
     band = rising.sortWithinPartitions("lang", "source", F.desc("count"), "lang_count", "term") \
         .mapInPandas(_skyband(top), rising.schema)
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
@@ -186,12 +191,12 @@ def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP) -> Dat
     partners = _sized(pairs.select("lang", "source", "item", "z2"))
     mine = levels.select("lang", "source", "term", "p")
     theirs = levels.select("lang", F.col("source").alias("item"), "term", F.col("p").alias("p2"))
-    both = mine.join(theirs, ["lang", "term"]).where("source <> item").join(
+    both = stored(mine.join(theirs, ["lang", "term"]).where("source <> item").join(
         partners, ["lang", "source", "item"]
     ).groupBy("lang", "source", "item").agg(
         F.sum(gap(F.col("p"), F.col("p2"))).alias("sum_both"),
         F.sum(gap(F.col("p"), F.col("z2"))).alias("held_a"), F.count(F.lit(1)).alias("n_both"),
-    )
+    ), "pair-both")
     # terms of one source with equal counts share p: priced once per partner
     same_p = levels.groupBy("lang", "source", "p").agg(F.count(F.lit(1)).alias("k"))
     alone = same_p.join(partners, ["lang", "source"]).groupBy("lang", "source", "item").agg(
