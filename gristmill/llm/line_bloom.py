@@ -52,7 +52,7 @@ LEAST_BITS = 1 << 16
 MAX_BITS = 1 << 27  # 16 MB a filter: what each executor receives, at most
 CHUNK_BITS = 1 << 19  # 64 KB of each filter per merged row
 FAN = 32  # first level of the merge: so many groups of tasks per chunk
-BROADCAST_BYTES = 16 << 20  # keys to drop, sent to every executor if they take no more
+BROADCAST_BYTES = 64 << 20  # keys to drop, sent to every executor if they take no more; joined by shuffle beyond
 
 _BLANKS = " \t\n\x0b\x0c\r"  # [\x20\x09-\x0D]
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
