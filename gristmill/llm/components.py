@@ -64,28 +64,35 @@ def marked(df: DataFrame, ids: DataFrame, id_col: str, name: str) -> DataFrame:
 def connected_components(links: DataFrame) -> DataFrame:
     """``(id, component)`` for each id in the links ``(a, b)``; the component is its smallest id.
 
-    Each round takes the smallest label among an id and its neighbours and then
-    follows that label one step further, so the distance covered doubles. Every
-    round is stored. No links give an empty table.
+    Each round points an id at its smallest neighbour (itself, if smaller), follows
+    that pointer one step further, and replaces both ends of every link by what they
+    point at. Links inside a component fall away and equal ones become one, so that
+    later rounds read the links between what is not yet merged, not all of them
+    again. The pointers of the rounds, stored, are put together from the last to the
+    first. No links give an empty table.
     """
-    both = stored(
-        links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct(), "links"
+    edges = stored(
+        links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links"
     )
-    labels = stored(both.groupBy(F.col("a").alias("id")).agg(
-        F.least(F.col("a"), F.min("b")).alias("component")
-    ), "labels")
-    while True:
-        near = both.join(labels, both["b"] == labels["id"]).select(F.col("a").alias("id"), "component")
-        smallest = near.union(labels.select("id", "component")).groupBy("id").agg(
-            F.min("component").alias("component")
+    rounds = []
+    while not rounds or edges.limit(1).count():
+        near = edges.select(F.col("a").alias("id"), F.col("a").alias("to")).union(
+            edges.select(F.col("b").alias("id"), F.col("a").alias("to"))
+        ).groupBy("id").agg(F.min("to").alias("to"))
+        near = stored(near, "near")
+        further = near.select(F.col("id").alias("to"), F.col("to").alias("further"))
+        rounds.append(stored(near.join(further, "to").select("id", F.col("further").alias("to")), "pointers"))
+        first, second = (
+            rounds[-1].select(F.col("id").alias(end), F.col("to").alias(f"{end}_to")) for end in ("a", "b")
         )
-        target = labels.select(F.col("id").alias("component"), F.col("component").alias("further"))
-        jumped = smallest.join(target, "component", "left").select(
-            "id", F.least("component", "further").alias("component")
+        met = edges.join(first, "a").join(second, "b").where("a_to <> b_to")
+        edges = stored(
+            met.select(F.least("a_to", "b_to").alias("a"), F.greatest("a_to", "b_to").alias("b")).distinct(), "links"
         )
-        before = labels.withColumnRenamed("component", "was")
-        new = stored(jumped.join(before, "id").select("id", "component", "was"), "labels")
-        changed = new.where("component <> was").limit(1).count()
-        labels = new.select("id", "component")
-        if not changed:
-            return labels
+    labels = rounds.pop().select("id", F.col("to").alias("component"))
+    for pointers in reversed(rounds):
+        of = labels.select(F.col("id").alias("to"), "component")
+        labels = stored(
+            pointers.join(of, "to", "left").select("id", F.coalesce("component", "to").alias("component")), "labels"
+        )
+    return labels
