@@ -65,8 +65,8 @@ def connected_components(links: DataFrame) -> DataFrame:
     """``(id, component)`` for each id in the links ``(a, b)``; the component is its smallest id.
 
     Each round points an id at its smallest neighbour (itself, if smaller), follows
-    that pointer one step further, and replaces both ends of every link by what they
-    point at. Links inside a component fall away and equal ones become one, so that
+    the pointers to their ends, doubling the distance each time, and replaces both
+    ends of every link by those. Links inside a component fall away and equal ones become one, so that
     later rounds read the links between what is not yet merged, not all of them
     again. The pointers of the rounds, stored, are put together from the last to the
     first. No links give an empty table.
@@ -79,9 +79,14 @@ def connected_components(links: DataFrame) -> DataFrame:
         near = edges.select(F.col("a").alias("id"), F.col("a").alias("to")).union(
             edges.select(F.col("b").alias("id"), F.col("a").alias("to"))
         ).groupBy("id").agg(F.min("to").alias("to"))
-        near = stored(near, "near")
-        further = near.select(F.col("id").alias("to"), F.col("to").alias("further"))
-        rounds.append(stored(near.join(further, "to").select("id", F.col("further").alias("to")), "pointers"))
+        pointers, moved = stored(near, "pointers"), 1
+        while moved:
+            further = pointers.select(F.col("id").alias("to"), F.col("to").alias("further"))
+            jumped = stored(
+                pointers.join(further, "to").select("id", F.col("to").alias("was"), F.col("further").alias("to")), "pointers"
+            )
+            pointers, moved = jumped.select("id", "to"), jumped.where("to <> was").limit(1).count()
+        rounds.append(pointers)
         first, second = (
             rounds[-1].select(F.col("id").alias(end), F.col("to").alias(f"{end}_to")) for end in ("a", "b")
         )
